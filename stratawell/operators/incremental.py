@@ -123,10 +123,10 @@ def upsert(
     result to a new path, never to the one being read.
 
     With ``unique_target`` the caller states that the target has one row per
-    key, as the result of this function does.  Then only target rows whose key
-    occurs in the changes are compared; all others pass through, without a
-    shuffle if the changed keys, which are counted first, are few enough to
-    broadcast.
+    key, as the result of this function does.  The changed keys are then counted
+    and measured first.  If they are few enough to broadcast, target rows of
+    other keys pass through without a shuffle; if not, target and changes are
+    shuffled together, once, as they are without ``unique_target``.
     """
     keys = list(keys)
     order = list(order)
@@ -140,12 +140,12 @@ def upsert(
 
     if not unique_target:
         return newest(target)
-
     changed = changes.select(*[F.col(k).alias(f"_changed_{k}") for k in keys]).distinct()
-    if _fits_broadcast(changed, broadcast_rows, broadcast_bytes):
-        changed = F.broadcast(changed)
+    if not _fits_broadcast(changed, broadcast_rows, broadcast_bytes):
+        return newest(target)
     same = reduce(
         lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_changed_{k}")) for k in keys]
     )
-    untouched = target.join(changed, same, "left_anti")
-    return untouched.unionByName(newest(target.join(changed, same, "left_semi")))
+    untouched = target.join(F.broadcast(changed), same, "left_anti")
+    touched = target.join(F.broadcast(changed), same, "left_semi")
+    return untouched.unionByName(newest(touched))

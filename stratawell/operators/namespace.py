@@ -18,10 +18,10 @@ def create_layers(spark: SparkSession, names: Iterable[str], root: str) -> dict[
     locations = {}
     for name in names:
         location = storage.qualify(spark, f"{root.rstrip('/')}/{name}")
-        quoted_name = name.replace("`", "``")
-        quoted_location = location.replace("\\", "\\\\").replace("'", "\\'")
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{quoted_name}` LOCATION '{quoted_location}'")
-        actual = storage.qualify(spark, spark.catalog.getDatabase(name).locationUri)
+        quoted = location.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{name}` LOCATION '{quoted}'")
+        described = spark.sql(f"DESCRIBE SCHEMA `{name}`").filter("info_name = 'Location'")
+        actual = storage.qualify(spark, described.first().info_value)
         if actual != location:
             raise ValueError(f"schema {name} lies at {actual}, not at {location}")
         locations[name] = location

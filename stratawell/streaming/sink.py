@@ -14,6 +14,14 @@ from stratawell.functions import storage
 _OWNER = "layer_sink"
 
 
+def _owner(spark: SparkSession, path: str) -> str | None:
+    """The output a checkpoint was made for; None if it has not been recorded."""
+    if not storage.exists(spark, path):
+        return None
+    row = spark.read.text(path).first()
+    return row and row[0]
+
+
 def bind_checkpoint(spark: SparkSession, out: str, checkpoint: str) -> None:
     """Tie a checkpoint to one output for good, or refuse.
 
@@ -26,8 +34,8 @@ def bind_checkpoint(spark: SparkSession, out: str, checkpoint: str) -> None:
     out = storage.qualify(spark, out)
     owner_path = f"{checkpoint.rstrip('/')}/{_OWNER}"
     sink_log = f"{out}/_spark_metadata"
-    if storage.exists(spark, f"{owner_path}/_SUCCESS"):
-        owner = spark.read.text(owner_path).first()[0]
+    owner = _owner(spark, owner_path)
+    if owner is not None:
         if owner != out:
             raise ValueError(f"checkpoint {checkpoint} belongs to {owner}, not to {out}")
         if storage.has_entries(spark, f"{checkpoint}/commits") and not storage.has_entries(
