@@ -118,6 +118,7 @@ def event_envelopes(events: DataFrame) -> DataFrame:
     )
 
 
+@_staged
 def repeat_waves(events: DataFrame) -> list[DataFrame]:
     """The events in time order, in four waves that repeat the end of the one before."""
     first, last = events.agg(F.min("event_id"), F.max("event_id")).first()

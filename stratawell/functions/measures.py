@@ -22,15 +22,25 @@ def distinct_count(value: str | Column) -> Column:
     return F.count_distinct(_col(value))
 
 
-def exact_sum(value: str | Column, precision: int = 18, scale: int = 2) -> Column:
+# Sums are kept in two halves, split at this many bits.
+_LOW_BITS = 20
+
+
+def exact_sum(value: str | Column, scale: int = 2) -> Column:
     """Sum of money-like doubles that does not depend on the order of addition.
 
-    Values are rounded to ``scale`` digits before they are added.
+    Values are counted in whole units of 10**-scale (cents), to the nearest one.
+    The units are added as two integer sums, which stay in generated code and
+    cannot overflow below 2**43 rows; adding decimals costs several times more.
     """
-    exact = _col(value).cast(f"decimal({precision},{scale})")
-    return F.sum(exact).cast("double")
+    units = F.rint(_col(value) * 10**scale).cast("bigint")
+    high = F.sum(F.shiftright(units, _LOW_BITS)).cast("decimal(20,0)")
+    low = F.sum(units.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))).cast("decimal(20,0)")
+    total = high * F.lit(1 << _LOW_BITS).cast("decimal(7,0)") + low
+    unit = F.lit(f"1e-{scale}").cast(f"decimal({scale + 1},{scale})")
+    return (total * unit).cast("double")
 
 
-def exact_avg(value: str | Column, precision: int = 18, scale: int = 2) -> Column:
-    """Mean as exact sum over count; ``avg`` of a decimal would round to scale + 4."""
-    return exact_sum(value, precision, scale) / F.count(_col(value))
+def exact_avg(value: str | Column, scale: int = 2) -> Column:
+    """Mean as exact sum over the number of values that are not NULL."""
+    return exact_sum(value, scale) / F.count(_col(value))

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,20 +37,30 @@ def read_since(df: DataFrame, col: str, mark: Any) -> DataFrame:
     """
     if mark is None:
         return df
-    return df.filter(F.col(col) > F.lit(mark).cast(df.schema[col].dataType))
+    dtype = df.schema[col].dataType
+    if isinstance(dtype, T.TimestampNTZType):
+        # As text: a datetime literal would pass through the zone of the session.
+        mark = str(mark)
+    return df.filter(F.col(col) > F.lit(mark).cast(dtype))
 
 
-def _hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int, limit: int) -> DataFrame:
-    """At most ``limit`` keys that hold at least ``min_rows`` rows each."""
+def _hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int, limit: int) -> list[Row]:
+    """At most ``limit`` short keys that hold about ``min_rows`` rows each, or more.
+
+    Counted on a sample in which such a key is expected about a thousand times.
+    """
+    fraction = min(1.0, 1000 / min_rows)
+    sampled = df.select(*keys)
+    if fraction < 1:
+        sampled = sampled.sample(fraction, seed=0)
     return (
-        df.select(*keys)
-        .na.drop()
-        .groupBy(*keys)
+        sampled.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .filter((F.col("_n") >= min_rows) & (_key_bytes(keys) <= _MAX_KEY_BYTES))
+        .filter((F.col("_n") >= min_rows * fraction) & (_key_bytes(keys) <= _MAX_KEY_BYTES))
         .orderBy(F.col("_n").desc(), *keys)
         .limit(limit)
         .select(*keys)
+        .collect()
     )
 
 
@@ -58,36 +68,39 @@ def new_keys(
     incoming: DataFrame,
     target: DataFrame,
     keys: Sequence[str],
-    hot_rows: int = 1_000_000,
+    hot_rows: int | None = 1_000_000,
     hot_limit: int = 1000,
 ) -> DataFrame:
     """Incoming rows whose key is not in the target yet.
 
     Repeats within ``incoming`` are all kept, and so are rows with a NULL in the
-    key, which never equals a key of the target.
-
-    Only key columns of the target are read, and reduced to distinct keys before
-    the shuffle.  Keys with at least ``hot_rows`` incoming rows are looked up in
-    the target once per key instead of once per row: the answer for the
-    ``hot_limit`` largest of them (short keys only, hence about a megabyte) is
-    broadcast, and their rows no longer meet in one reducer.  All other keys,
-    however many, take the ordinary join, so the result does not depend on
-    either setting.
+    key, which never equals a key of the target.  Only key columns of the target
+    are read, and reduced to distinct keys before the shuffle.
+
+    Keys that hold ``hot_rows`` incoming rows or more would each meet in one
+    reducer.  A small job looks for them first, on a sample of the key columns.
+    They are looked up in the target once per key instead of once per row: the
+    answer for at most ``hot_limit`` of them (short ones only, hence about a
+    megabyte) is broadcast, and their rows are spread.  Which keys are found has
+    no influence on the result, since all others take the ordinary join.
+    ``hot_rows=None`` leaves the search out.
     """
     keys = list(keys)
-    hot = _hot_keys(incoming, keys, hot_rows, hot_limit)
-    hot_seen = (
-        target.select(*keys)
-        .join(F.broadcast(hot), keys, "left_semi")
-        .distinct()
-        .withColumn("_seen", F.lit(True))
-    )
-    verdict = hot.join(F.broadcast(hot_seen), keys, "left").select(
+    known = target.select(*keys).na.drop()
+    hot = _hot_keys(incoming, keys, hot_rows, hot_limit) if hot_rows else []
+    if not hot:
+        return incoming.join(known.distinct(), keys, "left_anti").select(*incoming.columns)
+
+    spark = incoming.sparkSession
+    whole = [key for key in hot if None not in key]
+    asked = F.broadcast(spark.createDataFrame(whole, incoming.select(*keys).schema))
+    seen = known.join(asked, keys, "left_semi").distinct().withColumn("_seen", F.lit(True))
+    verdict = asked.join(F.broadcast(seen), keys, "left").select(
         *keys, F.coalesce("_seen", F.lit(False)).alias("_seen")
     )
 
-    # Rows still to be looked up carry 0 and can meet the target; settled rows
-    # carry a hash that spreads them.  The hash depends on the partition number
+    # Rows still to be looked up carry 0 and can meet the target; settled rows,
+    # and rows without a whole key, carry a hash that spreads them.  The hash depends on the partition number
     # and on content only, so a recomputed task sends each row the same way.
     content = [f.name for f in incoming.schema.fields if isinstance(f.dataType, T.AtomicType)]
     spread = F.xxhash64(F.spark_partition_id(), *content)
@@ -99,8 +112,8 @@ def new_keys(
     )
     # Always 0, but not a literal: a literal would be folded out of the join key.
     zero = F.pmod(F.xxhash64(*keys), F.lit(1))
-    known = target.select(*keys).na.drop().withColumn("_spread", zero).distinct()
-    return probe.join(known, [*keys, "_spread"], "left_anti").select(*incoming.columns)
+    lookup = known.withColumn("_spread", zero).distinct()
+    return probe.join(lookup, [*keys, "_spread"], "left_anti").select(*incoming.columns)
 
 
 def _fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int) -> bool:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
 
@@ -20,9 +21,9 @@ def create_layers(spark: SparkSession, names: Iterable[str], root: str) -> dict[
         location = storage.qualify(spark, f"{root.rstrip('/')}/{name}")
         quoted = location.replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{name}` LOCATION '{quoted}'")
-        described = spark.sql(f"DESCRIBE SCHEMA `{name}`").filter("info_name = 'Location'")
-        actual = storage.qualify(spark, described.first().info_value)
-        if actual != location:
+        actual = storage.qualify(spark, spark.catalog.getDatabase(name).locationUri)
+        # The catalog may report the location as a URI, with blanks encoded.
+        if unquote(actual) != unquote(location):
             raise ValueError(f"schema {name} lies at {actual}, not at {location}")
         locations[name] = location
     return locations

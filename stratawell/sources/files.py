@@ -22,8 +22,8 @@ def _keep_whole_record(df: DataFrame, schema: T.StructType, corrupt_col: str | N
     """
     if corrupt_col is None:
         return df
-    whole = F.xxhash64(*[F.col(f"`{f.name}`") for f in schema.fields])
-    always = whole >= F.lit(-(2**63))
+    seen = F.xxhash64(*[F.col(f"`{f.name}`").isNull() for f in schema.fields])
+    always = seen >= F.lit(-(2**63))
     return df.withColumn(corrupt_col, F.when(always, F.col(f"`{corrupt_col}`")))
 
 

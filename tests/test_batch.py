@@ -154,11 +154,24 @@ def test_read_since_is_pushed_to_the_scan(events):
     assert "GreaterThan(event_id,10)" in plan_of(sw.read_since(events, "event_id", 10))
 
 
-def test_marks_chain_loads_without_gap_or_overlap(events):
-    first = events.filter("event_id < 400")
-    mark = sw.high_water_mark(first, "ts")
-    rest = sw.read_since(events, "ts", mark)
-    assert same_rows(first.unionByName(rest), events)
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+@pytest.mark.parametrize("dtype", ["timestamp_ntz", "timestamp", "string", "date"])
+def test_marks_chain_loads_without_gap_or_overlap(spark, events, zone, dtype):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        typed = events.withColumn("ts", F.col("ts").cast(dtype))
+        half = typed.orderBy("event_id").filter("event_id = 400").first().ts
+        first = typed.filter(F.col("ts") <= F.lit(str(half)).cast(dtype))
+        mark = sw.high_water_mark(first, "ts")
+        rest = sw.read_since(typed, "ts", mark)
+        assert first.count() > 300 and rest.count() > 300
+        assert same_rows(first.unionByName(rest), typed)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_no_mark_means_everything(events):
     assert sw.high_water_mark(events.limit(0), "ts") is None
     assert same_rows(sw.read_since(events, "ts", None), events)
 

@@ -101,6 +101,22 @@ def test_file_stream_keeps_malformed_text(spark, tmp_path):
     assert sorted((r.k or 0, r.bad) for r in got.collect()) == [(0, True), (1, False), (2, True)]
 
 
+def test_corrupt_flag_with_nested_and_required_columns(spark, tmp_path):
+    landing = str(tmp_path / "landing")
+    write(landing, "a.json", '{"k":1,"m":{"a":1},"r":{"x":1}}\n{"k":2,"m":{"a":"z"},"r":{"x":1}}\n')
+    write(landing, "b.json", '{"k":3,"m":{},"r":{"x":"z"}}\n{"k":"z","m":{},"r":{"x":1}}\n')
+    schema = T.StructType(
+        [
+            T.StructField("k", T.LongType(), nullable=False),
+            T.StructField("m", T.MapType(T.StringType(), T.IntegerType())),
+            T.StructField("r", T.StructType([T.StructField("x", T.IntegerType())]), nullable=False),
+        ]
+    )
+    stream = sw.file_stream(spark, landing, "json", schema, corrupt_col="_corrupt")
+    got = drain(stream.select(F.col("_corrupt").isNotNull().alias("bad")), tmp_path, "out")
+    assert sorted(r.bad for r in got.collect()) == [False, True, True, True]
+
+
 def test_file_stream_csv_equals_batch(spark, mixed, tmp_path):
     stream = sw.file_stream(spark, mixed, "csv", SCHEMA, corrupt_col="_corrupt", header=True)
     batch = sw.csv_source(spark, mixed, SCHEMA, corrupt_col="_corrupt")
