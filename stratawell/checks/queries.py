@@ -225,10 +225,15 @@ def silver_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sw.silver_build(sw.read_layer(spark, out), _event_rules()).accepted
 
 
+def _event_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Columns are chosen first: deduplication reads all it gets, to break ties.
+    return fx.table(spark, sf_dir, "events").select("event_id", "ts", "value")
+
+
 def dedup_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = fx.table(spark, sf_dir, "events")
+    events = _event_values(spark, sf_dir)
     versions = events.unionByName(fx.revised_events(events))
-    return sw.dedup(versions, ["event_id"], [F.col("ts").desc()]).select("event_id", "ts", "value")
+    return sw.dedup(versions, ["event_id"], [F.col("ts").desc()])
 
 
 def dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -260,17 +265,14 @@ def _event_changes(events: DataFrame) -> DataFrame:
 
 
 def upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = fx.table(spark, sf_dir, "events")
-    merged = sw.upsert(events, _event_changes(events), ["event_id"], [F.col("ts").desc()])
-    return merged.select("event_id", "ts", "value")
+    events = _event_values(spark, sf_dir)
+    return sw.upsert(events, _event_changes(events), ["event_id"], [F.col("ts").desc()])
 
 
 def upsert_unique_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = fx.table(spark, sf_dir, "events")
-    merged = sw.upsert(
-        events, _event_changes(events), ["event_id"], [F.col("ts").desc()], unique_target=True
-    )
-    return merged.select("event_id", "ts", "value")
+    events = _event_values(spark, sf_dir)
+    newest = [F.col("ts").desc()]
+    return sw.upsert(events, _event_changes(events), ["event_id"], newest, unique_target=True)
 
 
 def grouped_measures(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,6 +31,28 @@ def qualify(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(hadoop_path).toString()
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write one short text file, with its directory, replacing it if present."""
+    fs, hadoop_path = _resolve(spark, path)
+    out = fs.create(hadoop_path, True)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a short file; None if there is no such file."""
+    fs, hadoop_path = _resolve(spark, path)
+    if not fs.exists(hadoop_path):
+        return None
+    stream = fs.open(hadoop_path)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def workspace(spark: SparkSession) -> str:
     """A fresh directory that every executor can reach.
 

@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stratawell.functions import storage
@@ -14,14 +13,6 @@ from stratawell.functions import storage
 _OWNER = "layer_sink"
 
 
-def _owner(spark: SparkSession, path: str) -> str | None:
-    """The output a checkpoint was made for; None if it has not been recorded."""
-    if not storage.exists(spark, path):
-        return None
-    row = spark.read.text(path).first()
-    return row and row[0]
-
-
 def bind_checkpoint(spark: SparkSession, out: str, checkpoint: str) -> None:
     """Tie a checkpoint to one output for good, or refuse.
 
@@ -34,8 +25,8 @@ def bind_checkpoint(spark: SparkSession, out: str, checkpoint: str) -> None:
     out = storage.qualify(spark, out)
     owner_path = f"{checkpoint.rstrip('/')}/{_OWNER}"
     sink_log = f"{out}/_spark_metadata"
-    owner = _owner(spark, owner_path)
-    if owner is not None:
+    owner = storage.read_text(spark, owner_path)
+    if owner:
         if owner != out:
             raise ValueError(f"checkpoint {checkpoint} belongs to {owner}, not to {out}")
         if storage.has_entries(spark, f"{checkpoint}/commits") and not storage.has_entries(
@@ -47,13 +38,7 @@ def bind_checkpoint(spark: SparkSession, out: str, checkpoint: str) -> None:
         raise ValueError(f"checkpoint {checkpoint} was made by another query")
     if storage.has_entries(spark, out):
         raise ValueError(f"{out} already holds data that checkpoint {checkpoint} does not know")
-    (
-        spark.range(1)
-        .select(F.lit(out).alias("value"))
-        .coalesce(1)
-        .write.mode("overwrite")
-        .text(owner_path)
-    )
+    storage.write_text(spark, owner_path, out)
 
 
 def stream_sink(
