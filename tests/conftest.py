@@ -5,7 +5,7 @@ from pyspark.sql import SparkSession
 @pytest.fixture(scope="session")
 def spark():
     session = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master("local[8,4]")  # tasks may fail three times
         .appName("stratawell-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")

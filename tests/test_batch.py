@@ -344,6 +344,25 @@ def test_dashboard_builds_every_panel(events):
     assert tables["busiest"].columns == ["user_id", "n"] and tables["busiest"].count() == 3
 
 
+def test_panels_can_be_built_from_a_summary_layer(spark, events):
+    out = f"{fresh(spark)}/summary"
+    figures = {"n": sw.row_count(), "total": sw.exact_sum("value")}
+    sw.bronze_append(sw.time_series(events, "ts", "day", figures, dims=["event_type"]), out)
+    again = {"n": F.sum("n"), "total": sw.exact_sum("total")}
+
+    def panels(aggs, time_col):
+        return {
+            "by_type": sw.Grouped(["event_type"], aggs),
+            "by_month": sw.Series(time_col, "month", aggs),
+            "totals": sw.Headline(aggs),
+        }
+
+    raw = sw.dashboard_dataset(events, panels(figures, "ts"))
+    summed = sw.dashboard_dataset(sw.read_layer(spark, out), panels(again, "day"))
+    for name, table in raw.items():
+        assert same_rows(table, summed[name])
+
+
 # silver and namespaces
 
 
