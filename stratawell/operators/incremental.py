@@ -77,13 +77,15 @@ def new_keys(
     key, which never equals a key of the target.  Only key columns of the target
     are read, and reduced to distinct keys before the shuffle.
 
-    Keys that hold ``hot_rows`` incoming rows or more would each meet in one
-    reducer.  A small job looks for them first, on a sample of the key columns.
+    Keys that hold ``hot_rows`` incoming rows or more (choose what one reducer
+    should take) would each meet in one reducer.  A small job looks for them first, on a sample of the key columns.
     They are looked up in the target once per key instead of once per row: the
     answer for at most ``hot_limit`` of them (short ones only, hence about a
     megabyte) is broadcast, and their rows are spread.  Which keys are found has
     no influence on the result, since all others take the ordinary join.
     ``hot_rows=None`` leaves the search out.
+
+    Both tables are read more than once, so pass stored ones.
     """
     keys = list(keys)
     known = target.select(*keys).na.drop()
@@ -139,7 +141,8 @@ def upsert(
     key, as the result of this function does.  The changed keys are then counted
     and measured first.  If they are few enough to broadcast, target rows of
     other keys pass through without a shuffle; if not, target and changes are
-    shuffled together, once, as they are without ``unique_target``.
+    shuffled together, once, as they are without ``unique_target``.  Both tables
+    are then read more than once, so pass stored ones.
     """
     keys = list(keys)
     order = list(order)

@@ -134,6 +134,11 @@ def test_event_options_split_busy_partitions_unless_told(spark):
     assert event_options({"minPartitions": "8"}, 64) == {"minPartitions": "8"}
 
 
+def test_event_stream_without_connector_says_so(spark):
+    with pytest.raises(Exception, match="kafka"):
+        sw.event_stream(spark, {"kafka.bootstrap.servers": "none:1", "subscribe": "t"})
+
+
 def test_event_replay_has_the_envelope_columns(spark, tmp_path):
     archive = str(tmp_path / "archive")
     spark.createDataFrame([], sw.ENVELOPE).write.parquet(archive)
