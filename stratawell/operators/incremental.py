@@ -77,13 +77,14 @@ def new_keys(
     key, which never equals a key of the target.  Only key columns of the target
     are read, and reduced to distinct keys before the shuffle.
 
-    Keys that hold ``hot_rows`` incoming rows or more (choose what one reducer
-    should take) would each meet in one reducer.  A small job looks for them first, on a sample of the key columns.
-    They are looked up in the target once per key instead of once per row: the
-    answer for at most ``hot_limit`` of them (short ones only, hence about a
-    megabyte) is broadcast, and their rows are spread.  Which keys are found has
-    no influence on the result, since all others take the ordinary join.
-    ``hot_rows=None`` leaves the search out.
+    The rows of one key would all meet in one reducer, so keys that hold
+    ``hot_rows`` incoming rows or more (choose what one reducer should take) are
+    looked for first, in a small job on a sample of the key columns.  These are
+    looked up in the target once per key instead of once per row: the answer for
+    at most ``hot_limit`` of them (short ones only, hence about a megabyte) is
+    broadcast, and their rows are spread.  Which keys are found has no influence
+    on the result, since all others take the ordinary join.  ``hot_rows=None``
+    leaves the search out.
 
     Both tables are read more than once, so pass stored ones.
     """
@@ -102,8 +103,9 @@ def new_keys(
     )
 
     # Rows still to be looked up carry 0 and can meet the target; settled rows,
-    # and rows without a whole key, carry a hash that spreads them.  The hash depends on the partition number
-    # and on content only, so a recomputed task sends each row the same way.
+    # and rows without a whole key, carry a hash that spreads them.  The hash
+    # depends on the partition number and on content only, so a recomputed task
+    # sends each row the same way.
     content = [f.name for f in incoming.schema.fields if isinstance(f.dataType, T.AtomicType)]
     spread = F.xxhash64(F.spark_partition_id(), *content)
     has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])

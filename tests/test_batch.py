@@ -57,6 +57,25 @@ def test_partitioned_append_rebalances(spark, events):
     assert len(layer.inputFiles()) == events.select("event_type").distinct().count()
 
 
+def test_hot_partition_value_is_written_by_several_tasks(spark):
+    events = spark.read.parquet("/root/testdata/sf0.1/events.parquet")
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "256KB")
+    try:
+        work = fresh(spark)
+        out = f"{work}/bronze"
+        kind = F.when(F.col("event_id") % 3 == 0, F.col("event_type")).otherwise("hot")
+        events.withColumn("event_type", kind).repartition(16).write.parquet(f"{work}/many")
+        many = spark.read.parquet(f"{work}/many")
+        sw.bronze_append(many, out, partition_by=["event_type"])
+    finally:
+        spark.conf.set(name, before)
+    layer = sw.read_layer(spark, out)
+    assert same_rows(layer, many)
+    assert sum("event_type=hot" in f for f in layer.inputFiles()) > 1
+
+
 # conform and validity
 
 
@@ -209,7 +228,8 @@ def test_long_hot_keys_take_the_ordinary_join(spark, events):
 @pytest.mark.parametrize("null_key", [False, True])
 def test_new_keys_spreads_a_hot_key(spark, events, shuffled_joins, null_key):
     hot = F.lit(None if null_key else -5).cast("bigint")
-    incoming = events.withColumn("event_id", F.when(F.col("event_id") % 3 == 0, hot).otherwise(F.col("event_id")))
+    key = F.when(F.col("event_id") % 3 == 0, hot).otherwise(F.col("event_id"))
+    incoming = events.withColumn("event_id", key)
     target = events.filter("event_id % 3 = 1")
     got = sw.new_keys(incoming, target, ["event_id"], hot_rows=100)
     sizes = got.groupBy(F.spark_partition_id()).count().collect()
@@ -217,6 +237,17 @@ def test_new_keys_spreads_a_hot_key(spark, events, shuffled_joins, null_key):
     assert len(sizes) == 8 and max(r["count"] for r in sizes) < 2 * got.count() / 8
 
 
+def test_new_keys_spreads_exact_copies(spark, events, shuffled_joins):
+    copy = events.filter("event_id = 4").withColumn("event_id", F.lit(-5).cast("bigint"))
+    copies = copy.join(F.broadcast(spark.range(500)), how="cross").drop("id").repartition(32)
+    incoming = events.repartition(32).unionByName(copies)
+    got = sw.new_keys(incoming, events.filter("event_id % 2 = 1"), ["event_id"], hot_rows=100)
+    copied = got.filter("event_id = -5")
+    sizes = copied.groupBy(F.spark_partition_id()).count().collect()
+    assert copied.count() == 500 and got.count() == 1000
+    assert len(sizes) >= 6 and max(r["count"] for r in sizes) < 500 / 2
+
+
 def changes_of(events):
     return fx.revised_events(events).unionByName(
         events.filter("event_id % 50 = 0").withColumn("event_id", F.col("event_id") + 1_000_000)

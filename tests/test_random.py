@@ -18,7 +18,10 @@ def rows(rng, n):
     return [
         (7, "x", rng.randrange(9), rng.randrange(4))
         if rng.random() < 1 / 3
-        else (maybe(rng.randrange(12)), maybe(rng.choice("xyz")), maybe(rng.randrange(9)), maybe(rng.randrange(4)))
+        else tuple(
+            maybe(value)
+            for value in (rng.randrange(12), rng.choice("xyz"), rng.randrange(9), rng.randrange(4))
+        )
         for _ in range(n)
     ]
 
