@@ -7,7 +7,8 @@ operator over the whole of it and returns a DataFrame.
 from __future__ import annotations
 
 import datetime
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -236,14 +237,27 @@ def dedup_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sw.dedup(versions, ["event_id"], [F.col("ts").desc()])
 
 
+@contextmanager
+def _state_partitions(spark: SparkSession) -> Iterator[None]:
+    """No more state partitions than cores: each is opened and committed in every batch."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, min(int(before), spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = fx.table(spark, sf_dir, "events")
     work = workspace(spark)
     for wave in fx.repeat_waves(events):
         fx.stage_parquet(wave, f"{work}/landing")
-        stream = sw.file_stream(spark, f"{work}/landing", "parquet", events.schema)
-        once = sw.dedup_stream(stream, ["event_id"], "ts", REPEAT_DELAY)
-        sw.ingest_incremental(once, f"{work}/layer", f"{work}/checkpoint")
+        with _state_partitions(spark):
+            stream = sw.file_stream(spark, f"{work}/landing", "parquet", events.schema)
+            once = sw.dedup_stream(stream, ["event_id"], "ts", REPEAT_DELAY)
+            sw.ingest_incremental(once, f"{work}/layer", f"{work}/checkpoint")
     return sw.read_layer(spark, f"{work}/layer").select("event_id", "event_type")
 
 
