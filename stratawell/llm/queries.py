@@ -7,9 +7,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stratawell.llm import simhash
+from stratawell.llm import langid, packing, pieces, privacy, simhash
+from stratawell.llm.common import id_bucket
+
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +26,71 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(_table(spark, sf_dir, "documents"))
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), WORD_TOKENIZER).select(
+        "doc_id",
+        "piece",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "sequence_id",
+        "offset",
+    )
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(id_bucket("doc_id", 4) == 2, F.lit(False))
+    model = langid.fit(docs.filter(~held_out), "text", "lang", F.xxhash64("doc_id"))
+    return langid.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "lang_pred",
+        F.col("lang_score").alias("score"),
+        F.col("lang_rejected").alias("rejected"),
+    )
+
+
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = privacy.find_private(docs).select("doc_id", "private")
+    base = F.filter("private", lambda s: s["kind"].isin([k.name for k in privacy.BASE]))
+
+    def text(spans):
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+        )
+
+    return found.select(
+        "doc_id",
+        *[
+            F.size(F.filter("private", lambda s, name=kind.name: s["kind"] == name))
+            .cast("bigint")
+            .alias(f"n_{kind.name}")
+            for kind in privacy.BASE
+        ],
+        F.sha2(text(base), 256).alias("base_sha256"),
+        text(F.col("private")).alias("spans"),
+    )
+
+
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = pieces.encode_decode(_table(spark, sf_dir, "documents"), PIECE_MODEL)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op1_simhash_dedup,)
+    query.__name__: query
+    for query in (
+        op1_simhash_dedup,
+        op2_best_fit_packing,
+        op5_language_id,
+        op9_personal_data,
+        op10_pieces,
+    )
 }
