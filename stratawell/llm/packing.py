@@ -325,7 +325,8 @@ def pack(
         [(p.length, p.first, p.end, p.sequence, p.copies, p.offset) for p in plan_places(counts, capacity)],
         "length bigint, first bigint, end bigint, sequence bigint, copies bigint, at bigint",
     )
-    ranked = pieces.join(before, ["part", "length"]).withColumn(
+    # Merged, as the ranks grow with the number of tasks.
+    ranked = pieces.join(before.hint("merge"), ["part", "length"]).withColumn(
         "rank", F.col("before") + F.col("rank_in_part")
     )
     # The places depend on the capacity alone: lengths are whole numbers up to it.

@@ -11,6 +11,7 @@ most, so the work is linear in the length of the text.
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 
 SPACE = "▁"
 #: What one worker remembers; beyond it, it starts anew.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 1_000_000
 KEPT_PAIRS = 300_000
 
 
@@ -41,8 +42,40 @@ def merged(text: str, rank: dict[str, int]) -> list[str]:
     return symbols
 
 
+class _Fits(dict):
+    """Whether two symbols stay apart when what they spell is merged."""
+
+    def __init__(self, rank: dict[str, int]):
+        super().__init__()
+        self._rank = rank
+
+    def __missing__(self, pair: tuple[str, str]) -> bool:
+        if len(self) > KEPT_PAIRS:
+            self.clear()
+        left, right = pair
+        known = self[pair] = merged(left + right, self._rank) == [left, right]
+        return known
+
+
+class _Shorter(dict):
+    """The longest piece that a longer one starts with; a single character always counts."""
+
+    def __init__(self, automaton: ahocorasick.Automaton):
+        super().__init__()
+        self._exists = automaton.exists
+
+    def __missing__(self, piece: str) -> str | None:
+        lengths = range(len(piece) - 1, 1, -1)
+        shorter = next((piece[:n] for n in lengths if self._exists(piece[:n])), None)
+        found = self[piece] = shorter or (piece[:1] if len(piece) > 1 else None)
+        return found
+
+
 class PieceModel(dict):
-    """A model's encoder; as a dict, the packed ids of the words seen of late."""
+    """The encoder of a BPE model without user-defined pieces.
+
+    As a dict, it has the packed ids of the words seen of late.
+    """
 
     def __init__(self, path: str):
         super().__init__()
@@ -54,71 +87,46 @@ class PieceModel(dict):
             if not any(kind(i) for kind in special)
         }
         by_score = sorted(self._ids, key=lambda piece: -library.get_score(self._ids[piece]))
-        self._rank = {piece: at for at, piece in enumerate(by_score)}
+        rank = {piece: at for at, piece in enumerate(by_score)}
         self._bytes = [library.piece_to_id(f"<0x{byte:02X}>") for byte in range(256)]
         # A piece that merging never builds from its characters cannot come out of merging.
         self._automaton = ahocorasick.Automaton()
         for piece in self._ids:
-            if merged(piece, self._rank) == [piece]:
+            if merged(piece, rank) == [piece]:
                 self._automaton.add_word(piece, len(piece))
         self._automaton.make_automaton()
-        self._shorter: dict[str, str | None] = {}
-        self._fits: dict[str, dict[str, bool]] = {}
-        self._tested = 0
+        self._shorter = _Shorter(self._automaton)
+        self._fits = _Fits(rank)
         #: No piece continues over the start of a word, so words can be encoded one by one.
         self._by_word = not any(SPACE in piece.lstrip(SPACE) for piece in self._ids)
 
-    def _next_shorter(self, piece: str) -> str | None:
-        """The longest piece that the given one starts with; a single character always counts."""
-        if piece not in self._shorter:
-            found = piece[:1] if len(piece) > 1 else None
-            for length in range(len(piece) - 1, 1, -1):
-                if self._automaton.exists(piece[:length]):
-                    found = piece[:length]
-                    break
-            self._shorter[piece] = found
-        return self._shorter[piece]
-
-    def _fit(self, left: str, right: str) -> bool:
-        after = self._fits.get(left)
-        if after is None:
-            after = self._fits[left] = {}
-        known = after.get(right)
-        if known is None:
-            if self._tested > KEPT_PAIRS:
-                self._fits, self._tested = {}, 0
-                after = self._fits[left] = {}
-            known = after[right] = merged(left + right, self._rank) == [left, right]
-            self._tested += 1
-        return known
-
     def split(self, word: str) -> list[str]:
         """The symbols that merging yields for a word, found by backtracking."""
-        longest = [1] * len(word)
+        size, fits, shorter = len(word), self._fits, self._shorter
+        longest = [1] * size
         for end, length in self._automaton.iter(word):
-            start = end - length + 1
-            if length > longest[start]:
-                longest[start] = length
-        # the bitfield: positions from which the rest can, as far as is known, be split
-        open_ = bytearray(b"\1") * (len(word) + 1)
+            if length > longest[end - length + 1]:
+                longest[end - length + 1] = length
+        # the bitfield: positions from which, as far as is known, the rest can be split
+        open_ = bytearray(b"\1") * (size + 1)
         symbols: list[str] = []
-        at, size = 0, len(word)
-        piece: str | None = word[: longest[0]] if word else None
+        at, last = 0, None
+        piece: str | None = word[: longest[0]]
         while at < size:
-            last = symbols[-1] if symbols else None
             while piece is not None:
                 end = at + len(piece)
-                if open_[end] and (last is None or self._fit(last, piece)):
+                if open_[end] and (last is None or fits[last, piece]):
                     break
-                piece = self._next_shorter(piece)
+                piece = shorter[piece]
             if piece is not None:
                 symbols.append(piece)
-                at = end
+                at, last = end, piece
                 piece = word[at : at + longest[at]] if at < size else None
             else:
                 open_[at] = 0
                 piece = symbols.pop()
                 at -= len(piece)
+                last = symbols[-1] if symbols else None
         return symbols
 
     def __missing__(self, word: str) -> bytes:
@@ -129,7 +137,7 @@ class PieceModel(dict):
                 ids.append(known)
             else:
                 ids += [self._bytes[byte] for byte in symbol.encode()]
-        packed = self[word] = np.array(ids, dtype="<i4").tobytes()
+        packed = self[word] = struct.pack(f"<{len(ids)}i", *ids)
         return packed
 
     _words = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+").findall

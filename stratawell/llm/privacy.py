@@ -167,16 +167,12 @@ def find_private(
     new = unused(docs, into)
     parts = [unused(docs, f"_{kind.name}") for kind in kinds]
     found = docs.select("*", *[_spans(text, kind).alias(p) for kind, p in zip(kinds, parts)])
-    named = [
-        F.transform(
-            F.col(part),
-            lambda s, name=kind.name: F.struct(
-                F.lit(name).alias("kind"), s["start"], s["end"], s["score"]
-            ),
-        )
-        for kind, part in zip(kinds, parts)
-    ]
-    return found.select(*[F.col(f"`{c}`") for c in docs.columns], F.concat(*named).alias(new))
+
+    def named(name: str) -> Callable[[Column], Column]:
+        return lambda s: F.struct(F.lit(name).alias("kind"), s["start"], s["end"], s["score"])
+
+    all_spans = [F.transform(part, named(kind.name)) for kind, part in zip(kinds, parts)]
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns], F.concat(*all_spans).alias(new))
 
 
 def mask(text: Column, spans: Column) -> Column:

@@ -8,11 +8,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratawell.llm import langid, packing, pieces, privacy, simhash
-from stratawell.llm.common import id_bucket
+from stratawell.llm import (
+    kdtree,
+    kneser_ney,
+    langid,
+    packing,
+    pieces,
+    privacy,
+    quantised,
+    simhash,
+    site_quality,
+    substrings,
+)
+from stratawell.llm.common import Steps, id_bucket
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -38,6 +49,29 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(id_bucket("doc_id", 7) == 2, F.lit(False))
+    model = kneser_ney.fit(docs.filter(~held_out))
+    steps = Steps(spark)
+    scored = steps.save(kneser_ney.score(docs, model))
+    model.delete(steps)
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+        "perplexity",
+    )
+
+
+def op4_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quantised.vector_groups(_table(spark, sf_dir, "embeddings"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = F.coalesce(id_bucket("doc_id", 4) == 2, F.lit(False))
@@ -51,12 +85,42 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return kdtree.largest_products(vectors, F.col("vec_id") % 100 == 0)
+
+
+def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.drop_repeated(docs).select(
+        "doc_id",
+        "removal.n_words",
+        "removal.n_removed",
+        F.sha2("removal.kept", 256).alias("kept_sha256"),
+    )
+
+
+def op8_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    labels = _table(spark, sf_dir, "labels")
+    models = site_quality.fit_text(
+        docs.join(labels, "doc_id"), "text", ["quality", "toxic"], F.xxhash64("doc_id")
+    )
+    scored = site_quality.site_quality(docs, models, F.col("source"), F.col("lang"))
+    good = (F.col("quality") >= 0.5) & (F.col("toxic") < 0.5)
+    return scored.select("doc_id", "host", "path", "quality", "toxic", good.alias("kept"))
+
+
+def _is_a(name: str) -> Callable[[Column], Column]:
+    return lambda span: span["kind"] == name
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = privacy.find_private(docs).select("doc_id", "private")
     base = F.filter("private", lambda s: s["kind"].isin([k.name for k in privacy.BASE]))
 
-    def text(spans):
+    def text(spans: Column) -> Column:
         return F.array_join(
             F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
         )
@@ -64,9 +128,7 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id",
         *[
-            F.size(F.filter("private", lambda s, name=kind.name: s["kind"] == name))
-            .cast("bigint")
-            .alias(f"n_{kind.name}")
+            F.size(F.filter("private", _is_a(kind.name))).cast("bigint").alias(f"n_{kind.name}")
             for kind in privacy.BASE
         ],
         F.sha2(text(base), 256).alias("base_sha256"),
@@ -89,7 +151,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for query in (
         op1_simhash_dedup,
         op2_best_fit_packing,
+        op3_kneser_ney,
+        op4_vector_dedup,
         op5_language_id,
+        op6_top_products,
+        op7_repeated_passages,
+        op8_site_quality,
         op9_personal_data,
         op10_pieces,
     )

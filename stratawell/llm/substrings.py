@@ -121,7 +121,7 @@ def _resolved(buffer: list[tuple[int, Found]]) -> pa.RecordBatch:
 _PENDING = "hash bigint, key bigint, lo int, hi int, known boolean, sent boolean"
 
 
-def _pending(rows: Iterable[tuple[int, list[Segment]]], length: int, window: int):
+def _pending(rows: Iterable[tuple[int, list[Segment]]], length: int, window: int, most: int):
     buffer: list[tuple[int, Found]] = []
     size = 0
     for key, segments in rows:
@@ -130,7 +130,7 @@ def _pending(rows: Iterable[tuple[int, list[Segment]]], length: int, window: int
                 found = anchors(segment, length, window)
                 buffer.append((key, found))
                 size += len(found[0])
-        if size >= BUFFER:
+        if size >= most:
             yield _resolved(buffer)
             buffer, size = [], 0
     if buffer:
@@ -164,10 +164,13 @@ def _repeated(pending: DataFrame) -> DataFrame:
     return found.groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
 
 
-def repeated_windows(steps: Steps, texts: DataFrame, window: int) -> DataFrame:
+def repeated_windows(
+    steps: Steps, texts: DataFrame, window: int, buffer: int = BUFFER
+) -> DataFrame:
     """(key, spans) of the words at which a window starts that also starts elsewhere.
 
-    texts: (key, text), a step table with a key for each row.
+    texts: (key, text), a step table with a key for each row.  ``buffer`` is how many windows a task
+    compares at a time; it has no influence on the result.
     """
     first, *longer = lengths(window)
 
@@ -177,7 +180,7 @@ def repeated_windows(steps: Steps, texts: DataFrame, window: int) -> DataFrame:
             for batch in batches
             for key, text in zip(batch.column("key").to_pylist(), batch.column("text"))
         )
-        yield from _pending(rows, first, window)
+        yield from _pending(rows, first, window, buffer)
 
     pending = steps.save(texts.mapInArrow(whole, _PENDING))
     spans = steps.save(_repeated(pending))
@@ -223,7 +226,7 @@ def repeated_windows(steps: Steps, texts: DataFrame, window: int) -> DataFrame:
                             parts = cut(parts, _spans(batch.column("spans"), row), window)
                         yield key, parts
 
-            yield from _pending(rows(), length, window)
+            yield from _pending(rows(), length, window, buffer)
 
         candidates = regions if spans is None else regions.join(spans, "key")
         pending = steps.save(candidates.mapInArrow(narrowed, _PENDING))

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import re
+import struct
 
-import numpy as np
 from tokenizers import Tokenizer
 
 #: Words kept with their ids by one worker; beyond it, it starts anew.
@@ -35,7 +35,7 @@ class WordTokens(dict):
             ids = [token.id for part in self._parts(word.lower()) for token in tokenize(part)]
         else:
             ids = self._whole.encode(word, add_special_tokens=False).ids
-        packed = self[word] = np.array(ids, dtype="<u4").tobytes()
+        packed = self[word] = struct.pack(f"<{len(ids)}I", *ids)
         return packed
 
     def encode(self, text: str) -> bytes:

@@ -1,0 +1,64 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from stratawell.llm import kdtree, queries
+from tests.llm.cases import DATA, table
+
+SCHEMA = "vec_id bigint, embedding array<float>"
+
+
+def brute(rows, k=10, every=100):
+    whole = []
+    for i, (one, vector) in enumerate(rows):
+        if one is not None and vector and all(x is not None and math.isfinite(x) for x in vector):
+            whole.append((i, one, [math.floor(1024 * x) for x in vector]))
+    out = []
+    for i, one, query in whole:
+        if one % every == 0:
+            found = [
+                (-sum(a * b for a, b in zip(query, vector)), other)
+                for j, other, vector in whole
+                if j != i and len(vector) == len(query)
+            ]
+            out += [(one, rank, other, -turned) for rank, (turned, other) in enumerate(sorted(found)[:k], 1)]
+    return sorted(out)
+
+
+def test_query_against_brute_force(spark):
+    rows = [tuple(r) for r in table(spark, "embeddings").select("vec_id", "embedding").collect()]
+    assert sorted(map(tuple, queries.op6_top_products(spark, DATA).collect())) == brute(rows)
+
+
+@pytest.mark.parametrize(("shard", "block", "leaf"), [(7, 3, 2), (50, 4096, 8), (8192, 2, 128)])
+def test_shards_blocks_and_ties(spark, monkeypatch, shard, block, leaf):
+    monkeypatch.setattr(kdtree, "SHARD", shard)
+    monkeypatch.setattr(kdtree, "QUERIES", block)
+    monkeypatch.setattr(kdtree, "LEAF", leaf)
+    rng = np.random.default_rng(leaf)
+    vectors = [[float(x) for x in rng.integers(-2, 3, 3)] for _ in range(160)]
+    vectors[60:110] = [vectors[0]] * 50
+    rows = list(enumerate(vectors))
+    got = kdtree.largest_products(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 20 == 0)
+    assert sorted(map(tuple, got.collect())) == brute(rows, every=20)
+
+
+def test_hard_rows(spark):
+    v = [0.5, -1.25, 3.0]
+    rows = [
+        (0, None), (0, [1.0, None, 2.0]), (0, [float("nan")] * 3), (100, [float("-inf"), 1.0, 1.0]), (None, v),
+        (200, v), (200, v), (5, v), (5, v), (6, [0.0, 0.0, 0.0]), (300, [1.0, 2.0]), (7, [1.0, 2.0]), (400, []),
+        (500, [1e9, 1e9, 1e9, 1e9]), (8, [1e3, -1e3, 0.1, 0.2]), (600, [4.0] * 5), (-100, v),
+    ]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    for name in ("id", "vector", "key", "size", "shard", "block", "floor", "rank", "asks"):
+        docs = docs.withColumn(name, F.lit(1))
+    got = kdtree.largest_products(docs, F.col("vec_id") % 100 == 0)
+    assert sorted(map(tuple, got.collect())) == brute(rows)
+
+
+def test_no_rows(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert kdtree.largest_products(empty, F.col("vec_id") % 100 == 0).collect() == []
