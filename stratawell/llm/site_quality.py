@@ -21,11 +21,13 @@ from pyspark.sql import functions as F
 from stratawell.llm.common import Steps
 
 #: Labelled documents that the classifier is fitted on: those with the smallest hashes of ids.
-SAMPLE = 6000
+SAMPLE = 12_000
 BUCKETS = 1 << 17
-EPOCHS = 12
+LEAST_TEXTS = 4
+LEAST_DEVIATION = 4.0
+EPOCHS = 10
 LEARNING_RATE = 0.3
-PENALTY = 1e-5
+PENALTY = 1e-3
 #: Prior documents that a site is worth at least and at most.
 LEAST_PRIOR, MOST_PRIOR = 1.0, 1e6
 #: Evidence counts no more than this, in log odds.
@@ -35,32 +37,47 @@ _PARTS = re.compile(r"[^\W_]+|[^\w\s]+|_+").findall
 
 
 def features(text: str | None) -> np.ndarray:
-    """The buckets of the words and signs of a text, each once, and of how often signs occur."""
+    """The buckets of the words and signs of a text, each once, and of how it is written."""
     parts = _PARTS(text.lower()) if text else []
-    known: dict[str, int] = {}
-    signs = 0
-    for part in parts:
-        known[part] = 1
-        signs += not part[0].isalnum()
-    share = signs / len(parts) if parts else 0.0
-    known[f" signs {min(9, int(share * 20))}"] = 1
+    signs = sum(not part[0].isalnum() for part in parts)
+    again = sum(map(str.__eq__, parts, parts[1:]))
+    lines = text.split("\n") if text else [""]
+    known = dict.fromkeys(parts)
+    for name, count, whole in (
+        ("signs", signs, len(parts)),
+        ("again", again, len(parts)),
+        ("lines", len(lines) - len(set(lines)), len(lines)),
+        ("words", len(known), len(parts)),
+    ):
+        known[f" {name} {int(count / max(whole, 1) * 20)}"] = None
     hashed = pd.util.hash_array(np.array(list(known), dtype=object), categorize=False)
     return np.unique((hashed % BUCKETS).astype(np.int64))
 
 
 @dataclass(frozen=True)
 class Linear:
-    """Log odds: a bias and the mean weight of the features, times the root of their number."""
+    """Log odds: a bias and the weights of the features."""
 
     weights: np.ndarray
     bias: float
 
     def log_odds(self, found: np.ndarray) -> float:
-        return float(self.bias + self.weights[found].sum() / np.sqrt(len(found)))
+        return float(self.bias + self.weights[found].sum())
 
 
 def _fit(samples: list[np.ndarray], target: np.ndarray) -> Linear:
-    """Logistic regression by stochastic gradients with a rate for each weight."""
+    """Logistic regression by stochastic gradients with a rate for each weight.
+
+    Features that go with the target no more than chance makes them have no weight: the share of
+    the target among their texts is within ``LEAST_DEVIATION`` standard deviations of its mean.
+    """
+    n = np.bincount(np.concatenate(samples), minlength=BUCKETS)
+    ones = [found for found, one in zip(samples, target) if one]
+    hits = np.bincount(np.concatenate(ones or [np.empty(0, dtype=np.int64)]), minlength=BUCKETS)
+    mean = target.mean()
+    chance = np.sqrt(np.maximum(n * mean * (1 - mean), 1e-9))
+    telling = (n >= LEAST_TEXTS) & (np.abs(hits - n * mean) > LEAST_DEVIATION * chance)
+    samples = [found[telling[found]] for found in samples]
     weights, seen = np.zeros(BUCKETS), np.full(BUCKETS, 1e-8)
     rate = np.clip(target.mean(), 1e-3, 1 - 1e-3)
     bias, bias_seen = float(np.log(rate / (1 - rate))), 1e-8
@@ -68,19 +85,18 @@ def _fit(samples: list[np.ndarray], target: np.ndarray) -> Linear:
     for _ in range(EPOCHS):
         for i in rng.permutation(len(samples)):
             found = samples[i]
-            scale = 1 / np.sqrt(len(found))
-            odds = bias + weights[found].sum() * scale
+            odds = bias + weights[found].sum()
             error = 1 / (1 + np.exp(-np.clip(odds, -30, 30))) - target[i]
-            slope = error * scale + PENALTY * weights[found]
+            slope = error + PENALTY * weights[found]
             seen[found] += slope * slope
             weights[found] -= LEARNING_RATE * slope / np.sqrt(seen[found])
             bias_seen += error * error
-            bias -= LEARNING_RATE * error / np.sqrt(bias_seen) * 0.1
+            bias -= LEARNING_RATE * error / np.sqrt(bias_seen)
     return Linear(weights.astype(np.float32), bias)
 
 
 def fit_text(labelled: DataFrame, text_col: str, target_cols: list[str], order: Column) -> dict[str, Linear]:
-    """A classifier for each 0/1 target, fitted in one task on ``SAMPLE`` labelled texts.
+    """A classifier for each 0/1 target, fitted in one task on at most ``SAMPLE`` labelled texts.
 
     Rows with a NULL target do not count for it.  Without rows, every text has even odds.
     """

@@ -104,15 +104,18 @@ def _resolved(buffer: list[tuple[int, Found]]) -> pa.RecordBatch:
     ordered = hashes[order]
     new = np.concatenate(([True], ordered[1:] != ordered[:-1]))
     last = np.concatenate((new[1:], [True]))
-    known = ~(new & last)  # held more than once
+    # Back in the order of the texts, in which keys and starts take little room.
+    known, sent = np.empty(len(order), dtype=bool), np.empty(len(order), dtype=bool)
+    known[order] = ~(new & last)  # held more than once
+    sent[order] = new
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(ordered.view(np.int64)),
-            pa.array(key[order].astype(np.int64)),
-            pa.array(lo[order].astype(np.int32)),
-            pa.array(hi[order].astype(np.int32)),
+            pa.array(hashes.view(np.int64)),
+            pa.array(key.astype(np.int64)),
+            pa.array(lo.astype(np.int32)),
+            pa.array(hi.astype(np.int32)),
             pa.array(known),
-            pa.array(new),
+            pa.array(sent),
         ],
         names=["hash", "key", "lo", "hi", "known", "sent"],
     )
