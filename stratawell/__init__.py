@@ -21,6 +21,7 @@ from stratawell.operators.incremental import (
     new_keys,
     read_since,
     upsert,
+    upsert_partitions,
 )
 from stratawell.operators.namespace import create_layers
 from stratawell.operators.reporting import headline, measures, time_series, top_n
@@ -31,11 +32,11 @@ from stratawell.plans.dashboard import (
     Series,
     dashboard_dataset,
 )
-from stratawell.plans.silver import SilverRules, silver_build
+from stratawell.plans.silver import Silver, SilverRules, read_silver, silver_build, silver_update
 from stratawell.sources.events import ENVELOPE, event_replay, event_stream
 from stratawell.sources.files import csv_source, file_stream, read_layer
-from stratawell.streaming.dedup import dedup_stream
-from stratawell.streaming.sink import ingest_incremental, stream_sink
+from stratawell.streaming.dedup import dedup_stream, rows_without_time
+from stratawell.streaming.sink import Taken, ingest_incremental, stream_sink
 
 __all__ = [
     "ENVELOPE",
@@ -44,7 +45,9 @@ __all__ = [
     "Headline",
     "Ranking",
     "Series",
+    "Silver",
     "SilverRules",
+    "Taken",
     "bronze_append",
     "conform",
     "create_layers",
@@ -65,14 +68,18 @@ __all__ = [
     "measures",
     "new_keys",
     "read_layer",
+    "read_silver",
     "read_since",
     "row_count",
+    "rows_without_time",
     "silver_build",
+    "silver_update",
     "split_valid",
     "stream_sink",
     "tag_valid",
     "time_series",
     "top_n",
     "upsert",
+    "upsert_partitions",
     "with_lineage",
 ]

@@ -12,7 +12,6 @@ from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Times keep their microseconds in text formats.
 TIME_FORMAT = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
@@ -25,7 +24,11 @@ CUT_PAYLOAD_EVERY = 101
 CUT_PAYLOAD_CHARS = 10
 BAD_PRICE_EVERY = 113
 REVISED_EVERY = 10
-REPEATED_ROWS = 50
+ZONED_TIME_EVERY = 83
+TRAILING_OBJECT_EVERY = 103
+NO_PAYLOAD_EVERY = 107
+INVALID_BYTES_EVERY = 109
+REPEATED_SHARE = 10
 REPEAT_WAVES = 4
 
 _staging_seconds = 0.0
@@ -78,11 +81,16 @@ def revised_events(events: DataFrame) -> DataFrame:
 
 
 def dirty_events(events: DataFrame) -> DataFrame:
-    """The events as text, with bad values, empty times and unclean types."""
+    """The events as text, with bad values, empty and zoned times and unclean types."""
     shouted = F.concat(F.lit("  "), F.upper("event_type"), F.lit(" "))
     text = {c: F.col(c).cast("string") for c in events.columns}
     text["value"] = F.when(_every("event_id", BAD_VALUE_EVERY), "n/a").otherwise(text["value"])
-    text["ts"] = F.when(_every("event_id", BAD_TIME_EVERY), "").otherwise(text["ts"])
+    abroad = F.concat((F.col("ts") + F.expr("INTERVAL 5 HOURS")).cast("string"), F.lit("+05:00"))
+    text["ts"] = (
+        F.when(_every("event_id", BAD_TIME_EVERY), "")
+        .when(_every("event_id", ZONED_TIME_EVERY), abroad)
+        .otherwise(text["ts"])
+    )
     text["event_type"] = F.when(_every("event_id", SHOUTED_TYPE_EVERY), shouted).otherwise(
         F.col("event_type")
     )
@@ -102,14 +110,22 @@ def stage_csv(df: DataFrame, path: str) -> str:
 
 
 def event_envelopes(events: DataFrame) -> DataFrame:
-    """The events as keyed binary payloads, some of them cut short."""
+    """The events as keyed binary payloads, some cut short, missing, not UTF-8 or with more behind."""
     payload = F.to_json(F.struct(*events.columns), TIME_FORMAT)
     cut = F.when(
         _every("event_id", CUT_PAYLOAD_EVERY), F.substring(payload, 1, CUT_PAYLOAD_CHARS)
     ).otherwise(payload)
+    trailing = F.concat(cut, F.lit('{"event_id":1}'))
+    invalid = F.concat(cut.cast("binary"), F.unhex(F.lit("FF")))
+    value = (
+        F.when(_every("event_id", NO_PAYLOAD_EVERY), F.lit(None).cast("binary"))
+        .when(_every("event_id", TRAILING_OBJECT_EVERY), trailing.cast("binary"))
+        .when(_every("event_id", INVALID_BYTES_EVERY), invalid)
+        .otherwise(cut.cast("binary"))
+    )
     return events.select(
         F.col("event_id").cast("string").cast("binary").alias("key"),
-        cut.cast("binary").alias("value"),
+        value.alias("value"),
         F.lit("events").alias("topic"),
         (F.col("user_id") % 4).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
@@ -120,7 +136,7 @@ def event_envelopes(events: DataFrame) -> DataFrame:
 
 @_staged
 def repeat_waves(events: DataFrame) -> list[DataFrame]:
-    """The events in time order, in four waves that repeat the end of the one before."""
+    """The events in time order, in four waves that repeat the last tenth of the one before."""
     first, last = events.agg(F.min("event_id"), F.max("event_id")).first()
     size = -(-(last - first + 1) // REPEAT_WAVES)
     event_id = F.col("event_id")
@@ -128,21 +144,14 @@ def repeat_waves(events: DataFrame) -> list[DataFrame]:
     for start in range(first, last + 1, size):
         wave = events.filter((event_id >= start) & (event_id < start + size))
         if start > first:
-            again = events.filter((event_id >= start - REPEATED_ROWS) & (event_id < start))
+            again = events.filter((event_id >= start - size // REPEATED_SHARE) & (event_id < start))
             wave = wave.unionByName(again.withColumn("ts", _later("ts")))
         waves.append(wave)
     return waves
 
 
 def dirty_orders(orders: DataFrame) -> DataFrame:
-    """Order key and price as text, some prices unreadable."""
+    """Whole orders, some prices unreadable."""
     price = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
-    return orders.select(
-        "o_orderkey",
-        F.when(_every("o_orderkey", BAD_PRICE_EVERY), "bad").otherwise(price).alias("o_totalprice"),
-    )
-
-
-DIRTY_ORDERS = T.StructType(
-    [T.StructField("o_orderkey", T.LongType()), T.StructField("o_totalprice", T.DoubleType())]
-)
+    bad = F.when(_every("o_orderkey", BAD_PRICE_EVERY), "bad").otherwise(price)
+    return orders.withColumn("o_totalprice", bad)

@@ -4,31 +4,58 @@ from __future__ import annotations
 
 _DIRTY_EVENTS = """
     SELECT CAST(event_id AS VARCHAR) AS event_id,
-           CASE WHEN event_id % 89 = 0 THEN '' ELSE CAST(ts AS VARCHAR) END AS ts,
+           CASE WHEN event_id % 89 = 0 THEN ''
+                WHEN event_id % 83 = 0 THEN CAST(ts + INTERVAL 5 HOUR AS VARCHAR) || '+05:00'
+                ELSE CAST(ts AS VARCHAR) END AS ts,
            CAST(user_id AS VARCHAR) AS user_id,
            CASE WHEN event_id % 5 = 0 THEN '  ' || upper(event_type) || ' '
                 ELSE event_type END AS event_type,
            CASE WHEN event_id % 97 = 0 THEN 'n/a' ELSE CAST(value AS VARCHAR) END AS value,
            props,
+           CASE event_id % 3 WHEN 0 THEN '007' WHEN 1 THEN '' ELSE '12' END AS code,
            CAST(event_id % 2 AS INTEGER) AS load_no
-    FROM events
+    FROM events WHERE event_id % 2 = 1 OR event_id % 3 = 0
 """
 
 _REVISED = """
-    SELECT event_id, ts + INTERVAL 5 MINUTE AS ts, value + 1 AS value
+    SELECT event_id, ts + INTERVAL 5 MINUTE AS ts, user_id, event_type, value + 1 AS value, props
     FROM events WHERE event_id % 10 = 0
 """
 
 _UPSERT = f"""
-    SELECT event_id, ts, value FROM (
+    SELECT event_id, ts, user_id, event_type, value, props FROM (
         SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ts DESC) AS r FROM (
-            SELECT event_id, ts, value FROM events
+            SELECT * FROM events
             UNION ALL {_REVISED}
-            UNION ALL SELECT event_id + 1000000, ts, value FROM events WHERE event_id % 50 = 0
+            UNION ALL SELECT event_id + 1000000, ts, user_id, event_type, value, props
+                      FROM events WHERE event_id % 50 = 0
         )
     ) WHERE r = 1
 """
 
+# Every fourth key is there twice; those of changed keys are one row in the end.
+_UPSERT_REPEATED = f"""
+    {_UPSERT}
+    UNION ALL SELECT * FROM events WHERE event_id % 4 = 0 AND event_id % 10 <> 0
+"""
+
+_SIDES = """
+    SELECT 'accepted' AS outcome, event_id, {ts} AS ts, user_id, event_type, {value} AS value,
+           CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+           NULL AS reason, NULL AS raw_value, NULL AS raw_id
+    FROM events WHERE event_id % 97 <> 0 AND event_id % 89 <> 0
+    UNION ALL
+    SELECT 'quarantined', event_id, CASE WHEN event_id % 89 <> 0 THEN ts END, user_id, event_type,
+           CASE WHEN event_id % 97 <> 0 THEN value END,
+           CAST(json_extract_string(props, '$.k') AS INTEGER),
+           concat_ws(',', CASE WHEN event_id % 97 = 0 THEN 'unfit:value' END,
+                          CASE WHEN event_id % 89 = 0 THEN 'ts' END,
+                          CASE WHEN event_id % 97 = 0 THEN 'value' END),
+           CASE WHEN event_id % 97 = 0 THEN 'n/a' ELSE CAST(value AS VARCHAR) END,
+           CAST(event_id AS VARCHAR)
+    FROM ({both}) WHERE event_id % 97 = 0 OR event_id % 89 = 0
+"""
+
 _MONEY = "CAST(sum(CAST({0} AS DECIMAL(18,2))) AS DOUBLE)"
 
 ORACLES: dict[str, str] = {
@@ -50,30 +77,57 @@ ORACLES: dict[str, str] = {
         FROM events GROUP BY 2
     """,
     "bronze_append": _DIRTY_EVENTS,
-    "silver_build": """
-        SELECT event_id, ts, user_id, event_type, value,
-               CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
-        FROM events WHERE event_id % 97 <> 0 AND event_id % 89 <> 0
-    """,
+    "silver_build": _SIDES.format(
+        ts="ts",
+        value="value",
+        both="SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_id % 10 = 0",
+    ),
+    "silver_update": _SIDES.format(
+        ts="CASE WHEN event_id % 10 = 0 THEN ts + INTERVAL 5 MINUTE ELSE ts END",
+        value="CASE WHEN event_id % 10 = 0 THEN value + 1 ELSE value END",
+        both=f"SELECT * FROM events UNION ALL {_REVISED}",
+    ),
     "create_layers": """
         SELECT 'bronze' AS layer, count(*) AS n FROM events
         UNION ALL
         SELECT 'silver', count(*) FROM events WHERE event_id % 97 <> 0 AND event_id % 89 <> 0
+        UNION ALL
+        SELECT 'quarantined', count(*) FROM events WHERE event_id % 97 = 0 OR event_id % 89 = 0
     """,
     "dashboard_dataset": f"""
-        SELECT o_orderstatus, o_orderpriority, count(*) AS n,
+        SELECT 'by_status' AS panel, o_orderstatus, o_orderpriority, CAST(NULL AS DATE) AS month,
+               CAST(NULL AS BIGINT) AS o_custkey, count(*) AS n,
                {_MONEY.format('o_totalprice')} AS revenue
-        FROM orders GROUP BY 1, 2
+        FROM orders GROUP BY 2, 3
+        UNION ALL
+        SELECT 'by_month', o_orderstatus, NULL, CAST(date_trunc('month', o_orderdate) AS DATE), NULL,
+               count(*), {_MONEY.format('o_totalprice')}
+        FROM orders GROUP BY o_orderstatus, date_trunc('month', o_orderdate)
+        UNION ALL
+        SELECT 'totals', NULL, NULL, NULL, NULL, count(*), {_MONEY.format('o_totalprice')} FROM orders
+        UNION ALL
+        SELECT 'largest', NULL, NULL, NULL, o_custkey, n, revenue FROM (
+            SELECT o_custkey, count(*) AS n, {_MONEY.format('o_totalprice')} AS revenue
+            FROM orders GROUP BY 1 ORDER BY revenue DESC, o_custkey LIMIT 10
+        )
     """,
     "stream_sink": """
         SELECT event_type, count(*) AS n, count(DISTINCT event_id) AS distinct_ids
         FROM events GROUP BY 1
     """,
     "payload_decode": """
-        SELECT event_id, ts, user_id, event_type, value, props, false AS corrupt
-        FROM events WHERE event_id % 101 <> 0
-        UNION ALL
-        SELECT NULL, NULL, NULL, NULL, NULL, NULL, true FROM events WHERE event_id % 101 = 0
+        SELECT 'events' AS topic, CAST(user_id % 4 AS INTEGER) AS partition_id,
+               event_id AS event_offset,
+               CASE WHEN good THEN event_id END AS event_id, CASE WHEN good THEN ts END AS ts,
+               CASE WHEN good THEN user_id END AS user_id,
+               CASE WHEN good THEN event_type END AS event_type,
+               CASE WHEN good THEN value END AS value, CASE WHEN good THEN props END AS props,
+               NOT good AND event_id % 107 <> 0 AS corrupt, event_id % 107 <> 0 AS has_payload
+        FROM (
+            SELECT *, event_id % 101 <> 0 AND event_id % 103 <> 0 AND event_id % 107 <> 0
+                      AND event_id % 109 <> 0 AS good
+            FROM events
+        )
     """,
     "layer_read": "SELECT l_orderkey, l_quantity FROM lineitem WHERE l_quantity > 45",
     "conform": """
@@ -91,9 +145,9 @@ ORACLES: dict[str, str] = {
         ) GROUP BY 1, 2
     """,
     "dedup_batch": f"""
-        SELECT event_id, ts, value FROM (
+        SELECT event_id, ts, user_id, event_type, value, props FROM (
             SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ts DESC) AS r FROM (
-                SELECT event_id, ts, value FROM events UNION ALL {_REVISED}
+                SELECT * FROM events UNION ALL {_REVISED}
             )
         ) WHERE r = 1
     """,
@@ -105,7 +159,7 @@ ORACLES: dict[str, str] = {
         )
     """,
     "upsert": _UPSERT,
-    "upsert_unique_target": _UPSERT,
+    "upsert_unique_target": _UPSERT_REPEATED,
     "lineage": "SELECT event_id, true AS has_file, true AS has_times FROM events",
     "grouped_measures": f"""
         SELECT l_returnflag, l_linestatus, count(*) AS n,
@@ -128,8 +182,9 @@ ORACLES: dict[str, str] = {
         FROM orders GROUP BY 1 ORDER BY revenue DESC, o_custkey LIMIT 10
     """,
     "malformed_capture": """
-        SELECT o_orderkey, CASE WHEN o_orderkey % 113 <> 0 THEN o_totalprice END AS o_totalprice,
-               o_orderkey % 113 = 0 AS is_corrupt
+        SELECT o_orderkey, o_custkey, o_orderstatus,
+               CASE WHEN o_orderkey % 113 <> 0 THEN o_totalprice END AS o_totalprice,
+               o_orderdate, o_orderpriority, o_orderkey % 113 = 0 AS is_corrupt
         FROM orders
     """,
     "events_per_day": f"""

@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,8 @@ from stratawell.checks import fixtures as fx
 from stratawell.functions.storage import workspace
 
 MARK = datetime.datetime(2024, 1, 15)
-REPEAT_DELAY = "2 days"
+REPEAT_DELAY = "10 days"
+MAX_BYTES = 64 << 20
 
 TYPED_EVENT = [
     sw.Field("event_id", "bigint"),
@@ -35,7 +37,7 @@ def _valid_event() -> dict[str, Column]:
 
 
 def _order_figures() -> dict[str, Column]:
-    return {"n": sw.row_count(), "revenue": sw.exact_sum("o_totalprice")}
+    return {"n": sw.row_count(), "revenue": sw.exact_sum("o_totalprice", 2)}
 
 
 def csv_source(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,9 +49,9 @@ def csv_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 def malformed_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = fx.table(spark, sf_dir, "orders")
     path = fx.stage_csv(fx.dirty_orders(orders), f"{workspace(spark)}/csv")
-    return sw.csv_source(spark, path, fx.DIRTY_ORDERS, corrupt_col="_corrupt").select(
-        "o_orderkey", "o_totalprice", F.col("_corrupt").isNotNull().alias("is_corrupt")
-    )
+    return sw.csv_source(
+        spark, path, orders.schema, corrupt_col="_corrupt", **fx.TIME_FORMAT
+    ).select(*orders.columns, F.col("_corrupt").isNotNull().alias("is_corrupt"))
 
 
 def _landed(spark: SparkSession, landing: str, schema: T.StructType) -> DataFrame:
@@ -132,10 +134,16 @@ def event_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 def payload_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream, work = _replayed(spark, sf_dir)
     schema = fx.table(spark, sf_dir, "events").schema
-    decoded = sw.decode_json(stream.select("value"), schema, **fx.TIME_FORMAT)
+    decoded = sw.decode_json(stream, schema, raw_col="raw", **fx.TIME_FORMAT)
     sw.ingest_incremental(decoded, f"{work}/layer", f"{work}/checkpoint")
+    corrupt = F.col("_corrupt").isNotNull()
     return sw.read_layer(spark, f"{work}/layer").select(
-        *schema.names, F.col("_corrupt").isNotNull().alias("corrupt")
+        "topic",
+        F.col("partition").alias("partition_id"),
+        F.col("offset").alias("event_offset"),
+        *[F.when(~corrupt, F.col(c)).alias(c) for c in schema.names],
+        corrupt.alias("corrupt"),
+        F.col("raw").isNotNull().alias("has_payload"),
     )
 
 
@@ -153,10 +161,20 @@ def lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dirty = fx.dirty_events(fx.table(spark, sf_dir, "events"))
+    """Loads that are repeated with fewer partitions, and with no rows; codes keep their zeros."""
+    event_id = F.col("event_id").cast("bigint")
+    code = F.element_at(F.array(F.lit("007"), F.lit(""), F.lit("12")), (event_id % 3 + 1).cast("int"))
+    dirty = fx.dirty_events(fx.table(spark, sf_dir, "events")).withColumn("code", code)
     out = f"{workspace(spark)}/bronze"
-    for load in (0, 1):
-        sw.bronze_append(dirty.filter(F.col("event_id").cast("bigint") % 2 == load), out, load)
+    loads = [
+        (0, event_id % 2 == 0),
+        (1, event_id % 2 == 1),
+        (2, event_id % 5 == 0),
+        (0, (event_id % 2 == 0) & (code == "007")),
+        (2, F.lit(False)),
+    ]
+    for load, rows in loads:
+        sw.bronze_append(dirty.filter(rows), out, load, partition_by=["code"])
     return sw.read_layer(spark, out)
 
 
@@ -167,15 +185,20 @@ def create_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     sw.create_layers(spark, layers, work)
     events = fx.table(spark, sf_dir, "events")
     fx.dirty_events(events).write.saveAsTable(f"bronze_{run}.events")
-    silver, _ = sw.silver_build(spark.table(f"bronze_{run}.events"), _event_rules())
+    bronze = spark.table(f"bronze_{run}.events")
+    silver, quarantined = sw.silver_build(bronze, _event_rules(), f"{work}/judged")
     silver.write.saveAsTable(f"silver_{run}.events")
+    quarantined.write.saveAsTable(f"silver_{run}.quarantined_events")
+    tables = {
+        "bronze": f"bronze_{run}.events",
+        "silver": f"silver_{run}.events",
+        "quarantined": f"silver_{run}.quarantined_events",
+    }
     counts = [
-        spark.table(f"{schema}.events").agg(sw.row_count().alias("n")).select(
-            F.lit(layer).alias("layer"), "n"
-        )
-        for schema, layer in layers.items()
+        spark.table(table).agg(sw.row_count().alias("n")).select(F.lit(layer).alias("layer"), "n")
+        for layer, table in tables.items()
     ]
-    return counts[0].unionByName(counts[1])
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
 def layer_read(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,23 +239,51 @@ def _event_rules() -> sw.SilverRules:
     )
 
 
+def _both_sides(silver: sw.Silver) -> DataFrame:
+    names = [c for c in silver.accepted.columns]
+    accepted = silver.accepted.select(
+        F.lit("accepted").alias("outcome"),
+        *names,
+        F.lit(None).cast("string").alias("reason"),
+        F.lit(None).cast("string").alias("raw_value"),
+        F.lit(None).cast("string").alias("raw_id"),
+    )
+    quarantined = silver.quarantined.select(
+        F.lit("quarantined").alias("outcome"),
+        *names,
+        F.array_join("reasons", ",").alias("reason"),
+        F.get_json_object("raw", "$.value").alias("raw_value"),
+        F.get_json_object("raw", "$.event_id").alias("raw_id"),
+    )
+    return accepted.unionByName(quarantined)
+
+
 def silver_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = fx.table(spark, sf_dir, "events")
-    out = f"{workspace(spark)}/bronze"
+    work = workspace(spark)
+    out = f"{work}/bronze"
     fx.stage_parquet(fx.dirty_events(events), out)
     fx.stage_parquet(
         fx.dirty_events(events.filter(F.col("event_id") % fx.REVISED_EVERY == 0)), out
     )
-    return sw.silver_build(sw.read_layer(spark, out), _event_rules()).accepted
+    bronze = sw.read_layer(spark, out)
+    return _both_sides(sw.silver_build(bronze, _event_rules(), f"{work}/silver"))
 
 
-def _event_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Columns are chosen first: deduplication reads all it gets, to break ties.
-    return fx.table(spark, sf_dir, "events").select("event_id", "ts", "value")
+def silver_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as one load and newer versions of some as a second: equal to a full rebuild."""
+    events = fx.table(spark, sf_dir, "events")
+    work = workspace(spark)
+    out = f"{work}/bronze"
+    for load, rows in enumerate((events, fx.revised_events(events))):
+        sw.bronze_append(fx.dirty_events(rows), out, load)
+        bronze = sw.read_layer(spark, out)
+        sw.silver_update(bronze, _event_rules(), f"{work}/silver", "load_no", buckets=8)
+    return _both_sides(sw.read_silver(bronze, _event_rules(), f"{work}/silver"))
 
 
 def dedup_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _event_values(spark, sf_dir)
+    events = fx.table(spark, sf_dir, "events")
     versions = events.unionByName(fx.revised_events(events))
     return sw.dedup(versions, ["event_id"], [F.col("ts").desc()])
 
@@ -255,7 +306,9 @@ def dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     for wave in fx.repeat_waves(events):
         fx.stage_parquet(wave, f"{work}/landing")
         with _state_partitions(spark):
-            stream = sw.file_stream(spark, f"{work}/landing", "parquet", events.schema)
+            stream = sw.file_stream(
+                spark, f"{work}/landing", "parquet", events.schema, max_bytes=MAX_BYTES
+            )
             once = sw.dedup_stream(stream, ["event_id"], "ts", REPEAT_DELAY)
             sw.ingest_incremental(once, f"{work}/layer", f"{work}/checkpoint")
     return sw.read_layer(spark, f"{work}/layer").select("event_id", "event_type")
@@ -279,14 +332,17 @@ def _event_changes(events: DataFrame) -> DataFrame:
 
 
 def upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _event_values(spark, sf_dir)
+    events = fx.table(spark, sf_dir, "events")
     return sw.upsert(events, _event_changes(events), ["event_id"], [F.col("ts").desc()])
 
 
 def upsert_unique_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _event_values(spark, sf_dir)
+    """A target with repeated keys, some of them changed; no broadcast.  Unchanged ones stay."""
+    events = fx.table(spark, sf_dir, "events")
+    again = events.filter(F.col("event_id") % 4 == 0)
+    target = events.unionByName(again)
     newest = [F.col("ts").desc()]
-    return sw.upsert(events, _event_changes(events), ["event_id"], newest, unique_target=True)
+    return sw.upsert(target, _event_changes(events), ["event_id"], newest, broadcast_rows=0)
 
 
 def grouped_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -295,8 +351,8 @@ def grouped_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
         ["l_returnflag", "l_linestatus"],
         {
             "n": sw.row_count(),
-            "qty": sw.exact_sum("l_quantity"),
-            "price": sw.exact_sum("l_extendedprice"),
+            "qty": sw.exact_sum("l_quantity", 2),
+            "price": sw.exact_sum("l_extendedprice", 2),
         },
     )
 
@@ -318,21 +374,45 @@ def top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sw.top_n(
         fx.table(spark, sf_dir, "orders"),
         ["o_custkey"],
-        {"revenue": sw.exact_sum("o_totalprice")},
+        {"revenue": sw.exact_sum("o_totalprice", 2)},
         10,
     )
 
 
 def dashboard_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spec = {"by_status": sw.Grouped(["o_orderstatus", "o_orderpriority"], _order_figures())}
-    return sw.dashboard_dataset(fx.table(spark, sf_dir, "orders"), spec)["by_status"]
+    spec = {
+        "by_status": sw.Grouped(["o_orderstatus", "o_orderpriority"], _order_figures()),
+        "by_month": sw.Series("o_orderdate", "month", _order_figures(), ["o_orderstatus"]),
+        "totals": sw.Headline(_order_figures()),
+        "largest": sw.Ranking(["o_custkey"], {"revenue": sw.exact_sum("o_totalprice", 2), "n": sw.row_count()}, 10),
+    }
+    panels = sw.dashboard_dataset(fx.table(spark, sf_dir, "orders"), spec, f"{workspace(spark)}/panels")
+    dims = {
+        "o_orderstatus": "string",
+        "o_orderpriority": "string",
+        "month": "date",
+        "o_custkey": "bigint",
+    }
+    named = [
+        rows.select(
+            F.lit(name).alias("panel"),
+            *[
+                (F.col(dim) if dim in rows.columns else F.lit(None).cast(kind)).alias(dim)
+                for dim, kind in dims.items()
+            ],
+            "n",
+            "revenue",
+        )
+        for name, rows in panels.items()
+    ]
+    return reduce(DataFrame.unionByName, named)
 
 
 def events_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing files to report: events and total value per day and type."""
     bronze = file_stream_source(spark, sf_dir)
     typed = sw.conform(bronze, TYPED_EVENT)
-    figures = {"n": sw.row_count(), "total": sw.exact_sum("value")}
+    figures = {"n": sw.row_count(), "total": sw.exact_sum("value", 2)}
     return sw.time_series(typed, "ts", "day", figures, dims=["event_type"])
 
 
@@ -345,6 +425,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         event_source,
         bronze_append,
         silver_build,
+        silver_update,
         create_layers,
         dashboard_dataset,
         stream_sink,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -53,15 +52,46 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
+def claim(spark: SparkSession, path: str, text: str) -> str:
+    """Create a short text file unless it is there; returns the text it then has.
+
+    Of several callers at once one creates the file, and all get that one's text.
+    """
+    fs, hadoop_path = _resolve(spark, path)
+    try:
+        out = fs.create(hadoop_path, False)
+    except Exception as error:
+        found = read_text(spark, path)
+        if found is None:
+            raise error
+        return found
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+    return text
+
+
+def entries(spark: SparkSession, path: str) -> list[str]:
+    """Names in a directory; of none that is missing."""
+    fs, hadoop_path = _resolve(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    return [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
+
+
 def workspace(spark: SparkSession) -> str:
-    """A fresh directory that every executor can reach.
+    """A fresh directory below ``spark.checkpoint.dir``, or the warehouse where that is unset.
 
-    It lies under ``spark.checkpoint.dir``.  Only a local-mode session may do
-    without that setting, since there driver and executors share one disk.
+    Both are folders that driver and executors share.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return f"{root.rstrip('/')}/stratawell/{uuid.uuid4().hex}"
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="stratawell-")
-    raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/stratawell/{uuid.uuid4().hex}"
+
+
+def unused_name(taken: list[str], name: str) -> str:
+    """The name, or one made of it that is not taken, whatever its case."""
+    known = {one.lower() for one in taken}
+    while name.lower() in known:
+        name = f"_{name}"
+    return name

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -24,6 +25,20 @@ def with_lineage(df: DataFrame) -> DataFrame:
     )
 
 
+# Directory columns are copies under names of their own: a value read back from a path has lost
+# its type, and its zeros, so the column itself stays in the files.
+PART = "__part"
+
+
+def with_parts(df: DataFrame, partition_by: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """The rows with a copy of each partition column, and the names of the copies."""
+    known = {c.lower() for c in df.columns}
+    copies = [f"{c}{PART}" for c in partition_by]
+    if clash := [c for c in copies if c.lower() in known]:
+        raise ValueError(f"columns {clash} have the names of partitions")
+    return df.withColumns({copy: F.col(c) for copy, c in zip(copies, partition_by)}), copies
+
+
 def bronze_append(
     df: DataFrame,
     out: str,
@@ -33,8 +48,9 @@ def bronze_append(
 ) -> None:
     """Append records to the raw layer.
 
-    With ``load`` the records go to that load's own partition, and writing the
-    same load again replaces it, so a load that died half-way may simply be
+    With ``load``, kept in ``load_col``, the records go to that load's own
+    directory, and writing the same load again replaces all of it, also by fewer
+    partitions or by no rows.  So a load that died half-way may simply be
     repeated.  Without ``load`` every call adds rows.
 
     With ``partition_by`` rows are first gathered by those columns to keep the
@@ -45,15 +61,15 @@ def bronze_append(
         raise ValueError(
             f"{out} is written by a stream; readers would not see rows appended by a batch"
         )
+    if load is not None:
+        if load_col.lower() in {c.lower() for c in df.columns}:
+            raise ValueError(f"the records have a column {load_col} of their own")
+        if not re.fullmatch(r"[A-Za-z0-9_.-]+", str(load)):
+            raise ValueError(f"a load is named by letters, digits, '_', '.' and '-', not {load!r}")
+        df = df.withColumn(load_col, F.lit(load))
+        out = f"{out.rstrip('/')}/{load_col}{PART}={load}"
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    if load is None:
-        df.write.mode("append").partitionBy(*partition_by).parquet(out)
-        return
-    (
-        df.withColumn(load_col, F.lit(load))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(load_col, *partition_by)
-        .parquet(out)
-    )
+    df, copies = with_parts(df, partition_by)
+    mode = "append" if load is None else "overwrite"
+    df.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(*copies).parquet(out)

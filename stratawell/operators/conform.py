@@ -17,7 +17,7 @@ def conform(df: DataFrame, mapping: Sequence[Field]) -> DataFrame:
     return df.select(*[f.typed(raw_types[f.name].dataType) for f in mapping])
 
 
-def _reasons(rules: Mapping[str, Column]) -> Column:
+def broken_rules(rules: Mapping[str, Column]) -> Column:
     """Names of the rules a row breaks; a rule that is NULL counts as broken."""
     broken = [
         F.when(~F.coalesce(rule, F.lit(False)), F.lit(name)) for name, rule in rules.items()
@@ -27,7 +27,7 @@ def _reasons(rules: Mapping[str, Column]) -> Column:
 
 def tag_valid(df: DataFrame, rules: Mapping[str, Column], col: str = "reasons") -> DataFrame:
     """Add the broken rules of each row, so that one pass can serve both outcomes."""
-    return df.withColumn(col, _reasons(rules))
+    return df.withColumn(col, broken_rules(rules))
 
 
 def split_valid(

@@ -12,30 +12,64 @@ def decode_json(
     schema: T.StructType,
     col: str = "value",
     corrupt_col: str = "_corrupt",
+    raw_col: str | None = None,
     **options,
 ) -> DataFrame:
     """Replace a JSON payload by the columns of ``schema``.
 
-    The text of a payload that does not decode is kept in ``corrupt_col``; look
-    there and nowhere else, because a broken payload may still fill some
-    columns.  A NULL payload gives NULL columns and no corrupt text.  The
-    payload is parsed once per row.
+    A payload is one JSON object in UTF-8 and nothing else.  The text of any
+    other is kept in ``corrupt_col``; look there and nowhere else, because a
+    broken payload may still fill some columns.  Bytes that are not UTF-8 appear
+    in that text as replacement characters.  A NULL payload gives NULL columns
+    and no corrupt text.  Fields outside ``schema`` are dropped; with
+    ``raw_col`` the whole payload stays there as it came.
+
+    The payload is parsed once per row.  A name that the payload's columns share
+    with each other or with columns that stay is refused.
     """
-    text = F.col(col).cast("string")
-    full = T.StructType(list(schema.fields) + [T.StructField(corrupt_col, T.StringType())])
-    parsed = F.from_json(
-        text,
-        full,
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt_col, **options},
-    )
     kept = [c for c in df.columns if c != col]
-    decoded = df.select(*kept, text.alias("_text"), parsed.alias("_parsed"))
-    # Blank text parses to no struct at all, so the parser reports nothing for it.
-    corrupt = F.coalesce(
-        F.col(f"_parsed.{corrupt_col}"), F.when(F.col("_parsed").isNull(), F.col("_text"))
+    names = [*kept, *schema.names, corrupt_col, *([raw_col] if raw_col else [])]
+    known: set[str] = set()
+    for name in names:
+        if name.lower() in known:
+            raise ValueError(f"two columns would be called {name}")
+        known.add(name.lower())
+    binary = isinstance(df.schema[col].dataType, T.BinaryType)
+    # The parser stops at the end of the first value.  So the payload is put between a start and
+    # an end of our own, and the end, which a payload cannot know, must be found behind it.
+    source = F.col(f"`{col}`")
+    text = F.make_valid_utf8(source.cast("string")) if binary else source
+    seal = F.hex(F.xxhash64(text, F.lit("end")))
+    sealed = F.concat(F.lit('{"payload":'), text, F.lit(',"seal":"'), seal, F.lit('"}'))
+    full = T.StructType(
+        [
+            T.StructField("payload", schema),
+            T.StructField("seal", T.StringType()),
+            T.StructField("corrupt", T.StringType()),
+        ]
+    )
+    found = F.from_json(
+        sealed, full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "corrupt", **options}
+    )
+    inner = [f"_{i}" for i in range(len(kept))]
+    work = df.select(
+        *[F.col(f"`{c}`").alias(n) for c, n in zip(kept, inner)],
+        source.alias("source"),
+        text.alias("text"),
+        seal.alias("wanted"),
+        (F.is_valid_utf8(source.cast("string")) if binary else F.lit(True)).alias("valid"),
+        found.alias("found"),
+    )
+    sound = (
+        F.col("valid")
+        & F.col("found.corrupt").isNull()
+        & F.col("found.payload").isNotNull()
+        & (F.col("found.seal") == F.col("wanted"))
     )
-    return decoded.select(
-        *kept,
-        *[F.col(f"_parsed.{f.name}").alias(f.name) for f in schema.fields],
-        corrupt.alias(corrupt_col),
+    broken = F.col("text").isNotNull() & ~F.coalesce(sound, F.lit(False))
+    return work.select(
+        *[F.col(n).alias(c) for c, n in zip(kept, inner)],
+        *[F.col(f"found.payload.`{f.name}`").alias(f.name) for f in schema.fields],
+        F.when(broken, F.col("text")).alias(corrupt_col),
+        *([F.col("source").alias(raw_col)] if raw_col else []),
     )

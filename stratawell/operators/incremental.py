@@ -6,62 +6,56 @@ from collections.abc import Sequence
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratawell.functions import storage
+from stratawell.functions.storage import unused_name
 from stratawell.operators.dedup import dedup
 
-# Longest key, in bytes of text, that may go into a broadcast.
-_MAX_KEY_BYTES = 1024
-
-
-def _key_bytes(keys: Sequence[str]) -> Column:
-    return reduce(
-        lambda a, b: a + b,
-        [F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys],
-    )
-
 
 def high_water_mark(df: DataFrame, col: str) -> Any:
     """The largest value of a column, or None for an empty table."""
     return df.agg(F.max(col)).first()[0]
 
 
-def read_since(df: DataFrame, col: str, mark: Any) -> DataFrame:
-    """Rows beyond the mark; all rows if there is no mark yet.
-
-    The mark is cast to the column's type and the column is left bare, so the
-    comparison reaches the scan.  Rows that arrive later with exactly the
-    mark's value, or an older one, are not seen: use a column that only grows.
-    """
-    if mark is None:
-        return df
+def _mark(df: DataFrame, col: str, mark: Any) -> Column:
     dtype = df.schema[col].dataType
     if isinstance(dtype, T.TimestampNTZType):
         # As text: a datetime literal would pass through the zone of the session.
         mark = str(mark)
-    return df.filter(F.col(col) > F.lit(mark).cast(dtype))
+    return F.lit(mark).cast(dtype)
 
 
-def _hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int, limit: int) -> list[Row]:
-    """At most ``limit`` short keys that hold about ``min_rows`` rows each, or more.
+def read_since(df: DataFrame, col: str, mark: Any, until: Any = None) -> DataFrame:
+    """Rows beyond the mark, up to and with ``until``; from the first row if there is no mark yet.
+
+    Marks are cast to the column's type and the column is left bare, so the
+    comparison reaches the scan.  Take ``until`` from :func:`high_water_mark`
+    first and keep it as the next mark: rows that arrive meanwhile then belong
+    to the next run, and none is missed.  Rows that arrive later with exactly
+    the mark's value, or an older one, are not seen: use a column that only
+    grows.  Rows with NULL in the column have no place in this order and are
+    never returned where a mark or ``until`` is given.
+    """
+    if mark is not None:
+        df = df.filter(F.col(col) > _mark(df, col, mark))
+    if until is not None:
+        df = df.filter(F.col(col) <= _mark(df, col, until))
+    return df
+
+
+def _hot_hashes(df: DataFrame, hashed: Column, name: str, min_rows: int) -> DataFrame:
+    """Hashes of keys that hold about ``min_rows`` rows or more, rows / min_rows of them at most.
 
     Counted on a sample in which such a key is expected about a thousand times.
     """
     fraction = min(1.0, 1000 / min_rows)
-    sampled = df.select(*keys)
+    sampled = df.select(hashed.alias(name))
     if fraction < 1:
         sampled = sampled.sample(fraction, seed=0)
-    return (
-        sampled.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter((F.col("_n") >= min_rows * fraction) & (_key_bytes(keys) <= _MAX_KEY_BYTES))
-        .orderBy(F.col("_n").desc(), *keys)
-        .limit(limit)
-        .select(*keys)
-        .collect()
-    )
+    return sampled.groupBy(name).count().filter(F.col("count") >= min_rows * fraction).select(name)
 
 
 def new_keys(
@@ -69,7 +63,7 @@ def new_keys(
     target: DataFrame,
     keys: Sequence[str],
     hot_rows: int | None = 1_000_000,
-    hot_limit: int = 1000,
+    salts: int = 64,
 ) -> DataFrame:
     """Incoming rows whose key is not in the target yet.
 
@@ -77,47 +71,52 @@ def new_keys(
     key, which never equals a key of the target.  Only key columns of the target
     are read, and reduced to distinct keys before the shuffle.
 
-    The rows of one key would all meet in one reducer, so keys that hold
-    ``hot_rows`` incoming rows or more (choose what one reducer should take) are
-    looked for first, in a small job on a sample of the key columns.  These are
-    looked up in the target once per key instead of once per row: the answer for
-    at most ``hot_limit`` of them (short ones only, hence about a megabyte) is
-    broadcast, and their rows are spread.  Which keys are found has no influence
-    on the result, since all others take the ordinary join.  ``hot_rows=None``
-    leaves the search out.
+    The rows of one key would all meet in one reducer, so hashes of keys that
+    hold ``hot_rows`` incoming rows or more (choose what one reducer should
+    take) are looked for first, on a sample of the key columns.  Their rows are
+    dealt over ``salts`` reducers, and the target's keys with such a hash are
+    sent to each.  There are no more of these hashes than rows / ``hot_rows``,
+    of 8 bytes each, and they are broadcast.  Which are found has no influence
+    on the result.  ``hot_rows=None`` leaves the search out.
 
     Both tables are read more than once, so pass stored ones.
     """
     keys = list(keys)
-    known = target.select(*keys).na.drop()
-    hot = _hot_keys(incoming, keys, hot_rows, hot_limit) if hot_rows else []
-    if not hot:
-        return incoming.join(known.distinct(), keys, "left_anti").select(*incoming.columns)
-
-    spark = incoming.sparkSession
-    whole = [key for key in hot if None not in key]
-    asked = F.broadcast(spark.createDataFrame(whole, incoming.select(*keys).schema))
-    seen = known.join(asked, keys, "left_semi").distinct().withColumn("_seen", F.lit(True))
-    verdict = asked.join(F.broadcast(seen), keys, "left").select(
-        *keys, F.coalesce("_seen", F.lit(False)).alias("_seen")
-    )
-
-    # Rows still to be looked up carry 0 and can meet the target; settled rows,
-    # and rows without a whole key, carry a hash that spreads them.  The hash
-    # depends on the partition number and on content only, so a recomputed task
-    # sends each row the same way.
-    content = [f.name for f in incoming.schema.fields if isinstance(f.dataType, T.AtomicType)]
-    spread = F.xxhash64(F.spark_partition_id(), *content)
+    known = target.select(*keys).na.drop().distinct()
+    if hot_rows is None:
+        return incoming.join(known, keys, "left_anti").select(*incoming.columns)
+    taken = [*incoming.columns, *keys]
+    salt, place = unused_name(taken, "_salt"), unused_name(taken, "_place")
+    mine, theirs = unused_name(taken, "_hash"), unused_name(taken, "_hot")
+    hashed = F.xxhash64(*keys)
+    hot = F.broadcast(_hot_hashes(incoming, hashed, theirs, hot_rows))
     has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    # The place of a row in its input partition deals equal rows out evenly, and
+    # alike if a task runs again.  Rows without a whole key meet none: spread them.
+    dealt = F.pmod(F.col(place), F.lit(salts)).cast("int")
     probe = (
-        incoming.join(F.broadcast(verdict), keys, "left")
-        .filter(~F.coalesce("_seen", F.lit(False)))
-        .withColumn("_spread", F.when(has_key & F.col("_seen").isNull(), 0).otherwise(spread))
+        incoming.withColumn(place, F.monotonically_increasing_id())
+        .withColumn(mine, hashed)
+        .join(hot, F.col(mine) == F.col(theirs), "left")
+        .withColumn(salt, F.when(F.col(theirs).isNotNull() | ~has_key, dealt).otherwise(F.lit(0)))
+    )
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    lookup = (
+        known.withColumn(mine, hashed)
+        .join(hot, F.col(mine) == F.col(theirs), "left")
+        .withColumn(
+            salt, F.explode(F.when(F.col(theirs).isNotNull(), every).otherwise(F.array(F.lit(0))))
+        )
+        .select(*keys, salt)
+    )
+    return probe.join(lookup, [*keys, salt], "left_anti").select(*incoming.columns)
+
+
+def _key_bytes(keys: Sequence[str]) -> Column:
+    return reduce(
+        lambda a, b: a + b,
+        [F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys],
     )
-    # Always 0, but not a literal: a literal would be folded out of the join key.
-    zero = F.pmod(F.xxhash64(*keys), F.lit(1))
-    lookup = known.withColumn("_spread", zero).distinct()
-    return probe.join(lookup, [*keys, "_spread"], "left_anti").select(*incoming.columns)
 
 
 def _fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
@@ -125,45 +124,88 @@ def _fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
     return rows <= max_rows and (size or 0) <= max_bytes
 
 
+def _newest(
+    old: DataFrame, changes: DataFrame, keys: list[str], order: Sequence[str | Column], ties
+) -> DataFrame:
+    change = unused_name(old.columns, "_change")
+    both = old.withColumn(change, F.lit(0)).unionByName(changes.withColumn(change, F.lit(1)))
+    later = F.col(change).desc()
+    if ties is None:
+        ties = [c for c in old.columns if c not in keys]
+    return dedup(both, keys, [*order, later], ties).drop(change)
+
+
 def upsert(
     target: DataFrame,
     changes: DataFrame,
     keys: Sequence[str],
     order: Sequence[str | Column],
-    unique_target: bool = False,
+    ties: Sequence[str] | None = None,
     broadcast_rows: int = 1_000_000,
     broadcast_bytes: int = 64 << 20,
 ) -> DataFrame:
-    """Target plus changes, the first row of each key under ``order``.
+    """Target plus changes: of each changed key the first row under ``order``.
+
+    Target rows of other keys stay as they are, repeated keys included.  A
+    change wins over a target row that is equal under ``order``; what is then
+    still equal is told apart by ``ties``, by default all other columns.  NULL
+    keys are one key.  Write the result to a new path, never to the one being
+    read, or use :func:`upsert_partitions`.
+
+    The changed keys are counted and measured first.  Up to the two limits they
+    are broadcast, and target rows of other keys pass without a shuffle; beyond
+    them the target meets the changed keys in a shuffle.  The rows are the same
+    either way.  Both tables are read more than once, so pass stored ones.
+    """
+    keys, order = list(keys), list(order)
+    names = {k: unused_name([*target.columns, *changes.columns], f"_changed_{k}") for k in keys}
+    changed = changes.select(*[F.col(k).alias(names[k]) for k in keys]).distinct()
+    if _fits_broadcast(changed, broadcast_rows, broadcast_bytes):
+        changed = F.broadcast(changed)
+    else:
+        changed = changed.hint("merge")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(names[k])) for k in keys])
+    untouched = target.join(changed, same, "left_anti")
+    touched = target.join(changed, same, "left_semi")
+    return untouched.unionByName(_newest(touched, changes, keys, order, ties))
+
 
-    A change wins over a target row that is equal under ``order``.  Write the
-    result to a new path, never to the one being read.
+BUCKET = "bucket__part"
 
-    With ``unique_target`` the caller states that the target has one row per
-    key, as the result of this function does.  The changed keys are then counted
-    and measured first.  If they are few enough to broadcast, target rows of
-    other keys pass through without a shuffle; if not, target and changes are
-    shuffled together, once, as they are without ``unique_target``.  Both tables
-    are then read more than once, so pass stored ones.
+
+def upsert_partitions(
+    spark: SparkSession,
+    path: str,
+    changes: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str | Column],
+    buckets: int = 256,
+) -> int:
+    """Upsert into a stored table, writing only the partitions that hold changed keys.
+
+    The table is partitioned by a hash of the keys; ``buckets`` is fixed by the
+    first call.  Returns the number of partitions written.  The old files of a
+    partition are replaced when the new ones are complete; running a failed
+    call again gives the same table, since a change replaces an equal row.  One
+    writer at a time.
     """
     keys = list(keys)
-    order = list(order)
-
-    def newest(old: DataFrame) -> DataFrame:
-        both = old.withColumn("_change", F.lit(0)).unionByName(
-            changes.withColumn("_change", F.lit(1))
-        )
-        ties = [c for c in target.columns if c not in keys]
-        return dedup(both, keys, [*order, F.col("_change").desc()], ties).drop("_change")
-
-    if not unique_target:
-        return newest(target)
-    changed = changes.select(*[F.col(k).alias(f"_changed_{k}") for k in keys]).distinct()
-    if not _fits_broadcast(changed, broadcast_rows, broadcast_bytes):
-        return newest(target)
-    same = reduce(
-        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_changed_{k}")) for k in keys]
+    fixed = storage.claim(spark, f"{path}/_buckets", str(buckets))
+    if fixed != str(buckets):
+        raise ValueError(f"{path} has {fixed} buckets, not {buckets}")
+    if BUCKET in {c.lower() for c in changes.columns}:
+        raise ValueError(f"{BUCKET} is the name of the partitions")
+    dealt = changes.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    touched = [row[0] for row in dealt.select(BUCKET).distinct().collect()]  # buckets at most
+    if not touched:
+        return 0
+    stored = spark.read.schema(dealt.schema).parquet(path).filter(F.col(BUCKET).isin(touched))
+    merged = upsert(stored, dealt, keys, order)
+    (
+        merged.repartition(len(touched), BUCKET)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(BUCKET)
+        .parquet(path)
     )
-    untouched = target.join(F.broadcast(changed), same, "left_anti")
-    touched = target.join(F.broadcast(changed), same, "left_semi")
-    return untouched.unionByName(newest(touched))
+    return len(touched)

@@ -1,4 +1,4 @@
-"""The refined layer as one plan."""
+"""The refined layer: as one build, and kept up to date load by load."""
 
 from __future__ import annotations
 
@@ -6,16 +6,22 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from stratawell.functions import storage
 from stratawell.functions.cleaning import Field
-from stratawell.operators.conform import conform, split_valid
+from stratawell.operators.conform import broken_rules
 from stratawell.operators.dedup import dedup
+from stratawell.operators.incremental import BUCKET, read_since, upsert_partitions
 
 
 @dataclass(frozen=True)
 class SilverRules:
-    """How raw records become refined ones."""
+    """How raw records become refined ones.
+
+    ``valid`` sees the refined columns, and the raw record as ``raw``.
+    """
 
     mapping: Sequence[Field]
     valid: Mapping[str, Column]
@@ -28,11 +34,107 @@ class Silver(NamedTuple):
     quarantined: DataFrame
 
 
-def silver_build(bronze: DataFrame, rules: SilverRules) -> Silver:
+OUTCOME = "outcome__part"
+
+
+def _tagged(bronze: DataFrame, rules: SilverRules) -> DataFrame:
+    """Refined columns, reasons, and the raw record as JSON text where there are reasons."""
+    names = {f.name.lower() for f in rules.mapping}
+    if clash := names & {"raw", "reasons", OUTCOME}:
+        raise ValueError(f"{sorted(clash)} name what a quarantined record carries")
+    raw_types = bronze.select(*[f.raw() for f in rules.mapping]).schema
+    typed = [f.typed(raw_types[f.name].dataType) for f in rules.mapping]
+    unfit = [
+        F.when(f.failed(raw_types[f.name].dataType), F.lit(f"unfit:{f.name}"))
+        for f in rules.mapping
+    ]
+    record = F.struct(*[F.col(f"`{c}`") for c in bronze.columns])
+    read = bronze.select(*typed, record.alias("raw"), F.array_compact(F.array(*unfit)).alias("unfit"))
+    reasons = F.concat(F.col("unfit"), broken_rules(rules.valid))
+    columns = [F.col(f"`{f.name}`") for f in rules.mapping]
+    tagged = read.select(*columns, "raw", reasons.alias("reasons"))
+    bad = F.size("reasons") > 0
+    return tagged.select(
+        *columns,
+        "reasons",
+        F.when(bad, F.to_json("raw", {"ignoreNullFields": "false"})).alias("raw"),
+        F.when(bad, "quarantined").otherwise("accepted").alias(OUTCOME),
+    )
+
+
+def _sides(written: DataFrame, rules: SilverRules) -> Silver:
+    accepted = written.filter(F.col(OUTCOME) == "accepted").drop(OUTCOME, "reasons", "raw")
+    quarantined = written.filter(F.col(OUTCOME) == "quarantined").drop(OUTCOME)
+    return Silver(accepted, quarantined)
+
+
+def _write(bronze: DataFrame, rules: SilverRules, out: str) -> Silver:
+    tagged = _tagged(bronze, rules)
+    tagged.write.mode("overwrite").partitionBy(OUTCOME).parquet(out)
+    spark = bronze.sparkSession
+    return _sides(spark.read.schema(tagged.schema).parquet(out), rules)
+
+
+def silver_build(bronze: DataFrame, rules: SilverRules, out: str) -> Silver:
     """Conform, set invalid rows apart, keep one row per key.
 
-    Accepted rows are deduplicated, quarantined ones are all kept.  One shuffle,
-    after the rows have been typed and filtered.
+    Records are read, typed and judged once and written to ``out``, accepted
+    ones apart from quarantined ones.  A record is quarantined if a rule is
+    broken (NULL counts as broken) or if a value that is not blank does not fit
+    its type; it then carries the ``reasons``, all that apply, and the whole
+    ``raw`` record as JSON text.  Accepted rows are deduplicated as they are
+    read, in one shuffle; quarantined ones are all kept.
     """
-    accepted, quarantined = split_valid(conform(bronze, rules.mapping), rules.valid)
-    return Silver(dedup(accepted, rules.keys, rules.order), quarantined)
+    judged = _write(bronze, rules, out)
+    return Silver(dedup(judged.accepted, rules.keys, rules.order), judged.quarantined)
+
+
+def _marks(spark: SparkSession, out: str) -> list[int]:
+    """The loads up to which runs were finished."""
+    return [int(name) for name in storage.entries(spark, f"{out}/marks") if name.isdigit()]
+
+
+def silver_update(
+    bronze: DataFrame,
+    rules: SilverRules,
+    out: str,
+    mark_col: str,
+    buckets: int = 256,
+) -> int:
+    """Take the loads that are new in the raw layer into a stored refined layer.
+
+    Loads are told by ``mark_col``, a whole number that grows from load to load.
+    Those beyond the stored mark are judged as in :func:`silver_build`;
+    accepted rows are upserted into ``out/accepted``, where only partitions with
+    changed keys are written, quarantined rows are kept with their load under
+    ``out/judged``.  The mark is stored last, so a run that died is repeated as
+    a whole, with the same result.  Returns the number of partitions written.
+    """
+    spark = bronze.sparkSession
+    since = max(_marks(spark, out), default=None)
+    until = bronze.agg(F.max(mark_col)).first()[0]
+    if until is None or (since is not None and until <= since):
+        return 0
+    judged = _write(
+        read_since(bronze, mark_col, since, until), rules, f"{out}/judged/until={until}"
+    )
+    written = upsert_partitions(
+        spark, f"{out}/accepted", judged.accepted, rules.keys, rules.order, buckets
+    )
+    storage.write_text(spark, f"{out}/marks/{until}", str(until))
+    return written
+
+
+def read_silver(bronze: DataFrame, rules: SilverRules, out: str) -> Silver:
+    """The layer that :func:`silver_update` keeps; ``bronze`` is read for its columns only."""
+    spark = bronze.sparkSession
+    schema = _tagged(bronze, rules).schema
+    accepted = [f for f in schema if f.name not in (OUTCOME, "reasons", "raw")]
+    names = [f"`{f.name}`" for f in accepted]
+    stored = spark.read.schema(
+        type(schema)([*accepted, *spark.createDataFrame([], f"{BUCKET} int").schema])
+    ).parquet(f"{out}/accepted")
+    judged = spark.read.schema(schema).parquet(f"{out}/judged")
+    finished = F.col("until").isin(_marks(spark, out))
+    quarantined = judged.filter(finished & (F.col(OUTCOME) == "quarantined")).drop(OUTCOME, "until")
+    return Silver(stored.select(*names), quarantined)

@@ -6,6 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratawell.functions import storage
+from stratawell.operators.bronze import PART
+
+
+# Formats whose readers can keep the text of a record they cannot parse.
+TEXT_FORMATS = ("csv", "json", "xml")
+
 
 def _with_corrupt(schema: T.StructType, corrupt_col: str | None) -> T.StructType:
     if corrupt_col is None:
@@ -41,13 +48,14 @@ def csv_source(
     another order fail instead of being read by position.  With ``corrupt_col``
     the text of a record that differs from the schema (a value of the wrong
     type, too few or too many fields) is kept there beside whatever could be
-    parsed.  Empty text and NULL both read as NULL.  Files stay splittable
+    parsed; without it, such a record fails the query unless ``mode`` is given.  Empty text and NULL both read as NULL.  Files stay splittable
     unless ``multiLine`` is set.
     """
     reader = (
         spark.read.schema(_with_corrupt(schema, corrupt_col))
         .option("header", header)
         .option("enforceSchema", not header)
+        .options(**({"mode": "FAILFAST"} if corrupt_col is None else {}))
         .options(**options)
     )
     if corrupt_col is not None:
@@ -74,6 +82,8 @@ def file_stream(
     """
     if max_files is not None and max_bytes is not None:
         raise ValueError("give max_files or max_bytes, not both")
+    if corrupt_col is not None and fmt not in TEXT_FORMATS:
+        raise ValueError(f"{fmt} files have no corrupt records to keep")
     reader = (
         spark.readStream.format(fmt)
         .schema(_with_corrupt(schema, corrupt_col))
@@ -88,6 +98,15 @@ def file_stream(
     return _keep_whole_record(reader.load(directory), schema, corrupt_col)
 
 
-def read_layer(spark: SparkSession, path: str) -> DataFrame:
-    """Read one layer as input of the next; filters and columns reach the scan."""
-    return spark.read.parquet(path)
+def read_layer(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Read one layer as input of the next; filters and columns reach the scan.
+
+    With ``schema`` a layer that holds no rows yet, or does not exist, is empty.
+    Columns that exist for directories only are left out.
+    """
+    if schema is None:
+        layer = spark.read.parquet(path)
+        return layer.select(*[F.col(f"`{c}`") for c in layer.columns if not c.endswith(PART)])
+    if not storage.exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path).select(*[F.col(f"`{c}`") for c in schema.names])

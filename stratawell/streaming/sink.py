@@ -2,43 +2,59 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stratawell.functions import storage
+from stratawell.operators.bronze import with_parts
 
 _OWNER = "layer_sink"
+_CLAIM = "_layer_owner"
+
+
+@dataclass(frozen=True)
+class Taken:
+    """What a run took: batches, rows written, and rows dropped as late."""
+
+    batches: int
+    rows: int
+    late: int
 
 
 def bind_checkpoint(spark: SparkSession, out: str, checkpoint: str) -> None:
-    """Tie a checkpoint to one output for good, or refuse.
+    """Tie a checkpoint and an output to each other for good, or refuse.
 
     The sink skips batches whose number its own log already holds.  A fresh
     checkpoint over an old output restarts the numbers, so its first batches
     would be dropped without an error; an old checkpoint over a fresh output
     would never read its input again; and rows that a batch job wrote would be
-    hidden by the sink's log.
+    hidden by the sink's log.  Each side names the other.  The output's side is
+    created, never replaced, so of several checkpoints at once one gets it and
+    the others are refused now and whenever they try again.
     """
-    out = storage.qualify(spark, out)
-    owner_path = f"{checkpoint.rstrip('/')}/{_OWNER}"
-    sink_log = f"{out}/_spark_metadata"
+    out, own = storage.qualify(spark, out), storage.qualify(spark, checkpoint)
+    owner_path, sink_log = f"{own}/{_OWNER}", f"{out}/_spark_metadata"
     owner = storage.read_text(spark, owner_path)
+    if owner and owner != out:
+        raise ValueError(f"checkpoint {checkpoint} belongs to {owner}, not to {out}")
     if owner:
-        if owner != out:
-            raise ValueError(f"checkpoint {checkpoint} belongs to {owner}, not to {out}")
-        if storage.has_entries(spark, f"{checkpoint}/commits") and not storage.has_entries(
-            spark, sink_log
-        ):
+        if storage.has_entries(spark, f"{own}/commits") and not storage.has_entries(spark, sink_log):
             raise ValueError(f"{out} has lost the rows that checkpoint {checkpoint} has taken")
-        return
-    if storage.exists(spark, f"{checkpoint}/metadata"):
+    elif storage.exists(spark, f"{own}/metadata"):
         raise ValueError(f"checkpoint {checkpoint} was made by another query")
-    if storage.has_entries(spark, out):
+    elif set(storage.entries(spark, out)) - {_CLAIM, f".{_CLAIM}.crc"}:
         raise ValueError(f"{out} already holds data that checkpoint {checkpoint} does not know")
-    storage.write_text(spark, owner_path, out)
+    holder = storage.claim(spark, f"{out}/{_CLAIM}", own)
+    if holder != own:
+        raise ValueError(f"{out} already belongs to checkpoint {holder}, not to {checkpoint}")
+    if not owner:
+        storage.write_text(spark, owner_path, out)
 
 
 def stream_sink(
@@ -56,6 +72,7 @@ def stream_sink(
     is fixed by its first run.
     """
     bind_checkpoint(stream.sparkSession, out, checkpoint)
+    stream, copies = with_parts(stream, partition_by)
     writer = (
         stream.writeStream.format("parquet")
         .outputMode("append")
@@ -63,17 +80,29 @@ def stream_sink(
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
     )
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
+    if copies:
+        writer = writer.partitionBy(*copies)
     return writer.start()
 
 
 def ingest_incremental(
     stream: DataFrame, out: str, checkpoint: str, partition_by: Sequence[str] = ()
-) -> None:
-    """Take the input not taken before, then stop.  Raises if the run failed."""
-    query = stream_sink(stream, out, checkpoint, partition_by)
+) -> Taken:
+    """Take the input not taken before, then stop.  Raises if the run failed.
+
+    Returns what the run took, as counted by the last batches that Spark keeps
+    the progress of (``spark.sql.streaming.numRecentProgressUpdates``).
+    """
+    counted = stream.observe("taken", F.count(F.lit(1)).alias("rows"))
+    query = stream_sink(counted, out, checkpoint, partition_by)
     try:
         query.awaitTermination()
     finally:
         query.stop()
+    progress = [json.loads(p.json) if hasattr(p, "json") else p for p in query.recentProgress]
+    done = [p for p in progress if p.get("observedMetrics", {}).get("taken")]
+    return Taken(
+        batches=len(done),
+        rows=sum(p["observedMetrics"]["taken"]["rows"] for p in done),
+        late=sum(op.get("numRowsDroppedByWatermark", 0) for p in progress for op in p["stateOperators"]),
+    )

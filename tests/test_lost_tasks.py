@@ -39,10 +39,10 @@ def test_batch_operators(events):
     )
     changes = hot.filter("event_id < 300")
     assert same_rows(
-        sw.upsert(flaky(events), flaky(changes), ["event_id"], newest, unique_target=True),
+        sw.upsert(flaky(events), flaky(changes), ["event_id"], newest, broadcast_rows=0),
         sw.upsert(events, changes, ["event_id"], newest),
     )
-    totals = {"n": sw.row_count(), "total": sw.exact_sum("value"), "users": sw.distinct_count("user_id")}
+    totals = {"n": sw.row_count(), "total": sw.exact_sum("value", 2), "users": sw.distinct_count("user_id")}
     assert sw.headline(flaky(events), totals).collect() == sw.headline(events, totals).collect()
 
 

@@ -66,11 +66,15 @@ def test_against_plain_python(spark, seed):
         row, change = tagged[2]
         return (nulls_last_desc(row[2]), -change, nulls_first(row[2]), nulls_first(row[3]))
 
-    for base, start, flag in ((target, old, False), (unique, list(kept.values()), True)):
-        tagged = [(*r[:2], (r, 0)) for r in start] + [(*r[:2], (r, 1)) for r in new]
+    changed = {r[:2] for r in new}
+    for base, start in ((target, old), (unique, list(kept.values()))):
+        tagged = [(*r[:2], (r, 0)) for r in start if r[:2] in changed]
+        tagged += [(*r[:2], (r, 1)) for r in new]
         want = [entry[2][0] for entry in first_per_key(tagged, rank_changed).values()]
-        got = sw.upsert(base, changes, keys, newest, unique_target=flag)
-        assert ordered(got.collect()) == ordered(want)
+        want += [r for r in start if r[:2] not in changed]
+        for limits in ({}, {"broadcast_rows": 0}):
+            got = sw.upsert(base, changes, keys, newest, **limits)
+            assert ordered(got.collect()) == ordered(want)
 
     known = {r[:2] for r in old if None not in r[:2]}
     want = [r for r in new if None in r[:2] or r[:2] not in known]

@@ -158,6 +158,15 @@ def test_decode_keeps_every_undecodable_text(spark):
         (5, b"  "),
         (6, None),
         (7, b"[]"),
+        (8, b'{"a":1,"b":"x"}{"a":2}'),
+        (9, b'{"a":1,"b":"x"} junk'),
+        (10, b'{"a":1,"b":"\xff"}'),
+        (11, b' {"a":1,"b":"x"}\n'),
+        (12, b'{"a":1},"seal":"x"}'),
+        (13, b"null"),
+        (14, b'{"a":1,"b":"x"}]'),
+        (15, b'{"a":1,"zz":[1,{"q":"}"}],"b":"x\\"}"}'),
+        (16, b'{"a":1}, "payload":{"a":2}'),
     ]
     df = sw.decode_json(spark.createDataFrame(rows, "id int, value binary"), PAYLOAD)
     assert df.columns == ["id", "a", "b", "_corrupt"]
@@ -168,6 +177,10 @@ def test_decode_keeps_every_undecodable_text(spark):
     assert got[4] == (None, None, "")
     assert got[5] == (None, None, "  ")
     assert got[6] == (None, None, None)
+    for i in (7, 8, 9, 12, 13, 14):
+        assert got[i][2] == rows[i - 1][1].decode(), i
+    assert got[10][2] == '{"a":1,"b":"\ufffd"}'
+    assert got[11] == (1, "x", None) and got[15] == (1, 'x"}', None)
     alone = {r.id: r._corrupt for r in df.select("id", "_corrupt").collect()}
     assert alone == {i: v[2] for i, v in got.items()}
 
@@ -176,3 +189,32 @@ def test_decode_parses_once(spark):
     df = spark.createDataFrame([(b"{}",)], "value binary")
     plan = sw.decode_json(df, PAYLOAD)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json(") == 1
+
+
+def test_decode_keeps_the_payload_and_refuses_clashing_names(spark):
+    rows = [(1, b'{"a":1,"zz":5}'), (2, b"\xff{"), (3, None)]
+    df = spark.createDataFrame(rows, "id int, value binary")
+    got = {r.id: r for r in sw.decode_json(df, PAYLOAD, raw_col="raw").collect()}
+    assert [bytes(got[i].raw) if got[i].raw is not None else None for i in (1, 2, 3)] == [v for _, v in rows]
+    for clash in ({"corrupt_col": "ID"}, {"raw_col": "a"}):
+        with pytest.raises(ValueError, match="two columns"):
+            sw.decode_json(df, PAYLOAD, **clash)
+    inner = df.selectExpr("id AS source", "id AS text", "id AS found", "id AS wanted", "id AS _0", "value")
+    kept = sw.decode_json(inner, PAYLOAD).orderBy("source")
+    assert tuple(kept.first())[:6] == (1, 1, 1, 1, 1, 1)
+
+
+def test_csv_without_a_corrupt_column_fails_on_bad_records(spark, tmp_path):
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.DoubleType())])
+    for i, line in enumerate(("1,bad", "2,3.5,extra")):
+        path = tmp_path / f"{i}.csv"
+        path.write_text(f"a,b\n{line}\n")
+        with pytest.raises(Exception, match="MALFORMED|Malformed"):
+            sw.csv_source(spark, str(path), schema).collect()
+        lenient = sw.csv_source(spark, str(path), schema, mode="PERMISSIVE").collect()
+        assert lenient[0].a == i + 1
+
+
+def test_formats_without_corrupt_records_are_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="no corrupt records"):
+        sw.file_stream(spark, str(tmp_path), "parquet", PAYLOAD, corrupt_col="_corrupt")

@@ -1,4 +1,5 @@
 import datetime
+from concurrent.futures import ThreadPoolExecutor
 import glob
 import os
 
@@ -139,7 +140,8 @@ def test_partitioned_sink(spark, events):
     layer = sw.read_layer(spark, f"{work}/layer")
     assert same_rows(layer, events)
     plan = layer.filter("event_type = 'view'")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(event_type" in plan
+    assert "PushedFilters: [IsNotNull(event_type)" in plan
+    assert any("event_type__part=view" in f for f in layer.inputFiles())
 
 
 def test_row_wise_steps_give_the_same_on_a_stream(spark, events):
@@ -162,7 +164,7 @@ def deduped(spark, work, events, **kwargs):
     return sw.read_layer(spark, f"{work}/layer")
 
 
-@pytest.mark.parametrize("salts", [None, 1, 3])
+@pytest.mark.parametrize("salts", [8, 1, 3])
 def test_key_holding_a_third_of_all_rows_comes_out_once(spark, events, salts):
     work = fresh(spark)
     hot = events.withColumn(
@@ -217,3 +219,56 @@ def test_late_rows_are_dropped(spark, events):
         sw.ingest_incremental(once, f"{work}/layer", f"{work}/checkpoint")
     got = sw.read_layer(spark, f"{work}/layer").collect()
     assert sorted(r.event_id for r in got) == [0, 2]
+
+
+def test_rows_without_a_time_go_aside_and_late_ones_are_counted(spark, events):
+    work = fresh(spark)
+    start = datetime.datetime(2024, 1, 1)
+    for i, time in enumerate([None, start + datetime.timedelta(days=90), None, start]):
+        rows = [(5, time, 0, "x", 0.0, "{}"), (6, None, 0, "x", 0.0, "{}"), (7 + i, time or start, 0, "x", 0.0, "{}")]
+        spark.createDataFrame(rows, events.schema).write.mode("append").parquet(f"{work}/landing")
+        once = sw.dedup_stream(stream_of(spark, work, events), ["event_id"], "ts", "60 days")
+        taken = sw.ingest_incremental(once, f"{work}/layer", f"{work}/checkpoint")
+        assert taken.rows == [1, 2, 0, 0][i], (i, taken)
+    assert taken.late == 2
+    got = sorted(r.event_id for r in sw.read_layer(spark, f"{work}/layer").collect())
+    assert got == [5, 7, 8]
+    aside = sw.rows_without_time(stream_of(spark, work, events), "ts")
+    assert sw.ingest_incremental(aside, f"{work}/aside", f"{work}/aside_checkpoint").rows == 6
+
+
+def test_restart_under_other_settings(spark, events):
+    work, name = fresh(spark), "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    try:
+        for partitions, part in ((1, 0), (8, 1)):
+            spark.conf.set(name, str(partitions))
+            events.filter(F.col("event_id") % 2 <= part).write.mode("append").parquet(f"{work}/landing")
+            got = deduped(spark, work, events)
+    finally:
+        spark.conf.set(name, before)
+    assert same_rows(got, events)
+
+
+def test_of_two_checkpoints_one_gets_the_output(spark, events):
+    """Bound before either has written, and started at once: the other is refused, then and later."""
+    from stratawell.streaming.sink import bind_checkpoint
+
+    work = fresh(spark)
+    events.repartition(4).write.parquet(f"{work}/landing")
+    bind_checkpoint(spark, f"{work}/bound", f"{work}/one")
+    for _ in range(2):
+        with pytest.raises(ValueError, match="already belongs"):
+            bind_checkpoint(spark, f"{work}/bound", f"{work}/two")
+    bind_checkpoint(spark, f"{work}/bound", f"{work}/one")
+
+    stream = stream_of(spark, work, events)
+    with ThreadPoolExecutor(2) as pool:
+        runs = [
+            pool.submit(sw.ingest_incremental, stream, f"{work}/layer", f"{work}/own{i}") for i in (0, 1)
+        ]
+    failed = [i for i, run in enumerate(runs) if run.exception()]
+    assert len(failed) == 1 and "already" in str(runs[failed[0]].exception())
+    with pytest.raises(ValueError, match="already"):
+        sw.ingest_incremental(stream, f"{work}/layer", f"{work}/own{failed[0]}")
+    assert same_rows(sw.read_layer(spark, f"{work}/layer"), events)
