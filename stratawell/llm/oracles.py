@@ -1,3 +1,159 @@
-"""DuckDB twins of those queries that SQL can express."""
+"""DuckDB twins of those queries that SQL can express, by comparing all with all."""
 
-ORACLES: dict[str, str] = {}
+_VECTORS = """
+    v AS (
+        SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, label,
+               embedding IS NOT NULL AND len(embedding) > 0 AND label IS NOT NULL
+               AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+               AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS usable
+        FROM embeddings
+    )
+"""
+
+_VECTOR_DEDUP = f"""
+    WITH RECURSIVE {_VECTORS},
+    links AS (
+        SELECT a.vec_id AS i, b.vec_id AS j
+        FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+        WHERE a.usable AND b.usable AND list_cosine_similarity(a.e, b.e) >= 0.93
+    ),
+    reach AS (
+        SELECT vec_id AS i, vec_id AS j FROM v
+        UNION
+        SELECT r.i, l.j FROM reach r JOIN links l ON r.j = l.i
+    ),
+    least AS (SELECT i AS vec_id, min(j) AS component_id FROM reach GROUP BY i)
+    SELECT vec_id, (SELECT count(*) FROM links WHERE i = vec_id) AS n_links, component_id,
+           vec_id = component_id AS kept
+    FROM least
+"""
+
+_TOP_PRODUCTS = """
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e
+        FROM embeddings
+        WHERE embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    ranked AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS product,
+               row_number() OVER (PARTITION BY q.vec_id
+                                  ORDER BY list_inner_product(q.e, c.e) DESC, c.vec_id) AS r
+        FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+        WHERE q.vec_id % 100 = 0
+    )
+    SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, CAST(product AS BIGINT) AS score
+    FROM ranked WHERE r <= 10
+"""
+
+_REPEATED_PASSAGES = r"""
+    WITH d AS (
+        SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+    ),
+    words AS (
+        SELECT doc_id, generate_subscripts(w, 1) AS pos, unnest(w) AS word FROM d
+    ),
+    starts AS (
+        SELECT doc_id, unnest(range(1, len(w) - 33)) AS pos, w FROM d WHERE len(w) >= 35
+    ),
+    windows AS (
+        SELECT doc_id, pos, sha256(array_to_string(w[pos:pos + 34], ' ')) AS h FROM starts
+    ),
+    judged AS (SELECT doc_id, pos, count(*) OVER (PARTITION BY h) > 1 AS again FROM windows),
+    covered AS (
+        SELECT doc_id, pos, word,
+               max(coalesce(again, false)) OVER (PARTITION BY doc_id ORDER BY pos
+                                                 ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone
+        FROM words LEFT JOIN judged USING (doc_id, pos)
+    ),
+    sums AS (
+        SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE gone) AS n_removed,
+               string_agg(word, ' ' ORDER BY pos) FILTER (WHERE NOT gone) AS kept
+        FROM covered GROUP BY doc_id
+    )
+    SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+           sha256(coalesce(kept, '')) AS kept_sha256
+    FROM d LEFT JOIN sums USING (doc_id)
+"""
+
+_DIGITS = "regexp_replace(hit, '[^0-9]', '', 'g')"
+_LUHN = f"""
+    length({_DIGITS}) BETWEEN 13 AND 19 AND list_sum(list_transform(
+        range(1, length({_DIGITS}) + 1),
+        lambda i: CASE WHEN i % 2 = 1 THEN CAST(reverse({_DIGITS})[i] AS INTEGER)
+                  WHEN CAST(reverse({_DIGITS})[i] AS INTEGER) > 4
+                  THEN CAST(reverse({_DIGITS})[i] AS INTEGER) * 2 - 9
+                  ELSE CAST(reverse({_DIGITS})[i] AS INTEGER) * 2 END)) % 10 = 0
+"""
+_PLAIN = "regexp_replace(hit, ' ', '', 'g')"
+_REMAINDER = f"""
+    length({_PLAIN}) BETWEEN 15 AND 34 AND list_reduce(list_prepend(CAST(0 AS BIGINT), list_transform(
+        string_split({_PLAIN}[5:] || {_PLAIN}[1:4], ''),
+        lambda c: CAST(CASE WHEN c BETWEEN '0' AND '9' THEN ascii(c) - 48 ELSE ascii(c) - 55 END AS BIGINT))),
+        lambda rest, n: (rest * CASE WHEN n > 9 THEN 100 ELSE 10 END + n) % 97) = 1
+"""
+
+#: Kind, pattern, group of what stands before, group of the span, and the check of a span.
+_KINDS = (
+    ("email", r"()([A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)", "true"),
+    (
+        "ip",
+        r"()([0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+))",
+        "len(list_filter(string_split(hit, '.'), lambda p: CAST(p AS HUGEINT) > 255)) = 0",
+    ),
+    ("card", r"()([0-9](?:[\x20-]?[0-9])+)", _LUHN),
+    ("phone", r"()(\+[0-9][\x20().0-9-]+[0-9])", f"length({_DIGITS}) BETWEEN 9 AND 15"),
+    (
+        "iban",
+        r"(^|[^A-Za-z0-9])([A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{2,7}}(?:\x20?[A-Z0-9]{{1,3}})?)"
+        r"(?:$|[^A-Za-z0-9])".replace("{{", "{").replace("}}", "}"),
+        _REMAINDER,
+    ),
+)
+
+
+def _spans(order: int, kind: str, pattern: str, valid: str) -> str:
+    return f"""
+        SELECT doc_id, {order} AS ord, '{kind}' AS kind, first, first + length(hit) AS past
+        FROM (
+            SELECT doc_id, hits[i] AS hit,
+                   coalesce(list_sum(list_transform(gaps[1:i], lambda x: length(x))), 0)
+                   + coalesce(list_sum(list_transform(whole[1:i - 1], lambda x: length(x))), 0)
+                   + length(befores[i]) AS first
+            FROM (
+                SELECT doc_id, whole, hits, befores, gaps, unnest(range(1, len(hits) + 1)) AS i
+                FROM (
+                    SELECT doc_id, regexp_extract_all(t, '{pattern}') AS whole,
+                           regexp_extract_all(t, '{pattern}', 2) AS hits,
+                           regexp_extract_all(t, '{pattern}', 1) AS befores,
+                           string_split_regex(t, '{pattern}') AS gaps
+                    FROM d
+                )
+            )
+        ) WHERE {valid}
+    """
+
+
+_PERSONAL_DATA = f"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+    spans AS ({" UNION ALL ".join(_spans(i, *kind) for i, kind in enumerate(_KINDS))}),
+    sums AS (
+        SELECT doc_id,
+               {", ".join(f"count(*) FILTER (WHERE kind = '{k[0]}') AS n_{k[0]}" for k in _KINDS[:4])},
+               string_agg(kind || ':' || first || ':' || past, ',' ORDER BY ord, first) AS spans,
+               string_agg(kind || ':' || first || ':' || past, ',' ORDER BY ord, first)
+                   FILTER (WHERE ord < 4) AS base
+        FROM spans GROUP BY doc_id
+    )
+    SELECT doc_id,
+           {", ".join(f"coalesce(n_{k[0]}, 0) AS n_{k[0]}" for k in _KINDS[:4])},
+           sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+    FROM d LEFT JOIN sums USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op4_vector_dedup": _VECTOR_DEDUP,
+    "op6_top_products": _TOP_PRODUCTS,
+    "op7_repeated_passages": _REPEATED_PASSAGES,
+    "op9_personal_data": _PERSONAL_DATA,
+}
