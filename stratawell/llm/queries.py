@@ -102,9 +102,10 @@ def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    labels = _table(spark, sf_dir, "labels")
+    order = F.xxhash64("doc_id")
+    labels = _table(spark, sf_dir, "labels").orderBy(order, "doc_id").limit(site_quality.SAMPLE)
     models = site_quality.fit_text(
-        docs.join(labels, "doc_id"), "text", ["quality", "toxic"], F.xxhash64("doc_id")
+        docs.join(F.broadcast(labels), "doc_id"), "text", ["quality", "toxic"], order
     )
     scored = site_quality.site_quality(docs, models, F.col("source"), F.col("lang"))
     good = (F.col("quality") >= 0.5) & (F.col("toxic") < 0.5)
