@@ -87,3 +87,12 @@ def id_bucket(column: str, modulus: int) -> Column:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def lowest_hashes(place: Column, rows: int, wanted: int) -> Column:
+    """Whether a 64-bit hash is among the lowest, in a share that holds four times ``wanted`` of ``rows``.
+
+    What is then ranked is bounded whatever the number of rows.
+    """
+    share = min(1.0, 4 * wanted / max(rows, 1))
+    return place <= F.lit(min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63)))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratawell.llm.common import Steps, unused
+from stratawell.llm.common import Steps, lowest_hashes, unused
 
 #: Hashed n-grams: so many buckets, for these lengths in bytes.
 BUCKETS = 1 << 14
@@ -93,6 +93,33 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     return frequency, n
 
 
+def _sample(steps: Steps, rows: DataFrame) -> DataFrame:
+    """The ``SAMPLE`` texts with letters of each language whose places are smallest.
+
+    Texts are ranked within a share of all that should hold enough of them; where few texts have
+    letters, within all.
+    """
+    first = Window.partitionBy("lang").orderBy("place", "text")
+    lettered = rows.filter(F.col("text").rlike(r"\p{L}"))
+    # one row for each language
+    counts = {row["lang"]: row["count"] for row in rows.groupBy("lang").count().collect()}
+    near = F.lit(False)
+    for lang, count in counts.items():
+        near |= (F.col("lang") == lang) & lowest_hashes(F.col("place"), count, SAMPLE)
+
+    def ranked(texts: DataFrame) -> DataFrame:
+        nth = F.row_number().over(first)
+        return steps.save(texts.withColumn("nth", nth).filter(F.col("nth") <= SAMPLE))
+
+    sample = ranked(lettered.filter(near))
+    found = {row["lang"]: row["count"] for row in sample.groupBy("lang").count().collect()}
+    short = [x for x, n in counts.items() if n > 4 * SAMPLE and found.get(x, 0) < SAMPLE]
+    if short:
+        again = ranked(lettered.filter(F.col("lang").isin(short)))
+        sample = sample.filter(~F.col("lang").isin(short)).unionByName(again)
+    return sample
+
+
 def _cluster(vectors: np.ndarray, k: int) -> tuple[np.ndarray, float]:
     """Centroids of vectors of length one, and the lowest cosine of a vector to its nearest."""
     centre = vectors.mean(axis=0)
@@ -127,26 +154,20 @@ class Centroids:
         return self.langs[best], score, score < self.floors[best]
 
 
-def fit(train: DataFrame, text_col: str, lang_col: str, order: Column) -> Centroids:
+def fit(train: DataFrame, text_col: str, lang_col: str, place: Column) -> Centroids:
     """Centroids of the languages in ``train``.
 
-    IDF counts every text.  Centroids are fitted on the first ``SAMPLE`` texts with letters of each
-    language in the given order, which has to be a mixed one.  Rows with a NULL language or text
+    IDF counts every text.  Centroids are fitted on the ``SAMPLE`` texts with letters of each
+    language that have the smallest ``place``, a 64-bit hash of the row.  Rows with a NULL language or text
     take no part.  Equal cosines go to the language that sorts first.
     """
     steps = Steps(train.sparkSession)
     rows = train.select(
-        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), order.alias("place")
+        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), place.alias("place")
     ).filter("lang IS NOT NULL AND text IS NOT NULL")
     frequency, n = document_frequencies(rows.select("text"))
     idf = np.log((1 + n) / (1 + frequency)) + 1
-    first = Window.partitionBy("lang").orderBy("place", "text")
-    # Texts with a letter only, and no more than SAMPLE of them from any task.
-    sample = steps.save(
-        rows.filter(F.col("text").rlike(r"\p{L}"))
-        .withColumn("nth", F.row_number().over(first))
-        .filter(F.col("nth") <= SAMPLE)
-    )
+    sample = _sample(steps, rows)
 
     def cluster(group: pd.DataFrame) -> pd.DataFrame:
         found = [letters(text) for text in group["text"]]

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratawell.llm.common import Steps
+from stratawell.llm.common import Steps, lowest_hashes
 from stratawell.llm.components import components
 
 #: Vectors that the rotation is learned on: those with the smallest hashes.
@@ -72,10 +72,12 @@ def usable(vector: Column) -> Column:
     return F.coalesce(finite & F.exists(x, lambda v: v != 0), F.lit(False))
 
 
-def _learn(classes: DataFrame, size: int) -> Rotation:
+def _learn(classes: DataFrame, size: int, count: int) -> Rotation:
+    place = F.xxhash64("vector")
     rows = (
         classes.filter(F.size("vector") == size)
-        .orderBy(F.xxhash64("vector"))
+        .filter(lowest_hashes(place, count, SAMPLE))
+        .orderBy(place)
         .select("vector")
         .limit(SAMPLE)
         .collect()
@@ -248,8 +250,9 @@ def vector_groups(
             "class", F.monotonically_increasing_id()
         )
     )
-    sizes = [r[0] for r in classes.select(F.size("vector")).distinct().collect()]
-    rotations = {size: _learn(classes, size) for size in sizes}
+    # one row, and one rotation, for each length that vectors have
+    sizes = classes.groupBy(F.size("vector").alias("size")).count().collect()
+    rotations = {row["size"]: _learn(classes, row["size"], row["count"]) for row in sizes}
     entries = steps.save(_entries(classes.drop("least"), rotations))
     found = steps.save(_links(_blocks(steps, entries), least))
     steps.drop(entries)

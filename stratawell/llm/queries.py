@@ -23,7 +23,7 @@ from stratawell.llm import (
     site_quality,
     substrings,
 )
-from stratawell.llm.common import Steps, id_bucket
+from stratawell.llm.common import Steps, id_bucket, lowest_hashes
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -102,10 +102,12 @@ def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    order = F.xxhash64("doc_id")
-    labels = _table(spark, sf_dir, "labels").orderBy(order, "doc_id").limit(site_quality.SAMPLE)
+    place = F.xxhash64("doc_id")
+    labels = _table(spark, sf_dir, "labels")
+    near = lowest_hashes(place, labels.count(), site_quality.SAMPLE)
+    sample = labels.filter(near).orderBy(place, "doc_id").limit(site_quality.SAMPLE)
     models = site_quality.fit_text(
-        docs.join(F.broadcast(labels), "doc_id"), "text", ["quality", "toxic"], order
+        docs.join(F.broadcast(sample), "doc_id"), "text", ["quality", "toxic"], place
     )
     scored = site_quality.site_quality(docs, models, F.col("source"), F.col("lang"))
     good = (F.col("quality") >= 0.5) & (F.col("toxic") < 0.5)
