@@ -213,18 +213,21 @@ def simhash_groups(
     )
 
 
-def drop_near_copies(
-    docs: DataFrame, shingle_words: int = 4, distance: int = 4
-) -> DataFrame:
-    """The documents without near copies: of each component the one with the smallest doc_id.
+def drop_near_copies(docs: DataFrame, shingle_words: int = 4, distance: int = 4) -> DataFrame:
+    """One row of each component: that with the smallest doc_id.
 
-    Rows with a NULL doc_id stay only if no document with an id is in their component.  Rows that
-    repeat a kept doc_id all stay: they are one document to every operator here.
+    Of repeated rows of that id one stays, whichever; rows with a NULL doc_id come after all others,
+    so one of these stays where a component has no id.
     """
-    groups = simhash_groups(docs, shingle_words=shingle_words, distance=distance)
-    kept = Steps(docs.sparkSession).save(
-        groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select(F.col("doc_id").alias("_kept"))
-        .distinct()
+    steps = Steps(docs.sparkSession)
+    key, place = unused(docs, "key"), unused(docs, "place")
+    keyed = steps.save(docs.withColumn(key, F.monotonically_increasing_id()))
+    order = F.struct(
+        F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(key).alias("row")
+    )
+    groups = simhash_groups(
+        keyed.select(order.alias(place), "text"), place, "text", shingle_words, distance
     )
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
+    first = groups.filter(F.col(place)["row"] == F.col("component_id")["row"])
+    kept = steps.save(first.select(F.col(place)["row"].alias(key)))
+    return keyed.join(kept, key, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
