@@ -93,7 +93,7 @@ _REMAINDER = f"""
         lambda rest, n: (rest * CASE WHEN n > 9 THEN 100 ELSE 10 END + n) % 97) = 1
 """
 
-#: Kind, pattern, group of what stands before, group of the span, and the check of a span.
+#: Kind, pattern with what stands before and the span as its groups, and the check of a span.
 _KINDS = (
     ("email", r"()([A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)", "true"),
     (
@@ -105,8 +105,8 @@ _KINDS = (
     ("phone", r"()(\+[0-9][\x20().0-9-]+[0-9])", f"length({_DIGITS}) BETWEEN 9 AND 15"),
     (
         "iban",
-        r"(^|[^A-Za-z0-9])([A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{2,7}}(?:\x20?[A-Z0-9]{{1,3}})?)"
-        r"(?:$|[^A-Za-z0-9])".replace("{{", "{").replace("}}", "}"),
+        r"(^|[^A-Za-z0-9])([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?)"
+        r"(?:$|[^A-Za-z0-9])",
         _REMAINDER,
     ),
 )
