@@ -53,13 +53,48 @@ def _remainder_97(hit: Column) -> Column:
         F.substring(plain, F.lit(5), F.lit(64)), F.substring(plain, F.lit(1), F.lit(4))
     )
 
-    def add(rest: Column, i: Column) -> Column:
-        code = F.ascii(F.substring(turned, i, F.lit(1)))
+    def add(rest: Column, char: Column) -> Column:
+        code = F.ascii(char)
         return F.when(code < 58, rest * 10 + code - 48).otherwise(rest * 100 + code - 55) % 97
 
-    size = F.length(plain)
-    rest = F.aggregate(F.sequence(F.lit(1), size), F.lit(0), add)
-    return F.when(size.between(15, 34), rest == 1).otherwise(False)
+    rest = F.aggregate(F.split(turned, ""), F.lit(0), add)
+    return F.when(F.length(plain).between(15, 34), rest == 1).otherwise(False)
+
+
+#: Characters of an IBAN by country, those that use IBANs without being registered included.
+IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI",
+        20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+        24: "AD CZ DZ ES MD PK RO SA SE SK TN VG", 25: "AO CV GW LY MZ PT ST", 26: "IR IS TR",
+        27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+        28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+
+
+def _iban(hit: Column) -> Column:
+    """The longest part of a hit, from its start to a space or its end, that is an IBAN, or NULL.
+
+    Its length is that of its country; with an unknown country any that the remainder allows.
+    """
+    groups = F.split(hit, " ")
+    heads = F.transform(
+        F.sequence(F.lit(1), F.size(groups)), lambda n: F.array_join(F.slice(groups, 1, n), " ")
+    )
+    known = F.create_map(*[F.lit(x) for pair in IBAN_LENGTHS.items() for x in pair])
+
+    def good(head: Column) -> Column:
+        length = _count(head, "\\x20")
+        wanted = F.try_element_at(known, F.substring(head, 1, 2))
+        return (F.coalesce(wanted, length) == length) & _remainder_97(head)
+
+    found = F.filter(heads, good)
+    return F.get(found, F.size(found) - 1)
 
 
 @dataclass(frozen=True)
@@ -69,6 +104,9 @@ class Kind:
     ``must`` is a character without which no span is possible.  The possessive quantifiers and the
     looks behind keep the patterns linear: a run of characters is tried from its start only, or
     from the end of the span before.
+
+    Where ``part`` is given, the pattern says how far a span may reach, and ``part`` which part from
+    its start is one, or NULL.  The next is then sought from every place behind that start.
     """
 
     name: str
@@ -77,6 +115,7 @@ class Kind:
     score: float
     context: str
     must: str = ""
+    part: Callable[[Column], Column] | None = None
 
 
 EMAIL = Kind(
@@ -113,9 +152,10 @@ PHONE = Kind(
 IBAN = Kind(
     "iban",
     r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    _remainder_97,
+    lambda hit: F.lit(True),
     0.5,
     r"(?i)\b(iban|account|bank|konto|cuenta|compte)",
+    part=_iban,
 )
 BASE = (EMAIL, IP, CARD, PHONE)
 KINDS = (*BASE, IBAN)
@@ -125,14 +165,22 @@ _SPANS = "array<struct<start:int,end:int,score:double>>"
 
 def _spans(text: Column, kind: Kind) -> Column:
     """The spans of one kind, in order."""
-    hits = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
-    gaps = F.split(text, kind.pattern, -1)
+    if kind.part:
+        # Hits of no width, as they may overlap; the space keeps the first off the start, where
+        # a split drops the empty gap.
+        hits = F.regexp_extract_all(text, F.lit(f"(?=({kind.pattern}))"), F.lit(1))
+        gaps = F.split(F.concat(F.lit(" "), text), f"(?={kind.pattern})", -1)
+        hits = F.transform(hits, kind.part)
+    else:
+        hits = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
+        gaps = F.split(text, kind.pattern, -1)
     pairs = F.zip_with(
         F.slice(gaps, 1, F.size(hits)),
         hits,
         lambda gap, hit: F.struct(gap.alias("gap"), hit.alias("hit")),
     )
-    start = F.expr(f"named_struct('at', 0, 'found', CAST(array() AS {_SPANS}))")
+    at = -1 if kind.part else 0
+    start = F.expr(f"named_struct('at', {at}, 'past', 0, 'found', CAST(array() AS {_SPANS}))")
 
     def add(state: Column, pair: Column) -> Column:
         first = state["at"] + F.length(pair["gap"])
@@ -143,8 +191,11 @@ def _spans(text: Column, kind: Kind) -> Column:
             first.alias("start"), end.alias("end"), F.least(score, F.lit(1.0)).alias("score")
         )
         good = kind.valid(pair["hit"]) & (score >= LEAST_SCORE)
+        if kind.part:
+            good &= pair["hit"].isNotNull() & (first >= state["past"])
         return F.struct(
-            end.alias("at"),
+            (first if kind.part else end).alias("at"),
+            F.when(good, end).otherwise(state["past"]).alias("past"),
             F.when(good, F.concat(state["found"], F.array(span)))
             .otherwise(state["found"])
             .alias("found"),

@@ -79,6 +79,35 @@ def test_iban_and_context(spark):
     assert scores == [0.8999999999999999, 0.6] or scores == [0.9, 0.6]
 
 
+def test_iban_with_more_behind_it(spark):
+    """Upper-case words and numbers behind an IBAN, another IBAN included, do not hide it."""
+    spanish, german = "ES91 2100 0418 4502 0005 1332", "DE89 3704 0044 0532 0130 00"
+    ibans = [spanish, "AT61 1904 3002 3457 3201", "BE68 5390 0754 7034", spanish.replace(" ", "")]
+    ibans += ["PL61 1090 1014 0000 0712 1981 2874", german, german.replace(" ", "")]
+    ibans += ["NO93 8601 1117 947", "MT84 MALT 0110 0001 2345 MTLC AST0 01S"]
+    behind = ["", " BIC CAIXESBB", " EUR 20", " 2024", " CAIXESBBXXX", " ABCDEFGHIJKLMNOP", ", AB12"]
+    texts = [(f"{lead}{iban}{tail}", [(len(lead), iban)])
+             for lead in ("", "\U0001f600 to ") for iban in ibans for tail in behind]
+    texts += [(f"{a} {b}", [(0, a), (len(a) + 1, b)]) for a in ibans for b in ibans]
+    # what only looks like one, of a country or of none, before one
+    texts += [(f"{like} {german}", [(len(like) + 1, german)])
+              for like in ("ES12 3456 7890", "QQ12 3456 7890", "ES91 2100 0418 4502 0005 1333")]
+    # a remainder of 1, at a length that the country does not have
+    texts += [("DE22 3704 0044 0532", [])]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id int, text string")
+    got = {r["doc_id"]: spans_of(r, {"iban"}) for r in privacy.find_private(docs).collect()}
+    for i, (text, want) in enumerate(texts):
+        assert got[i] == [f"iban:{at}:{at + len(iban)}" for at, iban in want], text
+    masked = privacy.mask_private(docs).filter("doc_id = 1").collect()[0]["text"]
+    assert masked == "<IBAN> BIC CAIXESBB"
+
+
+def test_many_likely_ibans(spark):
+    text = "AB12 " * 20_000 + "DE89370400440532013000"
+    docs = spark.createDataFrame([(text,)], "text string")
+    assert spans_of(privacy.find_private(docs).collect()[0], {"iban"})[-1] == "iban:100000:100022"
+
+
 @settings(max_examples=10, deadline=None)
 @given(st.lists(st.text(alphabet="ab1 .@+-()_9é\U0001f600", max_size=60), min_size=40, max_size=40))
 def test_random_texts(spark, texts):
