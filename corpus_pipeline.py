@@ -42,7 +42,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences: the pieces of all documents with their places."""
-    return packing.pack(docs, WORD_TOKENIZER)
+    return packing.pack(docs, WORD_TOKENIZER, added_tokens=True)
 
 
 STAGES = [

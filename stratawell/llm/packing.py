@@ -247,12 +247,18 @@ def plan_places(counts: dict[int, int], capacity: int) -> list[Place]:
 
 
 @lru_cache(maxsize=2)
-def _words(path: str) -> WordTokens:
-    return WordTokens(path)  # kept by a worker for its next tasks
+def _words(path: str, added_tokens: bool) -> WordTokens:
+    return WordTokens(path, added_tokens)  # kept by a worker for its next tasks
 
 
 def tokenize(
-    docs: DataFrame, id_col: str, text_col: str, path: str, capacity: int, end_id: int
+    docs: DataFrame,
+    id_col: str,
+    text_col: str,
+    path: str,
+    capacity: int,
+    end_id: int,
+    added_tokens: bool = False,
 ) -> DataFrame:
     """(id_col, piece, start, length, ids, part, rank_in_part) of the pieces of each document.
 
@@ -263,7 +269,7 @@ def tokenize(
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seen = TaskContext.get().partitionId(), [0] * (capacity + 1)
-        words = _words(path)
+        words = _words(path, added_tokens)
         for batch in rows:
             source, piece, start, length, ids, rank = [], [], [], [], [], []
             for row, text in enumerate(batch.column(1)):
@@ -302,16 +308,19 @@ def pack(
     end_id: int = 1,
     id_col: str = "doc_id",
     text_col: str = "text",
+    added_tokens: bool = False,
 ) -> DataFrame:
     """(id_col, piece, start, length, ids, sequence_id, offset) of all pieces of all rows.
 
     A document is its tokens and the end id; a NULL or empty text is the end id alone.  Only what
     is longer than the capacity is cut.  Sequences are filled without gaps from offset 0.  Each row
     counts, with a NULL or repeated id too.  Other columns are ignored; no rows give no pieces.
+    With ``added_tokens``, names of the tokenizer's added tokens in a text have their own ids, as
+    by its default; without, they are text.
     """
     spark = docs.sparkSession
     steps = Steps(spark)
-    pieces = steps.save(tokenize(docs, id_col, text_col, tokenizer, capacity, end_id))
+    pieces = steps.save(tokenize(docs, id_col, text_col, tokenizer, capacity, end_id, added_tokens))
     by_part = steps.save(pieces.groupBy("part", "length").count())
     by_length = by_part.groupBy("length").agg(F.sum("count").alias("count"))
     counts = {row["length"]: row["count"] for row in by_length.collect()}  # at most the capacity

@@ -38,7 +38,8 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(_table(spark, sf_dir, "documents"), WORD_TOKENIZER).select(
+    docs = _table(spark, sf_dir, "documents")
+    return packing.pack(docs, WORD_TOKENIZER, added_tokens=True).select(
         "doc_id",
         "piece",
         "start",

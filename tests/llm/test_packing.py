@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import pytest
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from stratawell.llm import packing, queries
 from tests.llm.cases import DATA, hard_docs, hard_rows, no_docs, real_texts
 
@@ -58,6 +59,29 @@ def test_hard_rows(spark):
     check_layout([(r["length"], r["sequence_id"], r["offset"]) for r in got])
 
 
+def test_added_tokens_have_their_ids(spark, tmp_path):
+    """By op2 and the pipeline, the ids are what the tokenizer gives by default."""
+    texts = [
+        "a b <|endoftext|> c", "x<|startoftext|>y", "<|endoftext|>", "<|ENDOFTEXT|> <|end oftext|>",
+        "É<|endoftext|>\n e\u0301<|endoftext|><|endoftext|>don't", "w " * 4090 + "<|endoftext|> z " * 9,
+        "nothing of it", "", None,
+    ]
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    assert tokenizer.encode(texts[0], add_special_tokens=False).ids == [320, 321, 49407, 322]
+    want = Counter()
+    for doc, text in enumerate(texts):
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
+        for at in range(0, len(ids), 4096):
+            packed = b"".join(i.to_bytes(4, "little") for i in ids[at : at + 4096])
+            want[doc, at // 4096, at, len(packed) // 4, zlib.crc32(packed)] += 1
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = queries.op2_best_fit_packing(spark, str(tmp_path)).collect()
+    assert Counter(tuple(r)[:5] for r in rows) == want
+    rows = corpus_pipeline.best_fit_packing(spark, docs, str(tmp_path)).collect()
+    assert Counter((*r[:4], zlib.crc32(r[4])) for r in rows) == want
+
+
 def test_no_rows(spark):
     assert packing.pack(no_docs(spark), TOKENIZER).collect() == []
 
