@@ -102,6 +102,11 @@ def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of documents by text, host and path.
+
+    ``documents`` has no URL, so ``source`` stands for the host and ``lang`` for the path below it:
+    the path posterior is that of a language within a source.
+    """
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     place = F.xxhash64("doc_id")
     labels = _table(spark, sf_dir, "labels")
