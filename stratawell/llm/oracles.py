@@ -151,9 +151,106 @@ _PERSONAL_DATA = f"""
     FROM d LEFT JOIN sums USING (doc_id)
 """
 
+_WORDS = r"""
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')
+"""
+
+_DECONTAMINATION = f"""
+    WITH i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+    windows AS (
+        SELECT DISTINCT item_id, n, array_to_string(w[pos:pos + n - 1], ' ') AS words
+        FROM (
+            SELECT *, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS pos
+            FROM i WHERE len(w) > 0
+        )
+    ),
+    d AS (SELECT row_number() OVER () AS k, doc_id, {_WORDS} AS w FROM documents),
+    places AS (
+        SELECT k, n, pos, array_to_string(w[pos:pos + n - 1], ' ') AS words
+        FROM (
+            SELECT k, n, w, unnest(range(1, len(w) - n + 2)) AS pos
+            FROM d, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n
+        )
+    ),
+    hits AS (SELECT k, pos, n, item_id FROM places JOIN windows USING (n, words)),
+    hit_words AS (SELECT DISTINCT k, unnest(range(pos, pos + n)) AS pos FROM hits),
+    counted AS (SELECT k, count(*) AS n_hit FROM hit_words GROUP BY k),
+    named AS (
+        SELECT k, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+        FROM (SELECT DISTINCT k, CAST(item_id AS VARCHAR) AS item FROM hits WHERE item_id IS NOT NULL)
+        GROUP BY k
+    )
+    SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN counted USING (k) LEFT JOIN named USING (k)
+"""
+
+_FILL_MIDDLE = """
+    WITH d AS (
+        SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+               sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+        FROM documents
+    ),
+    drawn AS (
+        SELECT *, CAST('0x' || h[1:8] AS BIGINT) % (n + 1) AS x,
+               CAST('0x' || h[9:16] AS BIGINT) % (n + 1) AS y,
+               CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                         OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 90 THEN 'plain'
+                    WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+        FROM d
+    ),
+    cut AS (
+        SELECT *, t[1:least(x, y)] AS prefix, t[least(x, y) + 1:greatest(x, y)] AS middle,
+               t[greatest(x, y) + 1:] AS suffix
+        FROM drawn
+    )
+    SELECT doc_id, n, form,
+           CASE WHEN form <> 'plain' THEN least(x, y) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN greatest(x, y) - least(x, y) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN t
+                            WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                            ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+           sha256(t) AS restored_sha256
+    FROM cut
+"""
+
+_HARD_NEGATIVES = """
+    WITH v AS (
+        SELECT row_number() OVER () AS k, vec_id,
+               CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+               list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    pairs AS (
+        SELECT a.k, a.vec_id AS anchor_id, o.k AS other, o.vec_id, a.label = o.label AS same,
+               CAST(list_inner_product(a.e, o.e) AS BIGINT) AS score
+        FROM v a JOIN v o ON a.k <> o.k AND len(a.e) = len(o.e)
+        WHERE a.vec_id % 100 = 0
+    ),
+    positives AS (
+        SELECT * FROM pairs WHERE same
+        QUALIFY row_number() OVER (PARTITION BY k ORDER BY score DESC, vec_id, other) <= 5
+    ),
+    ranked AS (
+        SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id,
+               p.score AS positive_score, n.score AS negative_score,
+               row_number() OVER (PARTITION BY p.k, p.other ORDER BY n.score DESC, n.vec_id, n.other) AS r
+        FROM positives p JOIN pairs n ON p.k = n.k AND NOT n.same
+        WHERE 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+    )
+    SELECT anchor_id, positive_id, CAST(r AS INTEGER) AS rank, negative_id, positive_score, negative_score
+    FROM ranked WHERE r <= 5
+"""
+
 ORACLES: dict[str, str] = {
     "op4_vector_dedup": _VECTOR_DEDUP,
     "op6_top_products": _TOP_PRODUCTS,
     "op7_repeated_passages": _REPEATED_PASSAGES,
     "op9_personal_data": _PERSONAL_DATA,
+    "op11_decontamination": _DECONTAMINATION,
+    "op12_fill_middle": _FILL_MIDDLE,
+    "op13_hard_negatives": _HARD_NEGATIVES,
 }

@@ -16,7 +16,7 @@ from tests.test_oracles import SQL_TYPE, _rows
 @pytest.mark.parametrize("name", list(ORACLES))
 def test_query_equals_sql(spark, name, sf):
     con = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '/root/testdata/{sf}/{table}.parquet'")
     got = QUERIES[name](spark, f"/root/testdata/{sf}")
     want = con.execute(ORACLES[name])
@@ -27,7 +27,7 @@ def test_query_equals_sql(spark, name, sf):
 
 def test_entry_has_one_query_for_each_operator():
     found = sorted(int(n[2:].split("_")[0]) for n in entry.queries() if n.startswith("op"))
-    assert found == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert found == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 def test_entry_works_without_this_subpackage(tmp_path):
