@@ -236,9 +236,9 @@ def _search(steps: Steps, index: DataFrame, asking: DataFrame, same: bool, k: in
 
 
 def _floor_of(number: Column, by: int) -> Column:
-    """number / by, rounded down."""
-    whole = number - F.pmod(number, F.lit(by))
-    return F.try_divide(whole.cast("decimal(38,0)"), F.lit(by)).cast("bigint")
+    """number / by, rounded down, by way of decimals that hold any such number."""
+    number = number.cast("decimal(38,0)")
+    return ((number - F.pmod(number, F.lit(by))) / F.lit(by)).cast("bigint")
 
 
 def hard_negatives(
@@ -279,7 +279,7 @@ def hard_negatives(
     )
     highest = F.greatest(F.array_max("vector").cast("double"), -F.array_min("vector").cast("double"))
     n, size, high = rows.agg(F.count(F.lit(1)), F.max("size"), F.max(highest)).first()
-    if float(high or 0) ** 2 * max(size or 0, 1) * max(100, most) >= 2**62:
+    if float(high or 0) ** 2 * max(size or 0, 1) >= 2**63:
         raise ValueError(f"products of components up to {high} may not fit a bigint")
 
     length = F.aggregate(
@@ -301,7 +301,7 @@ def hard_negatives(
         "key", F.col("score").alias("mark"), F.col("vec_id").alias("positive_id"), "vec_key"
     )
 
-    mark = F.col("mark")
+    mark = F.col("mark").cast("decimal(20,0)")
     band = F.struct(
         "mark",
         (-_floor_of(-mark * least, 100)).alias("low"),

@@ -59,10 +59,10 @@ def _write(path: str, *columns: np.ndarray) -> None:
 
 @lru_cache(maxsize=700)
 def _mapped(path: str, *kinds: np.dtype | str) -> tuple[np.ndarray, ...]:
-    """Columns of these types in a file, mapped into memory; empty ones if there is no file."""
+    """Columns of these types in a file, mapped into memory."""
     kinds = [np.dtype(kind) for kind in kinds]
     if not os.path.exists(path):
-        return tuple(np.empty(0, dtype=kind) for kind in kinds)
+        raise FileNotFoundError(f"{path} of the model is not there, or its folder is not mounted here")
     whole = np.memmap(path, dtype=np.uint8, mode="r")
     n, at, columns = len(whole) // sum(kind.itemsize for kind in kinds), 0, []
     for kind in kinds:
@@ -126,6 +126,8 @@ class Words:
         numbers, counts = np.full(len(hashes), -1), np.zeros(len(hashes), dtype=np.int64)
         shard = _word_shard(hashes, self.shards)
         for one in np.unique(shard):
+            if self.starts[one] == self.starts[one + 1]:
+                continue  # no word fell in this shard, so it has no file
             part = slice(*np.searchsorted(shard, [one, one + 1]))
             known, n = _mapped(f"{self.folder}/{one}", "<u8", "<i8")
             at, counts[part] = _found(known, n, hashes[part])
@@ -212,6 +214,8 @@ class Model:
     pair_kinds: int
     freed_before: float
     frequent: int
+    #: Shards of pairs that have a file; in the others there are none.
+    pair_files: frozenset[int]
 
     @property
     def distinct(self) -> int:
@@ -221,11 +225,12 @@ class Model:
         """Statistics of words by number; of none for -1."""
         found = np.zeros(len(numbers), dtype=_STATS)
         chunk = np.where(numbers < 0, -1, numbers // self.chunk)
+        if not self.pair_kinds:
+            return found  # of no texts there are no files
         for one in np.unique(chunk[chunk >= 0]):
             at = np.flatnonzero(chunk == one)
             (known,) = _mapped(f"{self.folder}/stats/{one}", _STATS)
-            if len(known):
-                found[at] = known[numbers[at] - one * self.chunk]
+            found[at] = known[numbers[at] - one * self.chunk]
         return found
 
     def pair_counts(self, first: np.ndarray, second: np.ndarray, frequent: np.ndarray) -> np.ndarray:
@@ -236,6 +241,8 @@ class Model:
         keys, shard = keys[order], shard[order]
         counts = np.zeros(len(keys), dtype=np.int64)
         for one in np.unique(shard):
+            if one not in self.pair_files:
+                continue
             part = slice(*np.searchsorted(shard, [one, one + 1]))
             known, n = _mapped(f"{self.folder}/pairs/{one}", "<u8", "<u4")
             counts[part] = _found(known, n, keys[part])[1]
@@ -263,17 +270,21 @@ def _runs(sorted_values: np.ndarray) -> np.ndarray:
 _STAT_ROWS = "number bigint, total bigint, n1 bigint, n2 bigint, n3 bigint, before bigint"
 
 
-def _pair_stats(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+#: Shard i is told to have a file under the number _FILES - i.
+_FILES = -10
+
+
+def _pair_stats(shard: int, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
     """Partial statistics of first and second words, and, under -1 to -4, of counts of 1 to 4."""
     first, second = (keys >> np.uint64(32)).astype(np.int64), (keys & _LOW).astype(np.int64)
     at = _runs(first)
     by_first = [np.add.reduceat(x.astype(np.int64), at) for x in (counts, counts == 1, counts == 2, counts > 2)]
     second, before = np.unique(second, return_counts=True)
     kinds = np.bincount(np.minimum(counts, 5), minlength=6)[1:5]
-    size, none = len(at), np.zeros(len(second) + 4, dtype=np.int64)
-    columns = [np.concatenate((first[at], second, -1 - np.arange(4)))]
+    size, none = len(at), np.zeros(len(second) + 5, dtype=np.int64)
+    columns = [np.concatenate((first[at], second, -1 - np.arange(4), [_FILES - shard]))]
     columns += [np.concatenate((x, none)) for x in by_first]
-    columns.append(np.concatenate((np.zeros(size, dtype=np.int64), before, kinds)))
+    columns.append(np.concatenate((np.zeros(size, dtype=np.int64), before, kinds, [1])))
     return pa.RecordBatch.from_arrays(
         [pa.array(x) for x in columns], names=["number", "total", "n1", "n2", "n3", "before"]
     )
@@ -317,7 +328,7 @@ def _count_pairs(texts: DataFrame, words: Words, folder: str, shards: int, limit
             at = _runs(own)
             counts = np.add.reduceat(n[mine][order].astype(np.int64), at)
             _write(f"{folder}/{one}", own[at], counts.astype("<u4"))
-            yield _pair_stats(own[at], counts)
+            yield _pair_stats(int(one), own[at], counts)
 
     dealt = texts.mapInArrow(local, "shard int, pair bigint, n int").repartition(shards, "shard")
     return dealt.mapInArrow(write, _STAT_ROWS)
@@ -343,7 +354,9 @@ def fit(texts: DataFrame, text_col: str = "text", frequent: int = FREQUENT) -> M
     sums = [F.sum(name).alias(name) for name in ("total", "n1", "n2", "n3", "before")]
     stats = steps.save(partial.groupBy("number").agg(*sums))
     steps.drop(partial)
+    # One row for each shard, and four.
     kinds = {r["number"]: r["before"] for r in stats.filter("number < 0").collect()}
+    files = frozenset(_FILES - number for number in kinds if number <= _FILES)
     real = stats.filter("number >= 0")
     m = real.agg(
         F.coalesce(F.sum("before"), F.lit(0)).alias("all"),
@@ -380,6 +393,7 @@ def fit(texts: DataFrame, text_col: str = "text", frequent: int = FREQUENT) -> M
         int(m["all"]),
         float(before.freed(m["m1"], m["m2"], m["more"])),
         frequent,
+        files,
     )
 
 

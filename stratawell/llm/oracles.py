@@ -1,5 +1,7 @@
 """DuckDB twins of those queries that SQL can express, by comparing all with all."""
 
+from stratawell.llm.privacy import IBAN_LENGTHS
+
 _VECTORS = """
     v AS (
         SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, label,
@@ -76,79 +78,142 @@ _REPEATED_PASSAGES = r"""
     FROM d LEFT JOIN sums USING (doc_id)
 """
 
-_DIGITS = "regexp_replace(hit, '[^0-9]', '', 'g')"
-_LUHN = f"""
-    length({_DIGITS}) BETWEEN 13 AND 19 AND list_sum(list_transform(
-        range(1, length({_DIGITS}) + 1),
-        lambda i: CASE WHEN i % 2 = 1 THEN CAST(reverse({_DIGITS})[i] AS INTEGER)
-                  WHEN CAST(reverse({_DIGITS})[i] AS INTEGER) > 4
-                  THEN CAST(reverse({_DIGITS})[i] AS INTEGER) * 2 - 9
-                  ELSE CAST(reverse({_DIGITS})[i] AS INTEGER) * 2 END)) % 10 = 0
-"""
+def _luhn(hit: str) -> str:
+    digits = f"regexp_replace({hit}, '[^0-9]', '', 'g')"
+    digit = f"CAST(reverse({digits})[i] AS INTEGER)"
+    return f"""
+        length({digits}) BETWEEN 13 AND 19 AND list_sum(list_transform(
+            range(1, length({digits}) + 1),
+            lambda i: CASE WHEN i % 2 = 1 THEN {digit} WHEN {digit} > 4 THEN {digit} * 2 - 9
+                      ELSE {digit} * 2 END)) % 10 = 0
+    """
+
+
 _PLAIN = "regexp_replace(hit, ' ', '', 'g')"
 _REMAINDER = f"""
-    length({_PLAIN}) BETWEEN 15 AND 34 AND list_reduce(list_prepend(CAST(0 AS BIGINT), list_transform(
+    list_reduce(list_prepend(CAST(0 AS BIGINT), list_transform(
         string_split({_PLAIN}[5:] || {_PLAIN}[1:4], ''),
         lambda c: CAST(CASE WHEN c BETWEEN '0' AND '9' THEN ascii(c) - 48 ELSE ascii(c) - 55 END AS BIGINT))),
         lambda rest, n: (rest * CASE WHEN n > 9 THEN 100 ELSE 10 END + n) % 97) = 1
 """
+_IBAN_LENGTH = "CASE " + " ".join(
+    f"WHEN hit[1:2] IN ({', '.join(repr(c) for c in sorted(countries))}) THEN {length}"
+    for length, countries in sorted(
+        {n: {c for c, m in IBAN_LENGTHS.items() if m == n} for n in set(IBAN_LENGTHS.values())}.items()
+    )
+) + f" ELSE length({_PLAIN}) END"
 
-#: Kind, pattern with what stands before and the span as its groups, and the check of a span.
-_KINDS = (
-    ("email", r"()([A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)", "true"),
+#: Base kinds: pattern and check of a hit.
+_BASE = (
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true"),
     (
         "ip",
-        r"()([0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+))",
+        r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
         "len(list_filter(string_split(hit, '.'), lambda p: CAST(p AS HUGEINT) > 255)) = 0",
     ),
-    ("card", r"()([0-9](?:[\x20-]?[0-9])+)", _LUHN),
-    ("phone", r"()(\+[0-9][\x20().0-9-]+[0-9])", f"length({_DIGITS}) BETWEEN 9 AND 15"),
+    ("card", r"[0-9](?:[\x20-]?[0-9])+", _luhn("hit")),
     (
-        "iban",
-        r"(^|[^A-Za-z0-9])([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?)"
-        r"(?:$|[^A-Za-z0-9])",
-        _REMAINDER,
+        "phone",
+        r"\+[0-9][\x20().0-9-]+[0-9]",
+        "length(regexp_replace(hit, '[^0-9]', '', 'g')) BETWEEN 9 AND 15",
     ),
 )
 
 
-def _spans(order: int, kind: str, pattern: str, valid: str) -> str:
+def _hits(pattern: str) -> str:
+    """(k, i, hit, first) of the matches of a pattern, left to right."""
     return f"""
-        SELECT doc_id, {order} AS ord, '{kind}' AS kind, first, first + length(hit) AS past
+        SELECT k, i, hit,
+               sum(length(gap)) OVER (PARTITION BY k ORDER BY i)
+               + sum(length(hit)) OVER (PARTITION BY k ORDER BY i) - length(hit) AS first
         FROM (
-            SELECT doc_id, hits[i] AS hit,
-                   coalesce(list_sum(list_transform(gaps[1:i], lambda x: length(x))), 0)
-                   + coalesce(list_sum(list_transform(whole[1:i - 1], lambda x: length(x))), 0)
-                   + length(befores[i]) AS first
-            FROM (
-                SELECT doc_id, whole, hits, befores, gaps, unnest(range(1, len(hits) + 1)) AS i
-                FROM (
-                    SELECT doc_id, regexp_extract_all(t, '{pattern}') AS whole,
-                           regexp_extract_all(t, '{pattern}', 2) AS hits,
-                           regexp_extract_all(t, '{pattern}', 1) AS befores,
-                           string_split_regex(t, '{pattern}') AS gaps
-                    FROM d
-                )
-            )
-        ) WHERE {valid}
+            SELECT k, generate_subscripts(hits, 1) AS i, unnest(hits) AS hit,
+                   unnest(gaps[1:len(hits)]) AS gap
+            FROM (SELECT k, regexp_extract_all(t, '{pattern}') AS hits,
+                         string_split_regex(t, '{pattern}') AS gaps FROM d)
+        )
+    """
+
+
+def _base(order: int, kind: str, pattern: str, valid: str) -> str:
+    return f"""
+        SELECT k, {order} AS ord, '{kind}' AS kind, first, first + length(hit) AS past
+        FROM ({_hits(pattern)}) WHERE {valid}
     """
 
 
+def _from_parts(name: str, part: str, start: str, parts: int, valid: str) -> str:
+    """The longest valid run of up to some parts of a text from each part that may start one.
+
+    Of those that overlap the first stays.
+    """
+    return f"""
+        {name}_parts AS (SELECT *, first + length(hit) AS past FROM ({_hits(part)})),
+        {name}_runs AS (
+            SELECT a.k, a.first, b.past, d.t, d.t[a.first + 1:b.past] AS hit
+            FROM {name}_parts a JOIN {name}_parts b
+              ON a.k = b.k AND b.i BETWEEN a.i AND a.i + {parts - 1} JOIN d ON a.k = d.k
+            WHERE regexp_matches(a.hit, '{start}') AND b.past - a.first BETWEEN 13 AND 45
+        ),
+        {name}_longest AS (
+            SELECT k, first, max(past) AS past FROM {name}_runs WHERE {valid} GROUP BY k, first
+        ),
+        {name}_spans AS (
+            SELECT * FROM {name}_longest x WHERE NOT EXISTS (
+                SELECT 1 FROM {name}_longest y
+                WHERE y.k = x.k AND y.first < x.first AND x.first < y.past)
+        )
+    """
+
+
+_IBAN = _from_parts(
+    "iban",
+    "[A-Za-z0-9]+",
+    "^[A-Z]{2}[0-9]{2}",
+    10,
+    rf"""
+        length({_PLAIN}) BETWEEN 15 AND 34 AND length({_PLAIN}) = {_IBAN_LENGTH}
+        AND regexp_full_match(hit, '[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{2,7}}(?:\x20?[A-Z0-9]{{1,3}})?')
+        AND {_REMAINDER}
+    """,
+)
+_INNER_CARD = _from_parts(
+    "inner",
+    "[0-9]+",
+    "^[0-9]",
+    19,
+    rf"""
+        regexp_full_match(hit, '[0-9]+(?:[\x20-][0-9]+)*') AND {_luhn("hit")}
+        AND (regexp_full_match(hit, '[0-9]{{13,19}}|[0-9]{{4}}(?:[\x20-][0-9]{{4}}){{3}}(?:[\x20-][0-9]{{1,3}})?|[0-9]{{4}}[\x20-][0-9]{{6}}[\x20-][0-9]{{4,5}}')
+             OR regexp_matches(t[greatest(first - 39, 1):first], '(?i)\b(card|credit|visa|payment)')
+             OR regexp_matches(t[past + 1:past + 40], '(?i)\b(card|credit|visa|payment)'))
+    """,
+)
+
 _PERSONAL_DATA = f"""
-    WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
-    spans AS ({" UNION ALL ".join(_spans(i, *kind) for i, kind in enumerate(_KINDS))}),
+    WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t FROM documents),
+    base AS ({" UNION ALL ".join(_base(i, *kind) for i, kind in enumerate(_BASE))}),
+    {_IBAN},
+    {_INNER_CARD},
+    spans AS (
+        SELECT * FROM base
+        UNION ALL SELECT k, 4, 'iban', first, past FROM iban_spans
+        UNION ALL SELECT k, 5, 'inner_card', first, past FROM inner_spans x WHERE NOT EXISTS (
+            SELECT 1 FROM base c WHERE c.k = x.k AND c.kind = 'card'
+                                       AND c.first < x.past AND x.first < c.past)
+    ),
     sums AS (
-        SELECT doc_id,
-               {", ".join(f"count(*) FILTER (WHERE kind = '{k[0]}') AS n_{k[0]}" for k in _KINDS[:4])},
+        SELECT k,
+               {", ".join(f"count(*) FILTER (WHERE kind = '{k[0]}') AS n_{k[0]}" for k in _BASE)},
                string_agg(kind || ':' || first || ':' || past, ',' ORDER BY ord, first) AS spans,
                string_agg(kind || ':' || first || ':' || past, ',' ORDER BY ord, first)
                    FILTER (WHERE ord < 4) AS base
-        FROM spans GROUP BY doc_id
+        FROM spans GROUP BY k
     )
     SELECT doc_id,
-           {", ".join(f"coalesce(n_{k[0]}, 0) AS n_{k[0]}" for k in _KINDS[:4])},
+           {", ".join(f"coalesce(n_{k[0]}, 0) AS n_{k[0]}" for k in _BASE)},
            sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
-    FROM d LEFT JOIN sums USING (doc_id)
+    FROM d LEFT JOIN sums USING (k)
 """
 
 _WORDS = r"""

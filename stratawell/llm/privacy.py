@@ -1,7 +1,8 @@
 """Personal data in texts, by DataFrame functions only.
 
 A pattern for each kind proposes spans, checks such as Luhn's and the remainder by 97 confirm
-them, and words right before a span adjust its score.  Spans are in code points, end exclusive.
+them, and words near a span, before it or behind it, raise its score.  What does not reach
+``LEAST_SCORE`` is not reported.  Spans are in code points, end exclusive.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from stratawell.llm.common import unused
 
-#: Characters before a span in which context words count, and what they add to its score.
+#: Characters before and behind a span in which context words count, and what they add to its score.
 CONTEXT = 40
 CONTEXT_BONUS = 0.3
 #: Spans below this score are not reported.
@@ -97,11 +98,30 @@ def _iban(hit: Column) -> Column:
     return F.get(found, F.size(found) - 1)
 
 
+#: How card numbers are printed: in one run, or in the groups of the large issuers.
+_PRINTED = (
+    r"^(?:[0-9]{13,19}|[0-9]{4}(?:[\x20-][0-9]{4}){3}(?:[\x20-][0-9]{1,3})?"
+    r"|[0-9]{4}[\x20-][0-9]{6}[\x20-][0-9]{4,5})$"
+)
+
+
+def _card_part(hit: Column) -> Column:
+    """The longest part of a hit, from its start to the end of a group, that is a card number, or NULL."""
+    groups = F.split(hit, r"(?=[\x20-])")
+    heads = F.transform(
+        F.sequence(F.lit(1), F.size(groups)), lambda n: F.array_join(F.slice(groups, 1, n), "")
+    )
+    found = F.filter(heads, _luhn)
+    return F.get(found, F.size(found) - 1)
+
+
 @dataclass(frozen=True)
 class Kind:
     """A kind of personal data.
 
-    ``must`` is a character without which no span is possible.  The possessive quantifiers and the
+    ``must`` is a character, and ``needs`` a pattern, without which no span is possible.  ``score`` may depend on the span; below
+    ``LEAST_SCORE`` it takes context to be reported.  Spans that overlap one of the kind named by
+    ``besides`` are left out.  ``tag`` is what stands for a span in a masked text.  The possessive quantifiers and the
     looks behind keep the patterns linear: a run of characters is tried from its start only, or
     from the end of the span before.
 
@@ -112,10 +132,13 @@ class Kind:
     name: str
     pattern: str
     valid: Callable[[Column], Column]
-    score: float
+    score: float | Callable[[Column], Column]
     context: str
     must: str = ""
     part: Callable[[Column], Column] | None = None
+    needs: str = ""
+    besides: str = ""
+    tag: str = ""
 
 
 EMAIL = Kind(
@@ -157,8 +180,21 @@ IBAN = Kind(
     r"(?i)\b(iban|account|bank|konto|cuenta|compte)",
     part=_iban,
 )
+#: A card number beside other digits, where CARD takes them all together and Luhn's check fails.
+#: In groups of other sizes it may be any digits, so it takes context.
+INNER_CARD = Kind(
+    "inner_card",
+    r"(?<![0-9])[0-9]++(?:[\x20-][0-9]++){0,18}+",
+    lambda hit: F.lit(True),
+    lambda hit: F.when(hit.rlike(_PRINTED), 0.5).otherwise(0.3),
+    r"(?i)\b(card|credit|visa|payment)",
+    part=_card_part,
+    needs=r"[0-9](?:[\x20-]?[0-9]){12}",
+    besides="card",
+    tag="CARD",
+)
 BASE = (EMAIL, IP, CARD, PHONE)
-KINDS = (*BASE, IBAN)
+KINDS = (*BASE, IBAN, INNER_CARD)
 
 _SPANS = "array<struct<start:int,end:int,score:double>>"
 
@@ -185,14 +221,22 @@ def _spans(text: Column, kind: Kind) -> Column:
     def add(state: Column, pair: Column) -> Column:
         first = state["at"] + F.length(pair["gap"])
         end = first + F.length(pair["hit"])
-        near = F.substring(pair["gap"], F.lit(-CONTEXT), F.lit(CONTEXT))
-        score = F.lit(kind.score) + F.when(near.rlike(kind.context), CONTEXT_BONUS).otherwise(0.0)
+        if kind.part:  # what is before may be in hits that overlap
+            before = F.substring(text, F.greatest(first - CONTEXT, F.lit(0)) + 1, F.least(first, F.lit(CONTEXT)))
+        else:
+            before = F.substring(pair["gap"], F.lit(-CONTEXT), F.lit(CONTEXT))
+        behind = F.substring(text, end + 1, F.lit(CONTEXT))
+        near = before.rlike(kind.context) | behind.rlike(kind.context)
+        alone = kind.score(pair["hit"]) if callable(kind.score) else F.lit(kind.score)
+        score = alone + F.when(near, CONTEXT_BONUS).otherwise(0.0)
         span = F.struct(
             first.alias("start"), end.alias("end"), F.least(score, F.lit(1.0)).alias("score")
         )
-        good = kind.valid(pair["hit"]) & (score >= LEAST_SCORE)
+        good = kind.valid(pair["hit"])
         if kind.part:
-            good &= pair["hit"].isNotNull() & (first >= state["past"])
+            good = pair["hit"].isNotNull() & (first >= state["past"]) & good
+        if callable(kind.score) or kind.score < LEAST_SCORE:
+            good &= score >= LEAST_SCORE
         return F.struct(
             (first if kind.part else end).alias("at"),
             F.when(good, end).otherwise(state["past"]).alias("past"),
@@ -203,6 +247,8 @@ def _spans(text: Column, kind: Kind) -> Column:
 
     found = F.aggregate(pairs, start, add, lambda state: state["found"])
     none = F.expr(f"CAST(array() AS {_SPANS})")
+    if kind.needs:
+        return F.when(text.rlike(kind.needs), found).otherwise(none)
     return F.when(F.contains(text, F.lit(kind.must)), found).otherwise(none) if kind.must else found
 
 
@@ -211,7 +257,7 @@ def find_private(
 ) -> DataFrame:
     """All rows and columns, with an array of (kind, start, end, score) added.
 
-    Spans come in the order of the kinds, then of their starts; spans of one kind do not overlap.
+    Spans come in the order of the kinds, then of their starts; spans of one kind do not overlap.  The score is that of the kind, more where a context word of it is near, and 1 at most.
     A NULL or empty text has none.  The new name gets a leading underscore where it is taken.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -222,12 +268,31 @@ def find_private(
     def named(name: str) -> Callable[[Column], Column]:
         return lambda s: F.struct(F.lit(name).alias("kind"), s["start"], s["end"], s["score"])
 
-    all_spans = [F.transform(part, named(kind.name)) for kind, part in zip(kinds, parts)]
+    place = {kind.name: part for kind, part in zip(kinds, parts)}
+
+    def apart(kind: Kind) -> Column:
+        spans = F.col(place[kind.name])
+        others = place.get(kind.besides)
+        if others is None:
+            return spans
+
+        def overlaps(s: Column) -> Column:
+            return F.exists(others, lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"]))
+
+        return F.filter(spans, lambda s: ~overlaps(s))
+
+    all_spans = [F.transform(apart(kind), named(kind.name)) for kind in kinds]
     return found.select(*[F.col(f"`{c}`") for c in docs.columns], F.concat(*all_spans).alias(new))
 
 
-def mask(text: Column, spans: Column) -> Column:
-    """The text with each span replaced by its kind in angle brackets; overlapping ones by one."""
+def _tags(kinds: tuple[Kind, ...]) -> Column:
+    pairs = [F.lit(x) for kind in kinds for x in (kind.name, f"<{kind.tag or kind.name.upper()}>")]
+    return F.create_map(*pairs)
+
+
+def mask(text: Column, spans: Column, kinds: tuple[Kind, ...] = KINDS) -> Column:
+    """The text with each span replaced by the tag of its kind; overlapping ones by one."""
+    tags = _tags(kinds)
     ordered = F.array_sort(
         F.transform(
             spans, lambda s: F.struct(s["start"], (-s["end"]).alias("turned"), s["kind"], s["end"])
@@ -237,7 +302,7 @@ def mask(text: Column, spans: Column) -> Column:
 
     def add(state: Column, span: Column) -> Column:
         gap = F.substring(text, state["at"] + 1, span["start"] - state["at"])
-        tag = F.concat(F.lit("<"), F.upper(span["kind"]), F.lit(">"))
+        tag = F.try_element_at(tags, span["kind"])
         fresh = span["start"] >= state["at"]
         return F.struct(
             F.greatest(state["at"], span["end"]).alias("at"),
@@ -262,7 +327,7 @@ def mask_private(docs: DataFrame, kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
     """
     spans = unused(docs, "private")
     found = find_private(docs, "text", kinds, spans)
-    text = mask(F.col("text"), F.col(spans))
+    text = mask(F.col("text"), F.col(spans), kinds)
     hit = F.size(spans) > 0
     masked = found.withColumn("text", text)
     if "n_chars" in docs.columns:

@@ -124,3 +124,17 @@ def test_probabilities_sum_to_one(spark):
         head = end_of[9]
         total = sum(10 ** (end_of[i] - head) for i in range(4)) + 10 ** (prefix - head)
         assert np.isclose(total, 1.0), context
+
+
+def test_files_that_cannot_be_seen_are_an_error(spark):
+    """A worker without the folder does not score as if nothing were known."""
+    import dataclasses
+
+    docs = spark.createDataFrame([(1, "a b a c"), (2, "b c")], "doc_id int, text string")
+    model = kneser_ney.fit(docs)
+    lost = dataclasses.replace(model, folder=f"{model.folder}-elsewhere")
+    with pytest.raises(Exception, match="not mounted"):
+        kneser_ney.score(docs, lost).collect()
+    words = dataclasses.replace(model.words, folder=f"{model.words.folder}-elsewhere")
+    with pytest.raises(Exception, match="not mounted"):
+        kneser_ney.score(docs, dataclasses.replace(model, words=words)).collect()

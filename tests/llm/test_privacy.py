@@ -1,11 +1,12 @@
 import hashlib
 import re
 
+import duckdb
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from stratawell.llm import privacy, queries
+from stratawell.llm import oracles, privacy, queries
 from tests.llm.cases import DATA, hard_docs, hard_rows, no_docs, real_texts
 from tests.helpers import plan_of
 
@@ -137,6 +138,44 @@ def test_stage_masks_and_keeps_the_rest(spark):
     assert privacy.mask_private(both).collect()[0][0] in ("x <CARD> y", "x +1 <CARD> y", "x <PHONE> y")
 
 
+CARDS = [
+    ("x +1 4111111111111111 y", "x +1 <CARD> y"),
+    ("card 12 4111111111111111", "card 12 <CARD>"),
+    ("call 4111-1111-1111-1111 2025", "call <CARD> 2025"),
+    ("4111111111111111 ok 4111 1111 1111 1111 12", "<CARD> ok <CARD> 12"),
+    ("a 3782 822463 10005 7", "a <CARD> 7"),
+    ("7 4111111111111112", "7 4111111111111112"),  # the check fails
+    ("99 41 11 11 11 11 11 11 11", "99 41 11 11 11 11 11 11 11"),  # any digits
+    ("99 41 11 11 11 11 11 11 11 by visa", "99 <CARD> by visa"),  # context behind
+    ("card no 99 41 11 11 11 11 11 11 11", "card no 99 <CARD>"),  # context before
+    ("\U0001f600 5500000000000004 5500000000000004 1", "\U0001f600 <CARD> <CARD> 1"),
+]
+
+
+def test_cards_beside_other_digits(spark):
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(CARDS)], "doc_id int, text string")
+    masked = {r["doc_id"]: r["text"] for r in privacy.mask_private(docs).collect()}
+    assert [masked[i] for i in range(len(CARDS))] == [want for _, want in CARDS]
+    for row in privacy.find_private(docs).collect():  # base spans are what they were
+        assert spans_of(row, PATTERNS) == [s for x in brute(row["text"]).values() for s in x]
+
+
+def test_sql_finds_what_the_operator_finds(spark, tmp_path):
+    """On texts with all kinds, IBANs and cards beside other words and digits included."""
+    ibans = ["ES91 2100 0418 4502 0005 1332", "AT611904300234573201", "MT84 MALT 0110 0001 2345 MTLC AST0 01S"]
+    texts = [t for t, _ in CARDS] + [r[1] for r in hard_rows() if r[0] and len(r[1] or "") < 1000]
+    texts += [f"{a}iban {i}{b}" for i in ibans for a in ("", "é ", "AB12 ") for b in ("", " BIC CAIXESBB", " 2024", "x")]
+    texts += [f"{a} {b}" for a in ibans for b in ibans]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").coalesce(1)
+    docs.write.parquet(f"file://{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.execute(oracles.ORACLES["op9_personal_data"])
+    names = [d[0] for d in want.description]
+    got = queries.op9_personal_data(spark, f"file://{tmp_path}").select(*names)
+    assert sorted(map(tuple, got.collect())) == sorted(want.fetchall())
+
+
 def test_no_rows(spark):
     assert privacy.find_private(no_docs(spark)).collect() == []
     assert privacy.mask_private(no_docs(spark)).collect() == []
