@@ -32,7 +32,10 @@ from stratawell.plans.dashboard import (
     Series,
     dashboard_dataset,
 )
+from stratawell.plans.history import change_points, read_history, update_history
+from stratawell.plans.panels import Measure, merge_loads, read_panels, update_panels
 from stratawell.plans.silver import Silver, SilverRules, read_silver, silver_build, silver_update
+from stratawell.plans.snapshots import read_snapshot, snapshot_changes, store_snapshot
 from stratawell.sources.events import ENVELOPE, event_replay, event_stream
 from stratawell.sources.files import csv_source, file_stream, read_layer
 from stratawell.streaming.dedup import dedup_stream, rows_without_time
@@ -43,12 +46,14 @@ __all__ = [
     "Field",
     "Grouped",
     "Headline",
+    "Measure",
     "Ranking",
     "Series",
     "Silver",
     "SilverRules",
     "Taken",
     "bronze_append",
+    "change_points",
     "conform",
     "create_layers",
     "csv_source",
@@ -66,19 +71,27 @@ __all__ = [
     "high_water_mark",
     "ingest_incremental",
     "measures",
+    "merge_loads",
     "new_keys",
+    "read_history",
     "read_layer",
+    "read_panels",
     "read_silver",
     "read_since",
+    "read_snapshot",
     "row_count",
     "rows_without_time",
     "silver_build",
     "silver_update",
+    "snapshot_changes",
     "split_valid",
+    "store_snapshot",
     "stream_sink",
     "tag_valid",
     "time_series",
     "top_n",
+    "update_history",
+    "update_panels",
     "upsert",
     "upsert_partitions",
     "with_lineage",

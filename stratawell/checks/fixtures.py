@@ -28,6 +28,8 @@ ZONED_TIME_EVERY = 83
 TRAILING_OBJECT_EVERY = 103
 NO_PAYLOAD_EVERY = 107
 INVALID_BYTES_EVERY = 109
+MORE_FIELDS_EVERY = 127
+SECOND_PAYLOAD_EVERY = 131
 REPEATED_SHARE = 10
 REPEAT_WAVES = 4
 
@@ -110,7 +112,10 @@ def stage_csv(df: DataFrame, path: str) -> str:
 
 
 def event_envelopes(events: DataFrame) -> DataFrame:
-    """The events as keyed binary payloads, some cut short, missing, not UTF-8 or with more behind."""
+    """The events as keyed binary payloads, some cut short, missing, not UTF-8 or with more behind.
+
+    What is behind may be another object, or fields as if the payload were part of one.
+    """
     payload = F.to_json(F.struct(*events.columns), TIME_FORMAT)
     cut = F.when(
         _every("event_id", CUT_PAYLOAD_EVERY), F.substring(payload, 1, CUT_PAYLOAD_CHARS)
@@ -121,6 +126,11 @@ def event_envelopes(events: DataFrame) -> DataFrame:
         F.when(_every("event_id", NO_PAYLOAD_EVERY), F.lit(None).cast("binary"))
         .when(_every("event_id", TRAILING_OBJECT_EVERY), trailing.cast("binary"))
         .when(_every("event_id", INVALID_BYTES_EVERY), invalid)
+        .when(_every("event_id", MORE_FIELDS_EVERY), F.concat(cut, F.lit(',"x":2')).cast("binary"))
+        .when(
+            _every("event_id", SECOND_PAYLOAD_EVERY),
+            F.concat(cut, F.lit(',"payload":'), cut).cast("binary"),
+        )
         .otherwise(cut.cast("binary"))
     )
     return events.select(

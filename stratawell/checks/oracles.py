@@ -58,6 +58,25 @@ _SIDES = """
 
 _MONEY = "CAST(sum(CAST({0} AS DECIMAL(18,2))) AS DOUBLE)"
 
+_HISTORY = """
+    SELECT user_id, ts, event_id, event_type, value, gone,
+           lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS valid_to
+    FROM (
+        SELECT event_id % 50 AS user_id, ts, event_id, event_type, value, event_id % 7 = 3 AS gone
+        FROM (SELECT * REPLACE (date_trunc('hour', ts) AS ts) FROM events)
+        QUALIFY row_number() OVER (PARTITION BY event_id % 50, ts ORDER BY event_id DESC) = 1
+    )
+"""
+
+_SNAPSHOT = """
+    SELECT * REPLACE (CASE WHEN o_orderkey % 500 = 7 THEN 'X' ELSE o_orderstatus END AS o_orderstatus)
+    FROM orders WHERE o_orderkey % 400 <> 9
+    UNION ALL
+    SELECT o_orderkey + 10000000, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+    FROM orders WHERE o_orderkey % 300 = 11
+    UNION ALL SELECT * FROM orders WHERE o_orderkey % 1000 = 50
+"""
+
 ORACLES: dict[str, str] = {
     "csv_source": "SELECT * FROM orders",
     "file_stream_source": "SELECT * FROM events",
@@ -125,7 +144,7 @@ ORACLES: dict[str, str] = {
                NOT good AND event_id % 107 <> 0 AS corrupt, event_id % 107 <> 0 AS has_payload
         FROM (
             SELECT *, event_id % 101 <> 0 AND event_id % 103 <> 0 AND event_id % 107 <> 0
-                      AND event_id % 109 <> 0 AS good
+                      AND event_id % 109 <> 0 AND event_id % 127 <> 0 AND event_id % 131 <> 0 AS good
             FROM events
         )
     """,
@@ -144,6 +163,53 @@ ORACLES: dict[str, str] = {
             FROM events
         ) GROUP BY 1, 2
     """,
+    "key_history": f"""
+        WITH h AS ({_HISTORY})
+        SELECT 'all' AS reading, user_id, ts, valid_to, event_id, event_type, value FROM h WHERE NOT gone
+        UNION ALL
+        SELECT 'as_of', user_id, ts, valid_to, event_id, event_type, value FROM h
+        WHERE NOT gone AND ts <= TIMESTAMP '2024-01-15 00:00:00'
+              AND (valid_to IS NULL OR valid_to > TIMESTAMP '2024-01-15 00:00:00')
+    """,
+    "snapshot_changes": f"""
+        WITH n AS ({_SNAPSHOT}),
+        came AS (SELECT * FROM n EXCEPT ALL SELECT * FROM orders),
+        went AS (SELECT * FROM orders EXCEPT ALL SELECT * FROM n)
+        SELECT CASE WHEN o_orderkey IN (SELECT o_orderkey FROM went) THEN 'update_to' ELSE 'insert' END
+               AS change, * FROM came
+        UNION ALL
+        SELECT CASE WHEN o_orderkey IN (SELECT o_orderkey FROM came) THEN 'update_from' ELSE 'delete' END,
+               * FROM went
+    """,
+    "snapshot_read": _SNAPSHOT,
+    "dashboard_updates": f"""
+        SELECT 'by_status' AS panel, o_orderstatus, o_orderpriority, CAST(NULL AS DATE) AS month,
+               CAST(NULL AS BIGINT) AS o_custkey, count(*) AS n,
+               {_MONEY.format('o_totalprice')} AS revenue, max(o_totalprice) AS most,
+               CAST(NULL AS BOOLEAN) AS close
+        FROM orders GROUP BY 2, 3
+        UNION ALL
+        SELECT 'by_month', o_orderstatus, NULL, CAST(date_trunc('month', o_orderdate) AS DATE), NULL,
+               count(*), {_MONEY.format('o_totalprice')}, max(o_totalprice), NULL
+        FROM orders GROUP BY o_orderstatus, date_trunc('month', o_orderdate)
+        UNION ALL
+        SELECT 'totals', NULL, NULL, NULL, NULL, count(*), {_MONEY.format('o_totalprice')},
+               max(o_totalprice), true FROM orders
+        UNION ALL
+        SELECT 'largest', NULL, NULL, NULL, o_custkey, n, revenue, most, NULL FROM (
+            SELECT o_custkey, count(*) AS n, {_MONEY.format('o_totalprice')} AS revenue,
+                   max(o_totalprice) AS most
+            FROM orders GROUP BY 1 ORDER BY revenue DESC, o_custkey LIMIT 10
+        )
+    """,
+    "upsert_deletes": f"""
+        SELECT event_id, ts, user_id, event_type, value, props FROM (
+            SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ts DESC) AS r FROM (
+                SELECT *, false AS gone FROM events
+                UNION ALL SELECT *, event_id % 20 = 0 FROM ({_REVISED})
+            )
+        ) WHERE r = 1 AND NOT gone
+    """,
     "dedup_batch": f"""
         SELECT event_id, ts, user_id, event_type, value, props FROM (
             SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ts DESC) AS r FROM (

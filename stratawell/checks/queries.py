@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 import stratawell as sw
 from stratawell.checks import fixtures as fx
 from stratawell.functions.storage import workspace
+from stratawell.plans import panels
 
 MARK = datetime.datetime(2024, 1, 15)
 REPEAT_DELAY = "10 days"
@@ -161,7 +162,10 @@ def lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Loads that are repeated with fewer partitions, and with no rows; codes keep their zeros."""
+    """Loads that are repeated with fewer partitions, and with no rows; codes keep their zeros.
+
+    A call without a load is refused, as readers would not see its rows.
+    """
     event_id = F.col("event_id").cast("bigint")
     code = F.element_at(F.array(F.lit("007"), F.lit(""), F.lit("12")), (event_id % 3 + 1).cast("int"))
     dirty = fx.dirty_events(fx.table(spark, sf_dir, "events")).withColumn("code", code)
@@ -175,6 +179,12 @@ def bronze_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     for load, rows in loads:
         sw.bronze_append(dirty.filter(rows), out, load, partition_by=["code"])
+    for other in ({}, {"partition_by": ["code"]}, {"load": 3}):
+        try:
+            sw.bronze_append(dirty, out, **other)
+        except ValueError:
+            continue
+        raise AssertionError(f"{out} took rows that cannot be read: {other}")
     return sw.read_layer(spark, out)
 
 
@@ -271,17 +281,75 @@ def silver_build(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_update(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All events as one load and newer versions of some as a second: equal to a full rebuild."""
+    """Loads that are replaced and emptied after they were taken: equal to a full rebuild.
+
+    The first comes with wrong rows at first, and with too few; the second has newer versions of some
+    events; the third is taken back.
+    """
     events = fx.table(spark, sf_dir, "events")
     work = workspace(spark)
     out = f"{work}/bronze"
-    for load, rows in enumerate((events, fx.revised_events(events))):
+    wrong = events.filter(F.col("event_id") % 3 != 0).withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 DAY"))
+    later = events.withColumn("ts", F.col("ts") + F.expr("INTERVAL 9 DAYS"))
+    more = later.withColumn("event_id", F.col("event_id") + 5_000_000)
+    loads = [
+        (0, wrong),
+        (1, fx.revised_events(events)),
+        (2, later.filter(F.col("event_id") % 4 == 0).unionByName(more)),
+        (0, events),
+        (2, events.limit(0)),
+    ]
+    for load, rows in loads:
         sw.bronze_append(fx.dirty_events(rows), out, load)
         bronze = sw.read_layer(spark, out)
         sw.silver_update(bronze, _event_rules(), f"{work}/silver", "load_no", buckets=8)
     return _both_sides(sw.read_silver(bronze, _event_rules(), f"{work}/silver"))
 
 
+def key_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as changes of 50 keys, some of them deletions, arriving late, in turns and twice."""
+    event_id = F.col("event_id")
+    changes = fx.table(spark, sf_dir, "events").select(
+        (event_id % 50).alias("user_id"),
+        # cut to the hour, so that keys have several changes at one time
+        F.expr("ts - make_dt_interval(0, 0, minute(ts), extract(SECOND FROM ts))").alias("ts"),
+        "event_id",
+        "event_type",
+        "value",
+        (event_id % 7 == 3).alias("gone"),
+    )
+    path = f"{workspace(spark)}/history"
+    for turn in (2, 0, 1, 0):
+        some = changes.filter(event_id % 3 == turn)
+        newest = [F.col("event_id").desc()]
+        sw.update_history(spark, path, some, ["user_id"], "ts", "gone", newest, buckets=8)
+    readings = {"all": sw.read_history(spark, path), "as_of": sw.read_history(spark, path, MARK)}
+    named = [rows.select(F.lit(name).alias("reading"), "*") for name, rows in readings.items()]
+    return named[0].unionByName(named[1])
+
+
+def _order_copies(spark: SparkSession, sf_dir: str) -> str:
+    """The orders, and then a copy with some changed, some gone, some new and some twice."""
+    orders = fx.table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    status = F.when(key % 500 == 7, "X").otherwise(F.col("o_orderstatus"))
+    new = orders.filter(key % 300 == 11).withColumn("o_orderkey", key + 10_000_000)
+    later = orders.filter(key % 400 != 9).withColumn("o_orderstatus", status)
+    later = later.unionByName(new).unionByName(orders.filter(key % 1000 == 50))
+    path = f"{workspace(spark)}/copies"
+    for copy in (orders, later):
+        sw.store_snapshot(copy, ["o_orderkey"], path, buckets=256)
+    return path
+
+
+def snapshot_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sw.snapshot_changes(spark, _order_copies(spark, sf_dir), 1, 2)
+
+
+def snapshot_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sw.read_snapshot(spark, _order_copies(spark, sf_dir))
+
+
 def dedup_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = fx.table(spark, sf_dir, "events")
     versions = events.unionByName(fx.revised_events(events))
@@ -345,6 +413,17 @@ def upsert_unique_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sw.upsert(target, _event_changes(events), ["event_id"], newest, broadcast_rows=0)
 
 
+def upsert_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes some of which remove their key, into a stored table, the same ones twice."""
+    events = fx.table(spark, sf_dir, "events")
+    changes = fx.revised_events(events).withColumn("gone", F.col("event_id") % 20 == 0)
+    path, newest = f"{workspace(spark)}/table", [F.col("ts").desc()]
+    sw.upsert_partitions(spark, path, events, ["event_id"], newest, buckets=8)
+    for _ in range(2):
+        sw.upsert_partitions(spark, path, changes, ["event_id"], newest, buckets=8, deleted="gone")
+    return sw.read_layer(spark, path)
+
+
 def grouped_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sw.measures(
         fx.table(spark, sf_dir, "lineitem"),
@@ -386,7 +465,12 @@ def dashboard_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
         "totals": sw.Headline(_order_figures()),
         "largest": sw.Ranking(["o_custkey"], {"revenue": sw.exact_sum("o_totalprice", 2), "n": sw.row_count()}, 10),
     }
-    panels = sw.dashboard_dataset(fx.table(spark, sf_dir, "orders"), spec, f"{workspace(spark)}/panels")
+    tables = sw.dashboard_dataset(fx.table(spark, sf_dir, "orders"), spec, f"{workspace(spark)}/panels")
+    return _in_one(tables, ["n", "revenue"])
+
+
+def _in_one(panels: dict[str, DataFrame], figures: list[str]) -> DataFrame:
+    """All panels as one table, with NULL for what a panel has not."""
     dims = {
         "o_orderstatus": "string",
         "o_orderpriority": "string",
@@ -400,14 +484,55 @@ def dashboard_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
                 (F.col(dim) if dim in rows.columns else F.lit(None).cast(kind)).alias(dim)
                 for dim, kind in dims.items()
             ],
-            "n",
-            "revenue",
+            *figures,
         )
         for name, rows in panels.items()
     ]
     return reduce(DataFrame.unionByName, named)
 
 
+def dashboard_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Panels over four loads, two of which come again; equal to panels of all orders.
+
+    The sketches are compared with exact figures, as they are not the same in SQL: within five
+    standard errors for distinct values, and within 3 per cent of ranks for the median.
+    """
+    orders = fx.table(spark, sf_dir, "orders")
+    figures = {
+        "n": panels.rows(),
+        "revenue": panels.total("o_totalprice", 2),
+        "most": panels.largest("o_totalprice"),
+    }
+    about = {
+        "customers": panels.about_distinct("o_custkey"),
+        "median": panels.about_quantile("o_totalprice", 0.5),
+    }
+    spec = {
+        "by_status": sw.Grouped(["o_orderstatus", "o_orderpriority"], figures),
+        "by_month": sw.Series("o_orderdate", "month", figures, ["o_orderstatus"]),
+        "totals": sw.Headline(figures | about),
+        "largest": sw.Ranking(["o_custkey"], {"revenue": figures["revenue"]} | figures, 10),
+    }
+    out = f"{workspace(spark)}/panels"
+    load = F.col("o_orderkey") % 4
+    wrong = orders.filter(load < 2).withColumn("o_totalprice", F.col("o_totalprice") * 3)
+    for number, rows in [(0, wrong), (1, orders.filter(load == 1)), (2, wrong), (3, orders.filter(load == 3))]:
+        sw.update_panels(rows, spec, out, number)
+    for number in (0, 2):
+        sw.update_panels(orders.filter(load == number), spec, out, number)
+    tables = sw.read_panels(spark, spec, out)
+    exact = orders.agg(F.count_distinct("o_custkey").alias("customers_then"))
+    ranks = orders.crossJoin(F.broadcast(tables["totals"].select("median"))).agg(
+        F.avg((F.col("o_totalprice") <= F.col("median")).cast("double")).alias("rank")
+    )
+    near = F.abs(F.col("customers") - F.col("customers_then")) <= 0.08 * F.col("customers_then")
+    totals = tables["totals"].crossJoin(F.broadcast(exact)).crossJoin(F.broadcast(ranks))
+    tables["totals"] = totals.withColumn("close", near & F.col("rank").between(0.47, 0.53))
+    for name in ("by_status", "by_month", "largest"):
+        tables[name] = tables[name].withColumn("close", F.lit(None).cast("boolean"))
+    return _in_one(tables, ["n", "revenue", "most", "close"])
+
+
 def events_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing files to report: events and total value per day and type."""
     bronze = file_stream_source(spark, sf_dir)
@@ -428,6 +553,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         silver_update,
         create_layers,
         dashboard_dataset,
+        dashboard_updates,
+        key_history,
+        snapshot_changes,
+        snapshot_read,
         stream_sink,
         payload_decode,
         layer_read,
@@ -439,6 +568,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         new_keys,
         upsert,
         upsert_unique_target,
+        upsert_deletes,
         lineage,
         grouped_measures,
         time_series,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -52,19 +53,25 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
-def claim(spark: SparkSession, path: str, text: str) -> str:
+def claim(spark: SparkSession, path: str, text: str, wait: float = 5.0) -> str:
     """Create a short text file unless it is there; returns the text it then has.
 
-    Of several callers at once one creates the file, and all get that one's text.
+    Of several callers at once one creates the file, and all get that one's text.  A file that
+    stays empty for ``wait`` seconds was left by a caller that died before writing it: it is taken over.
     """
     fs, hadoop_path = _resolve(spark, path)
     try:
         out = fs.create(hadoop_path, False)
     except Exception as error:
-        found = read_text(spark, path)
+        until = time.monotonic() + wait
+        while not (found := read_text(spark, path)) and time.monotonic() < until:
+            time.sleep(0.1)
+        if found:
+            return found
         if found is None:
             raise error
-        return found
+        write_text(spark, path, text)
+        return read_text(spark, path) or text
     try:
         out.write(bytearray(text, "utf-8"))
     finally:
@@ -72,6 +79,21 @@ def claim(spark: SparkSession, path: str, text: str) -> str:
     return text
 
 
+def rename_new(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a file to a name that is free; raises if it is taken."""
+    fs, hadoop_path = _resolve(spark, path)
+    _, to = _resolve(spark, target)
+    if fs.exists(to) or not fs.rename(hadoop_path, to):
+        fs.delete(hadoop_path, False)
+        raise RuntimeError(f"{target} is there already: another writer was at work")
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file, or a directory with all in it, if it is there."""
+    fs, hadoop_path = _resolve(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 def entries(spark: SparkSession, path: str) -> list[str]:
     """Names in a directory; of none that is missing."""
     fs, hadoop_path = _resolve(spark, path)
@@ -80,13 +102,26 @@ def entries(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
 
 
-def workspace(spark: SparkSession) -> str:
-    """A fresh directory below ``spark.checkpoint.dir``, or the warehouse where that is unset.
+def shared_root(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``, or the warehouse where that is unset.
 
-    Both are folders that driver and executors share.
+    Driver and executors must share this folder.  On a cluster a default warehouse, which is a folder
+    of the driver's machine, is refused.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/stratawell/{uuid.uuid4().hex}"
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root is None:
+        root = spark.conf.get("spark.sql.warehouse.dir")
+        master = spark.sparkContext.master
+        if qualify(spark, root).startswith("file:") and not master.startswith("local"):
+            raise ValueError(
+                f"set spark.checkpoint.dir: {root} is a folder of the driver alone, not of {master}"
+            )
+    return root.rstrip("/")
+
+
+def workspace(spark: SparkSession) -> str:
+    """A fresh directory below the folder that driver and executors share."""
+    return f"{shared_root(spark)}/stratawell/{uuid.uuid4().hex}"
 
 
 def unused_name(taken: list[str], name: str) -> str:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratawell.functions import storage
@@ -39,6 +40,32 @@ def with_parts(df: DataFrame, partition_by: Sequence[str]) -> tuple[DataFrame, l
     return df.withColumns({copy: F.col(c) for copy, c in zip(copies, partition_by)}), copies
 
 
+_DIRECTORIES = "_directories"
+
+
+def _directories(spark: SparkSession, out: str) -> list[str] | None:
+    """The directory columns of a layer, as its folders show them; None if it holds nothing."""
+    names = [n for n in storage.entries(spark, out) if not n.startswith(("_", "."))]
+    if not names:
+        return None
+    below = [n for n in names if f"{PART}=" in n]
+    if not below:
+        return []
+    deeper = [_directories(spark, f"{out}/{name}") for name in below]
+    return [below[0].partition("=")[0], *next((d for d in deeper if d), [])]
+
+
+def _same_directories(spark: SparkSession, out: str, columns: list[str]) -> None:
+    """Refuse a call whose directories are not those of the layer, and fix those of a new one."""
+    path = f"{out.rstrip('/')}/{_DIRECTORIES}"
+    fixed = storage.read_text(spark, path)
+    if not fixed:
+        there = _directories(spark, out)
+        fixed = storage.claim(spark, path, json.dumps(columns if there is None else there))
+    if json.loads(fixed) != columns:
+        raise ValueError(f"{out} has the directories {fixed}, not {json.dumps(columns)}")
+
+
 def bronze_append(
     df: DataFrame,
     out: str,
@@ -53,6 +80,10 @@ def bronze_append(
     partitions or by no rows.  So a load that died half-way may simply be
     repeated.  Without ``load`` every call adds rows.
 
+    A layer keeps the directories of its first call: one that is written with and
+    without ``load``, under another ``load_col`` or by other partitions, would be
+    read in part only, so such a call is refused before it writes.
+
     With ``partition_by`` rows are first gathered by those columns to keep the
     number of files low; the rebalance splits a value that holds many rows.
     """
@@ -67,9 +98,11 @@ def bronze_append(
         if not re.fullmatch(r"[A-Za-z0-9_.-]+", str(load)):
             raise ValueError(f"a load is named by letters, digits, '_', '.' and '-', not {load!r}")
         df = df.withColumn(load_col, F.lit(load))
-        out = f"{out.rstrip('/')}/{load_col}{PART}={load}"
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     df, copies = with_parts(df, partition_by)
+    _same_directories(spark, out, [*([f"{load_col}{PART}"] if load is not None else []), *copies])
+    if load is not None:
+        out = f"{out.rstrip('/')}/{load_col}{PART}={load}"
     mode = "append" if load is None else "overwrite"
     df.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(*copies).parquet(out)

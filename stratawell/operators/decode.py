@@ -57,11 +57,16 @@ def decode_json(
         source.alias("source"),
         text.alias("text"),
         seal.alias("wanted"),
+        sealed.alias("sealed"),
         (F.is_valid_utf8(source.cast("string")) if binary else F.lit(True)).alias("valid"),
         found.alias("found"),
     )
+    # A payload might close the object's first field and open others, so its names are looked at.
+    names = F.map_keys(F.from_json("sealed", "map<string,string>", {"mode": "PERMISSIVE", **options}))
+    alone = names == F.array(F.lit("payload"), F.lit("seal"))
     sound = (
         F.col("valid")
+        & F.coalesce(alone, F.lit(False))
         & F.col("found.corrupt").isNull()
         & F.col("found.payload").isNotNull()
         & (F.col("found.seal") == F.col("wanted"))

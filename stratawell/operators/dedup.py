@@ -6,23 +6,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from stratawell.functions.hashing import has_map
 from stratawell.functions.storage import unused_name
 
 
-def _has_map(kind: T.DataType) -> bool:
-    if isinstance(kind, T.ArrayType):
-        return _has_map(kind.elementType)
-    if isinstance(kind, T.StructType):
-        return any(_has_map(field.dataType) for field in kind)
-    return isinstance(kind, T.MapType)
-
-
 def tie_order(df: DataFrame, ties: Sequence[str]) -> list[Column]:
     """Columns to sort by; maps, which have no order, and what holds them sort by their JSON text."""
     return [
-        F.to_json(F.struct(F.col(f"`{c}`"))) if _has_map(df.schema[c].dataType) else F.col(f"`{c}`")
+        F.to_json(F.struct(F.col(f"`{c}`"))) if has_map(df.schema[c].dataType) else F.col(f"`{c}`")
         for c in ties
     ]
 

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratawell.functions import storage
+from stratawell.functions import versions
+from stratawell.functions.hashing import key_hash
 from stratawell.functions.storage import unused_name
 from stratawell.operators.dedup import dedup
 
@@ -20,7 +21,8 @@ def high_water_mark(df: DataFrame, col: str) -> Any:
     return df.agg(F.max(col)).first()[0]
 
 
-def _mark(df: DataFrame, col: str, mark: Any) -> Column:
+def mark_literal(df: DataFrame, col: str, mark: Any) -> Column:
+    """A value as one of a column's type, whatever the zone of the session."""
     dtype = df.schema[col].dataType
     if isinstance(dtype, T.TimestampNTZType):
         # As text: a datetime literal would pass through the zone of the session.
@@ -40,13 +42,13 @@ def read_since(df: DataFrame, col: str, mark: Any, until: Any = None) -> DataFra
     never returned where a mark or ``until`` is given.
     """
     if mark is not None:
-        df = df.filter(F.col(col) > _mark(df, col, mark))
+        df = df.filter(F.col(col) > mark_literal(df, col, mark))
     if until is not None:
-        df = df.filter(F.col(col) <= _mark(df, col, until))
+        df = df.filter(F.col(col) <= mark_literal(df, col, until))
     return df
 
 
-def _hot_hashes(df: DataFrame, hashed: Column, name: str, min_rows: int) -> DataFrame:
+def hot_hashes(df: DataFrame, hashed: Column, name: str, min_rows: int) -> DataFrame:
     """Hashes of keys that hold about ``min_rows`` rows or more, rows / min_rows of them at most.
 
     Counted on a sample in which such a key is expected about a thousand times.
@@ -89,7 +91,7 @@ def new_keys(
     salt, place = unused_name(taken, "_salt"), unused_name(taken, "_place")
     mine, theirs = unused_name(taken, "_hash"), unused_name(taken, "_hot")
     hashed = F.xxhash64(*keys)
-    hot = F.broadcast(_hot_hashes(incoming, hashed, theirs, hot_rows))
+    hot = F.broadcast(hot_hashes(incoming, hashed, theirs, hot_rows))
     has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     # The place of a row in its input partition deals equal rows out evenly, and
     # alike if a task runs again.  Rows without a whole key meet none: spread them.
@@ -125,14 +127,46 @@ def _fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
 
 
 def _newest(
-    old: DataFrame, changes: DataFrame, keys: list[str], order: Sequence[str | Column], ties
+    old: DataFrame,
+    changes: DataFrame,
+    keys: list[str],
+    order: Sequence[str | Column],
+    ties,
+    deleted: str | None,
 ) -> DataFrame:
-    change = unused_name(old.columns, "_change")
-    both = old.withColumn(change, F.lit(0)).unionByName(changes.withColumn(change, F.lit(1)))
-    later = F.col(change).desc()
+    taken = [*old.columns, *changes.columns]
+    change, gone = unused_name(taken, "_change"), unused_name(taken, "_gone")
+    is_gone = F.lit(False) if deleted is None else F.coalesce(F.col(deleted), F.lit(False))
+    changed = changes.select(*[F.col(f"`{c}`") for c in old.columns], is_gone.alias(gone))
+    old = old.withColumn(gone, F.lit(False))
+    both = old.withColumn(change, F.lit(0)).unionByName(changed.withColumn(change, F.lit(1)))
     if ties is None:
-        ties = [c for c in old.columns if c not in keys]
-    return dedup(both, keys, [*order, later], ties).drop(change)
+        ties = [c for c in both.columns if c not in (*keys, change, gone)]
+    # Of changes that are equal under the order, one that deletes comes first.
+    later = [F.col(change).desc(), F.col(gone).desc()]
+    first = dedup(both, keys, [*order, *later], ties)
+    return (first if deleted is None else first.filter(~F.col(gone))).drop(change, gone)
+
+
+def split_by_keys(
+    target: DataFrame,
+    changes: DataFrame,
+    keys: Sequence[str],
+    broadcast_rows: int = 1_000_000,
+    broadcast_bytes: int = 64 << 20,
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of keys that the changes have not, and rows of keys that they have.  NULL keys are one key.
+
+    The changed keys are broadcast if they are measured to be within both limits.
+    """
+    names = {k: unused_name([*target.columns, *changes.columns], f"_changed_{k}") for k in keys}
+    changed = changes.select(*[F.col(k).alias(names[k]) for k in keys]).distinct()
+    if _fits_broadcast(changed, broadcast_rows, broadcast_bytes):
+        changed = F.broadcast(changed)
+    else:
+        changed = changed.hint("merge")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(names[k])) for k in keys])
+    return target.join(changed, same, "left_anti"), target.join(changed, same, "left_semi")
 
 
 def upsert(
@@ -143,6 +177,7 @@ def upsert(
     ties: Sequence[str] | None = None,
     broadcast_rows: int = 1_000_000,
     broadcast_bytes: int = 64 << 20,
+    deleted: str | None = None,
 ) -> DataFrame:
     """Target plus changes: of each changed key the first row under ``order``.
 
@@ -152,27 +187,46 @@ def upsert(
     keys are one key.  Write the result to a new path, never to the one being
     read, or use :func:`upsert_partitions`.
 
+    ``deleted`` names a boolean column of the changes that the target has not.  A
+    change in which it is true removes its key if it is the first under ``order``.
+    It is not remembered: an older change that arrives later brings the key back,
+    which it does not in :func:`~stratawell.plans.history.update_history`.
+
     The changed keys are counted and measured first.  Up to the two limits they
     are broadcast, and target rows of other keys pass without a shuffle; beyond
     them the target meets the changed keys in a shuffle.  The rows are the same
     either way.  Both tables are read more than once, so pass stored ones.
     """
     keys, order = list(keys), list(order)
-    names = {k: unused_name([*target.columns, *changes.columns], f"_changed_{k}") for k in keys}
-    changed = changes.select(*[F.col(k).alias(names[k]) for k in keys]).distinct()
-    if _fits_broadcast(changed, broadcast_rows, broadcast_bytes):
-        changed = F.broadcast(changed)
-    else:
-        changed = changed.hint("merge")
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(names[k])) for k in keys])
-    untouched = target.join(changed, same, "left_anti")
-    touched = target.join(changed, same, "left_semi")
-    return untouched.unionByName(_newest(touched, changes, keys, order, ties))
+    untouched, touched = split_by_keys(target, changes, keys, broadcast_rows, broadcast_bytes)
+    return untouched.unionByName(_newest(touched, changes, keys, order, ties, deleted))
 
 
 BUCKET = "bucket__part"
 
 
+def bucket_of(hashed: str | Column, buckets: int) -> Column:
+    """The number of the bucket for the hash of a key."""
+    return F.pmod(F.col(hashed) if isinstance(hashed, str) else hashed, F.lit(buckets)).cast("int")
+
+
+def in_buckets(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """The rows with the number of the bucket that their key falls in."""
+    if BUCKET in {c.lower() for c in df.columns}:
+        raise ValueError(f"{BUCKET} is the name of the partitions")
+    return df.withColumn(BUCKET, bucket_of(key_hash(keys), buckets))
+
+
+def buckets_of(df: DataFrame) -> list[str]:
+    """The numbers of the buckets that rows fall in, as text; there are no more than buckets."""
+    return [str(row[0]) for row in df.select(BUCKET).distinct().collect()]
+
+
+def fixed_buckets(path: str, state: dict[str, Any], buckets: int) -> None:
+    if state.get("buckets", buckets) != buckets:
+        raise ValueError(f"{path} has {state['buckets']} buckets, not {buckets}")
+
+
 def upsert_partitions(
     spark: SparkSession,
     path: str,
@@ -180,32 +234,33 @@ def upsert_partitions(
     keys: Sequence[str],
     order: Sequence[str | Column],
     buckets: int = 256,
+    deleted: str | None = None,
 ) -> int:
     """Upsert into a stored table, writing only the partitions that hold changed keys.
 
     The table is partitioned by a hash of the keys; ``buckets`` is fixed by the
-    first call.  Returns the number of partitions written.  The old files of a
-    partition are replaced when the new ones are complete; running a failed
-    call again gives the same table, since a change replaces an equal row.  One
-    writer at a time.
+    first call.  Returns the number of partitions written.  ``deleted`` is as in
+    :func:`upsert`, and not stored.
+
+    New files are written beside the old ones, large partitions by several tasks,
+    and one small file then switches to them (see ``functions.versions``).  A call
+    that dies at any point leaves the table as it was, and running it again gives
+    the same table as if it had not.  Read the table by
+    :func:`~stratawell.sources.files.read_layer`; what read it before stays valid
+    until the second call after that.  One writer at a time: of two, one is refused.
     """
     keys = list(keys)
-    fixed = storage.claim(spark, f"{path}/_buckets", str(buckets))
-    if fixed != str(buckets):
-        raise ValueError(f"{path} has {fixed} buckets, not {buckets}")
-    if BUCKET in {c.lower() for c in changes.columns}:
-        raise ValueError(f"{BUCKET} is the name of the partitions")
-    dealt = changes.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-    touched = [row[0] for row in dealt.select(BUCKET).distinct().collect()]  # buckets at most
+    at = versions.version(spark, path)
+    fixed_buckets(path, at.state, buckets)
+    dealt = in_buckets(changes, keys, buckets)
+    touched = buckets_of(dealt)
     if not touched:
         return 0
-    stored = spark.read.schema(dealt.schema).parquet(path).filter(F.col(BUCKET).isin(touched))
-    merged = upsert(stored, dealt, keys, order)
-    (
-        merged.repartition(len(touched), BUCKET)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET)
-        .parquet(path)
-    )
+    parts = at.state.get("parts", {})
+    schema = changes.drop(deleted).schema if deleted else changes.schema
+    stored = versions.read_parts(spark, path, BUCKET, parts, schema, touched)
+    merged = upsert(stored, changes, keys, order, deleted=deleted)
+    parts = versions.store_parts(path, in_buckets(merged, keys, buckets), BUCKET, touched, parts)
+    versions.commit(spark, path, at, {"column": BUCKET, "buckets": buckets, "parts": parts})
+    versions.sweep(spark, path, [path])
     return len(touched)

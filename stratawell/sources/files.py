@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratawell.functions import storage
+from stratawell.functions import storage, versions
 from stratawell.operators.bronze import PART
 
 
@@ -21,6 +21,12 @@ def _with_corrupt(schema: T.StructType, corrupt_col: str | None) -> T.StructType
     return T.StructType(list(schema.fields) + [T.StructField(corrupt_col, T.StringType())])
 
 
+def _every_column_read(schema: T.StructType) -> Column:
+    """True, but only known when every column of a row has been read."""
+    seen = F.xxhash64(*[F.col(f"`{f.name}`").isNull() for f in schema.fields])
+    return seen >= F.lit(-(2**63))
+
+
 def _keep_whole_record(df: DataFrame, schema: T.StructType, corrupt_col: str | None) -> DataFrame:
     """Make the corrupt column read every data column.
 
@@ -29,8 +35,7 @@ def _keep_whole_record(df: DataFrame, schema: T.StructType, corrupt_col: str | N
     """
     if corrupt_col is None:
         return df
-    seen = F.xxhash64(*[F.col(f"`{f.name}`").isNull() for f in schema.fields])
-    always = seen >= F.lit(-(2**63))
+    always = _every_column_read(schema)
     return df.withColumn(corrupt_col, F.when(always, F.col(f"`{corrupt_col}`")))
 
 
@@ -48,7 +53,8 @@ def csv_source(
     another order fail instead of being read by position.  With ``corrupt_col``
     the text of a record that differs from the schema (a value of the wrong
     type, too few or too many fields) is kept there beside whatever could be
-    parsed; without it, such a record fails the query unless ``mode`` is given.  Empty text and NULL both read as NULL.  Files stay splittable
+    parsed; without it, such a record fails the query, whatever columns it selects,
+    unless ``mode`` is given.  Empty text and NULL both read as NULL.  Files stay splittable
     unless ``multiLine`` is set.
     """
     reader = (
@@ -60,7 +66,10 @@ def csv_source(
     )
     if corrupt_col is not None:
         reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_col)
-    return _keep_whole_record(reader.csv(path), schema, corrupt_col)
+    rows = _keep_whole_record(reader.csv(path), schema, corrupt_col)
+    if corrupt_col is None and str(options.get("mode", "FAILFAST")).upper() == "FAILFAST":
+        rows = rows.filter(_every_column_read(schema))
+    return rows
 
 
 def file_stream(
@@ -102,8 +111,12 @@ def read_layer(spark: SparkSession, path: str, schema: T.StructType | None = Non
     """Read one layer as input of the next; filters and columns reach the scan.
 
     With ``schema`` a layer that holds no rows yet, or does not exist, is empty.
-    Columns that exist for directories only are left out.
+    Columns that exist for directories only are left out.  Of a table kept in
+    versions, such as that of ``upsert_partitions``, the newest is read.
     """
+    at = versions.version(spark, path)
+    if at.number:
+        return versions.read_parts(spark, path, at.state["column"], at.state["parts"], schema)
     if schema is None:
         layer = spark.read.parquet(path)
         return layer.select(*[F.col(f"`{c}`") for c in layer.columns if not c.endswith(PART)])

@@ -1,0 +1,543 @@
+"""Tables kept in versions: calls that die at any point, replaced loads, deletions, copies, histories, panels."""
+
+import datetime
+import itertools
+import random
+from types import SimpleNamespace
+
+import pytest
+from pyspark.sql import functions as F
+
+import stratawell as sw
+from stratawell.checks import fixtures as fx
+from stratawell.functions import storage, versions
+from stratawell.plans import history, panels, snapshots
+from tests.helpers import fresh, plan_of, same_rows
+
+DATA = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def events(spark):
+    return spark.read.parquet(f"{DATA}/events.parquet")
+
+
+@pytest.fixture(scope="module")
+def orders(spark):
+    return spark.read.parquet(f"{DATA}/orders.parquet")
+
+
+class Cut(RuntimeError):
+    pass
+
+
+def cut_at(monkeypatch, where, nth):
+    """Make the nth call of one of some functions die, before or after it has done its work."""
+    calls = itertools.count()
+    for owner, name, after in where:
+        real = getattr(owner, name)
+
+        def dies(*args, _real=real, _after=after, **kwargs):
+            mine = next(calls) == nth
+            if mine and not _after:
+                raise Cut
+            done = _real(*args, **kwargs)
+            if mine:
+                raise Cut
+            return done
+
+        monkeypatch.setattr(owner, name, dies)
+    return calls
+
+
+STEPS = [
+    (versions, "store_parts", False),
+    (versions, "store_parts", True),
+    (versions, "commit", False),
+    (storage, "rename_new", True),
+    (versions, "sweep", False),
+]
+
+
+# bronze
+
+
+def test_a_layer_keeps_its_directories(spark, events):
+    two, one = events.limit(2), events.limit(1)
+    for first, then in (({"load": 1}, {}), ({}, {"load": 1}), ({"load": 1}, {"load": 1, "load_col": "other"}),
+                        ({}, {"partition_by": ["event_type"]}), ({"partition_by": ["event_type"]}, {})):
+        out = f"{fresh(spark)}/bronze"
+        sw.bronze_append(two, out, **first)
+        with pytest.raises(ValueError, match="directories"):
+            sw.bronze_append(one, out, **then)
+        sw.bronze_append(one, out, **first)
+        assert sw.read_layer(spark, out).count() == (1 if "load" in first else 3)
+
+
+def test_directories_of_a_layer_made_before_they_were_noted(spark, events):
+    out = f"{fresh(spark)}/bronze"
+    events.limit(2).withColumn("load_no", F.lit(1)).write.parquet(f"{out}/load_no__part=1")
+    with pytest.raises(ValueError, match="directories"):
+        sw.bronze_append(events.limit(1), out)
+    sw.bronze_append(events.limit(1), out, load=2)
+    assert sw.read_layer(spark, out).count() == 3
+
+
+def test_an_empty_claim_is_taken_over(spark):
+    path = f"{fresh(spark)}/owner"
+    storage.write_text(spark, path, "")
+    assert storage.claim(spark, path, "me", wait=0.2) == "me"
+    assert storage.claim(spark, path, "you") == "me"
+
+
+def test_a_local_warehouse_is_refused_on_a_cluster(spark):
+    real = spark.sparkContext
+
+    def session(**conf):
+        context = SimpleNamespace(master="spark://far:7077", _jvm=real._jvm, _jsc=real._jsc)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda name, other=None: conf.get(name, other)), sparkContext=context)
+
+    warehouse = {"spark.sql.warehouse.dir": "file:/here/warehouse"}
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        storage.workspace(session(**warehouse))
+    shared = {"spark.checkpoint.dir": "file:/mounted/", **warehouse}
+    assert storage.workspace(session(**shared)).startswith("file:/mounted/stratawell/")
+
+
+# upserts
+
+
+@pytest.mark.parametrize("nth", range(5))
+def test_an_upsert_that_dies_may_be_repeated(spark, events, monkeypatch, nth):
+    path, newest = f"{fresh(spark)}/table", [F.col("ts").desc()]
+    sw.upsert_partitions(spark, path, events, ["event_id"], newest, 4)
+    changes = fx.revised_events(events)
+    want = sw.upsert(events, changes, ["event_id"], newest)
+    with monkeypatch.context() as patch:
+        cut_at(patch, STEPS, nth)
+        with pytest.raises(Cut):
+            sw.upsert_partitions(spark, path, changes, ["event_id"], newest, 4)
+    now = sw.read_layer(spark, path)
+    assert same_rows(now, events) or same_rows(now, want)
+    assert sw.upsert_partitions(spark, path, changes, ["event_id"], newest, 4) == 4
+    assert same_rows(sw.read_layer(spark, path), want)
+    for _ in range(2):
+        sw.upsert_partitions(spark, path, changes, ["event_id"], newest, 4)
+    runs = [name for name in storage.entries(spark, path) if name.startswith("run=")]
+    assert len(runs) <= 2  # what nobody reads is gone
+
+
+def test_two_writers_at_once(spark, events, monkeypatch):
+    path, newest = f"{fresh(spark)}/table", ["ts"]
+    sw.upsert_partitions(spark, path, events, ["event_id"], newest, 2)
+    real = versions.store_parts
+
+    def other_first(*args, **kwargs):
+        done = real(*args, **kwargs)
+        at = versions.version(spark, path)
+        versions.commit(spark, path, at, at.state)
+        return done
+
+    with monkeypatch.context() as patch:
+        patch.setattr(versions, "store_parts", other_first)
+        with pytest.raises(RuntimeError, match="another writer"):
+            sw.upsert_partitions(spark, path, events.limit(5), ["event_id"], newest, 2)
+    assert same_rows(sw.read_layer(spark, path), events)
+
+
+def test_deletions(spark):
+    rows = "k int, t int, v string"
+    target = spark.createDataFrame([(1, 1, "a"), (2, 1, "b"), (3, 5, "c"), (None, 1, "n"), (4, 1, "d")], rows)
+    changes = spark.createDataFrame(
+        [(1, 2, "x", True), (2, 2, "y", False), (3, 4, "old", True), (None, 2, "z", True), (5, 1, "new", None),
+         (6, 1, "gone", True), (4, 2, "e", False), (4, 2, "e", True)],
+        f"{rows}, gone boolean",
+    )
+    newest = [F.col("t").desc()]
+    for limit in (0, 1_000_000):
+        got = sw.upsert(target, changes, ["k"], newest, deleted="gone", broadcast_rows=limit)
+        assert sorted(map(tuple, got.collect())) == [(2, 2, "y"), (3, 5, "c"), (5, 1, "new")]
+    path = f"{fresh(spark)}/table"
+    sw.upsert_partitions(spark, path, target, ["k"], newest, 3)
+    for _ in range(2):
+        sw.upsert_partitions(spark, path, changes, ["k"], newest, 3, deleted="gone")
+        assert sorted(map(tuple, sw.read_layer(spark, path).collect())) == [(2, 2, "y"), (3, 5, "c"), (5, 1, "new")]
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark, events):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "256KB")
+    try:
+        path = f"{fresh(spark)}/table"
+        large = spark.read.parquet("/root/testdata/sf0.1/events.parquet").repartition(16)
+        large.write.parquet(f"{path}-in")
+        sw.upsert_partitions(spark, path, spark.read.parquet(f"{path}-in"), ["event_id"], ["ts"], 1)
+    finally:
+        spark.conf.set(name, before)
+    assert len(sw.read_layer(spark, path).inputFiles()) > 1
+
+
+# silver
+
+
+@pytest.fixture
+def rules():
+    return sw.SilverRules(
+        mapping=[sw.Field("id", "bigint"), sw.Field("t", "int"), sw.Field("v", "double")],
+        valid={"v": F.col("v") >= 0},
+        keys=["id"],
+        order=[F.col("t").desc()],
+    )
+
+
+def silver_equals_build(spark, bronze, rules, out):
+    kept = sw.read_silver(bronze, rules, out)
+    built = sw.silver_build(bronze, rules, f"{fresh(spark)}/built")
+    assert same_rows(kept.accepted, built.accepted)
+    assert same_rows(kept.quarantined, built.quarantined)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_silver_follows_any_loads(spark, rules, seed):
+    """Loads that are added, replaced, emptied and taken again, named by text and with no order."""
+    rng = random.Random(seed)
+    work, out = fresh(spark), None
+    schema = "id string, t string, v string"
+    names = ["a", "-1", "b.2"]
+    for step in range(7):
+        name = names[step] if step < 3 else rng.choice(names)
+        rows = [
+            (str(rng.randrange(12)), str(rng.randrange(9)), rng.choice(["1.5", "2", "-1", "x", None]))
+            for _ in range(0 if step == 4 else 12)
+        ]
+        sw.bronze_append(spark.createDataFrame(rows, schema), f"{work}/bronze", load=name)
+        bronze = sw.read_layer(spark, f"{work}/bronze")
+        out = f"{work}/silver"
+        sw.silver_update(bronze, rules, out, "load_no", buckets=3)
+        silver_equals_build(spark, bronze, rules, out)
+        assert sw.silver_update(bronze, rules, out, "load_no", buckets=3) == 0
+
+
+@pytest.mark.parametrize("nth", range(5))
+def test_a_silver_update_that_dies_may_be_repeated(spark, rules, monkeypatch, nth):
+    work = fresh(spark)
+    schema = "id string, t string, v string"
+    load = [spark.createDataFrame([(str(i), str(n), "1") for i in range(n, 9)], schema) for n in range(3)]
+    for n in (0, 1):
+        sw.bronze_append(load[n], f"{work}/bronze", load=n)
+    bronze = sw.read_layer(spark, f"{work}/bronze")
+    sw.silver_update(bronze, rules, f"{work}/silver", "load_no", buckets=2)
+    before = sw.read_silver(bronze, rules, f"{work}/silver").accepted.collect()
+    sw.bronze_append(load[2], f"{work}/bronze", load=1)
+    bronze = sw.read_layer(spark, f"{work}/bronze")
+    with monkeypatch.context() as patch:
+        cut_at(patch, STEPS, nth)
+        with pytest.raises(Cut):
+            sw.silver_update(bronze, rules, f"{work}/silver", "load_no", buckets=2)
+    if nth < 3:
+        assert sorted(before) == sorted(sw.read_silver(bronze, rules, f"{work}/silver").accepted.collect())
+    sw.silver_update(bronze, rules, f"{work}/silver", "load_no", buckets=2)
+    silver_equals_build(spark, bronze, rules, f"{work}/silver")
+
+
+def test_silver_reads_only_loads_that_matter(spark, rules):
+    """A replaced load makes the loads that share its keys be read again, and no others."""
+    work = fresh(spark)
+    schema = "id string, t string, v string"
+    for n in range(4):
+        rows = [(str(10 * n + i), str(n), "1") for i in range(5)] + ([("0", "9", "2")] if n == 1 else [])
+        sw.bronze_append(spark.createDataFrame(rows, schema), f"{work}/bronze", load=n)
+    bronze = sw.read_layer(spark, f"{work}/bronze")
+    sw.silver_update(bronze, rules, f"{work}/silver", "load_no", buckets=8)
+    sw.bronze_append(spark.createDataFrame([("0", "1", "7")], schema), f"{work}/bronze", load=0)
+    bronze = sw.read_layer(spark, f"{work}/bronze")
+    # The rows of loads 2 and 3 cannot be read any more, but what tells their fingerprint.
+    broken = F.when(F.col("load_no") >= 2, F.raise_error(F.lit("read again"))).otherwise(F.col("v"))
+    guarded = bronze.withColumn("v", broken)
+    assert sw.silver_update(guarded, rules, f"{work}/silver", "load_no", buckets=8) > 0
+    silver_equals_build(spark, bronze, rules, f"{work}/silver")
+
+
+def test_silver_without_loads_and_of_no_files(spark, rules):
+    schema = "id string, t string, v string, load_no int"
+    rows = spark.createDataFrame([("1", "1", "1", 0), ("2", "1", "x", 0)], schema)
+    out = f"{fresh(spark)}/silver"
+    empty = sw.read_silver(rows, rules, out)
+    assert empty.accepted.collect() == [] and empty.quarantined.collect() == []
+    assert sw.silver_update(rows.limit(0), rules, out, "load_no") == 0
+    assert sw.silver_update(rows, rules, out, "load_no", buckets=2) == 1
+    assert sw.silver_update(rows, rules, out, "load_no", buckets=2) == 0
+    silver_equals_build(spark, rows, rules, out)
+    with pytest.raises(ValueError, match="without a load"):
+        sw.silver_update(rows.withColumn("load_no", F.lit(None).cast("int")), rules, out, "load_no", buckets=2)
+
+
+def test_raw_keeps_microseconds_and_names_may_clash(spark):
+    rows = spark.sql(
+        "SELECT 'x' AS unfit, TIMESTAMP_NTZ '2024-01-01 00:00:00.123456' AS at, 1 AS key_hash, 2 AS load__name"
+    )
+    rules = sw.SilverRules(
+        [sw.Field("unfit", "int"), sw.Field("key_hash", "int")], {"k": F.col("key_hash") > 0}, ["key_hash"], ["unfit"]
+    )
+    built = sw.silver_build(rows, rules, f"{fresh(spark)}/silver")
+    assert '"at":"2024-01-01T00:00:00.123456"' in built.quarantined.first().raw
+    out, good = f"{fresh(spark)}/silver", rows.withColumn("unfit", F.lit("5"))
+    sw.silver_update(good, rules, out, "load__name", buckets=2)
+    assert sw.read_silver(good, rules, out).accepted.collect() == [(5, 1)]
+    other = good.withColumn("unfit", F.lit("6"))
+    sw.silver_update(other, rules, out, "load__name", buckets=2)
+    assert sw.read_silver(other, rules, out).accepted.collect() == [(6, 1)]
+
+
+# histories
+
+CHANGES = "k string, at timestamp_ntz, v int, gone boolean"
+
+
+def day(n):
+    return datetime.datetime(2024, 1, 1) + datetime.timedelta(days=n)
+
+
+def brute_history(rows):
+    """Intervals of (k, at, v, gone): the largest v counts of several at one time."""
+    kept = {}
+    for k, at, v, gone in rows:
+        if (k, at) not in kept or v > kept[k, at][0]:
+            kept[k, at] = (v, gone)
+    out = []
+    for (k, at), (v, gone) in kept.items():
+        later = [t for (other, t) in kept if other == k and t > at]
+        if not gone:
+            out.append((k, at, v, min(later, default=None)))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_any_order_of_arrival_gives_the_same_history(spark, seed):
+    rng = random.Random(seed)
+    rows = [
+        (rng.choice(["a", "b", "c", None]), day(rng.randrange(20)), n, rng.random() < 0.25) for n in range(60)
+    ]
+    for _ in range(2):
+        rng.shuffle(rows)
+        path = f"{fresh(spark)}/history"
+        for start in range(0, 60, 15):
+            some = spark.createDataFrame(rows[start : start + 15], CHANGES)
+            sw.update_history(spark, path, some, ["k"], "at", "gone", [F.col("v").desc()], buckets=2)
+        again = spark.createDataFrame(rows[:15], CHANGES)
+        sw.update_history(spark, path, again, ["k"], "at", "gone", [F.col("v").desc()], buckets=2)
+        got = sw.read_history(spark, path)
+        assert got.columns == ["k", "at", "v", "valid_to"]
+        want = brute_history(rows)
+        assert sorted(map(tuple, got.collect()), key=str) == want
+        for n in (0, 7, 30):
+            then = [r for r in want if r[1] <= day(n) and (r[3] is None or r[3] > day(n))]
+            assert sorted(map(tuple, sw.read_history(spark, path, day(n)).collect()), key=str) == then
+
+
+def test_a_late_change_splits_and_a_deletion_is_remembered(spark):
+    path = f"{fresh(spark)}/history"
+
+    def take(*rows):
+        changes = spark.createDataFrame(list(rows), CHANGES)
+        sw.update_history(spark, path, changes, ["k"], "at", "gone", buckets=1)
+        return [tuple(r)[1:] for r in sw.read_history(spark, path).orderBy("at").collect()]
+
+    assert take(("a", day(1), 1, False)) == [(day(1), 1, None)]
+    assert take(("a", day(9), 9, True)) == [(day(1), 1, day(9))]
+    assert take(("a", day(5), 5, None)) == [(day(1), 1, day(5)), (day(5), 5, day(9))]
+    assert take(("a", day(12), 12, False))[-1] == (day(12), 12, None)
+    with pytest.raises(ValueError, match="another history"):
+        sw.update_history(spark, path, spark.createDataFrame([("a", day(1), 1, False)], CHANGES), ["v"], "at", "gone", buckets=1)
+    with pytest.raises(Exception, match="without a time"):
+        take(("a", None, 1, False))
+
+
+@pytest.mark.parametrize("hot_rows", [20, 150])
+def test_hot_keys_are_cut_by_time(spark, hot_rows):
+    rng = random.Random(hot_rows)
+    rows = [("hot" if i % 3 else f"k{i % 40}", day(rng.randrange(300)), i, i % 11 == 0) for i in range(600)]
+    rows += [(None, day(i % 50), i, False) for i in range(200)]
+    stored = f"{fresh(spark)}/changes"
+    spark.createDataFrame(rows, CHANGES).repartition(5).write.parquet(stored)
+    changes = spark.read.parquet(stored)
+    points = sw.change_points(changes, ["k"], "at", [F.col("v").desc()], hot_rows, blocks=7)
+    got = points.filter(~F.col("gone")).drop("gone")
+    assert sorted(map(tuple, got.collect()), key=str) == brute_history(rows)
+    names = ("_hash", "_bounds")
+    blocks = history._time_blocks(changes, ["k"], "at", hot_rows, 7, names).collect()
+    assert len(blocks) >= 1 and all(len(b["_bounds"]) >= 4 for b in blocks)
+
+
+# snapshots
+
+
+def brute_changes(old, new):
+    from collections import Counter
+
+    went, came = Counter(old) - Counter(new), Counter(new) - Counter(old)
+    lost, got = {r[0] for r in went}, {r[0] for r in came}
+    out = [("update_to" if r[0] in lost else "insert", *r) for r in came.elements()]
+    out += [("update_from" if r[0] in got else "delete", *r) for r in went.elements()]
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_changes_between_any_two_copies(spark, seed):
+    rng = random.Random(seed)
+    path, copies = f"{fresh(spark)}/copies", []
+    rows = [(i, rng.choice(["x", None, ""]), rng.choice([1.5, float("nan"), None])) for i in range(80)]
+    for n in range(4):
+        for _ in range([0, 6, 0, 40][n]):
+            at = rng.randrange(len(rows))
+            act = rng.random()
+            if act < 0.3:
+                rows.pop(at)
+            elif act < 0.6:
+                rows.append((rng.choice([rng.randrange(100), None]), "new", 2.0))
+            else:
+                rows[at] = (rows[at][0], f"changed{rng.randrange(3)}", None)
+        rng.shuffle(rows)
+        copies.append(list(rows))
+        df = spark.createDataFrame(rows, "k int, s string, d double").repartition(3)
+        assert sw.store_snapshot(df, ["k"], path, buckets=100) == n + 1
+        assert same_rows(sw.read_snapshot(spark, path), df)
+    for old, new in itertools.permutations(range(4), 2):
+        got = sw.snapshot_changes(spark, path, old + 1, new + 1)
+        # NaN is no equal of itself in Python
+        plain = [[(k, s, str(d)) for k, s, d in copies[n]] for n in (old, new)]
+        assert sorted(((c, k, s, str(d)) for c, k, s, d in got.collect()), key=str) == brute_changes(*plain)
+    assert same_rows(
+        sw.read_snapshot(spark, path, 1), spark.createDataFrame(copies[0], "k int, s string, d double")
+    )
+
+
+def test_files_read_and_written_follow_the_changes(spark, orders):
+    path = f"{fresh(spark)}/copies"
+    later = orders.withColumn(
+        "o_orderstatus", F.when(F.col("o_orderkey") == 7, "X").otherwise(F.col("o_orderstatus"))
+    )
+    for copy in (orders, later, later):
+        sw.store_snapshot(copy, ["o_orderkey"], path, buckets=128)
+    files = [set(sw.read_snapshot(spark, path, n).inputFiles()) for n in (1, 2, 3)]
+    assert len(files[0]) > 100 and len(files[1] - files[0]) == 1 and files[2] == files[1]
+    changes = sw.snapshot_changes(spark, path, 1, 2)
+    assert len(changes.inputFiles()) == 2
+    assert [r.change for r in changes.orderBy("change").collect()] == ["update_from", "update_to"]
+    none = sw.snapshot_changes(spark, path, 2, 3)
+    assert none.collect() == [] and not none.inputFiles()
+
+
+def test_copies_with_odd_columns_and_refusals(spark):
+    path = f"{fresh(spark)}/copies"
+    df = spark.sql("SELECT id AS k, map('a', id) AS m, id AS _net, id AS change_, id AS `_row` FROM range(5)")
+    sw.store_snapshot(df, ["k"], path, buckets=4)
+    sw.store_snapshot(df.filter("k > 0"), ["k"], path, buckets=4)
+    got = sw.snapshot_changes(spark, path, 1, 2).collect()
+    assert [(r.change, r.k, r.m) for r in got] == [("delete", 0, {"a": 0})]
+    sw.store_snapshot(df.limit(0), ["k"], path, buckets=4)
+    assert sw.read_snapshot(spark, path).collect() == []
+    assert sw.snapshot_changes(spark, path, 2, 3).count() == 4
+    with pytest.raises(ValueError, match="buckets"):
+        sw.store_snapshot(df, ["k"], path, buckets=5)
+    with pytest.raises(ValueError, match="no version"):
+        sw.read_snapshot(spark, path, 9)
+    with pytest.raises(ValueError, match="no copy"):
+        sw.read_snapshot(spark, f"{path}/nowhere")
+
+
+# panels
+
+
+def spec_of(more=()):
+    figures = {"n": panels.rows(), "sum": panels.total("value", 2), "mean": panels.mean("value", 2)}
+    ends = {"low": panels.smallest("ts"), "high": panels.largest("value")}
+    return {
+        "by_type": sw.Grouped(["event_type"], figures | ends),
+        "by_day": sw.Series("ts", "day", figures),
+        "totals": sw.Headline(
+            figures | {"users": panels.about_distinct("user_id"), "median": panels.about_quantile("value", 0.5)}
+        ),
+        "top": sw.Ranking(["user_id"], figures, 5),
+    }
+
+
+def rows_of(tables):
+    """All rows, without the one figure that depends on how rows were dealt to sketches."""
+    return {name: sorted(map(str, rows.drop("median").collect())) for name, rows in tables.items()}
+
+
+def test_panels_over_loads_equal_a_rebuild(spark, events):
+    spec, out = spec_of(), f"{fresh(spark)}/panels"
+    odd = F.when(F.col("event_id") == 5, float("inf")).when(F.col("event_id") == 6, None).otherwise(F.col("value"))
+    events = events.withColumn("value", odd).withColumn("_dim0", F.lit(1)).withColumn("_panel1", F.lit(1))
+    load = F.col("event_id") % 3
+    sw.update_panels(events.filter(load == 1), spec, out, "first")
+    sw.update_panels(events.filter(load != 1), spec, out, 2)
+    sw.update_panels(events.filter(load == 0), spec, out, "first")
+    sw.update_panels(events.filter(load == 2).limit(0), spec, out, 7)
+    sw.update_panels(events.filter(load == 1), spec, out, 2)
+    sw.update_panels(events.filter(load == 2), spec, out, 7)
+    rebuilt = f"{fresh(spark)}/panels"
+    sw.update_panels(events, spec, rebuilt, 0)
+    assert rows_of(sw.read_panels(spark, spec, out)) == rows_of(sw.read_panels(spark, spec, rebuilt))
+    plain = sw.measures(events, ["event_type"], {"n": sw.row_count(), "mean": sw.exact_avg("value", 2)})
+    by_type = sw.read_panels(spark, spec, out)["by_type"].select("event_type", "n", "mean")
+    assert same_rows(by_type, plain)
+    totals = sw.read_panels(spark, spec, out)["totals"].first()
+    below = events.filter(F.col("value") <= totals["median"]).count()
+    assert abs(below - 500) <= 25
+    assert totals["sum"] == float("inf") and totals["users"] == events.select("user_id").distinct().count()
+
+    sw.merge_loads(spark, spec, out)
+    assert rows_of(sw.read_panels(spark, spec, out)) == rows_of(sw.read_panels(spark, spec, rebuilt))
+    with pytest.raises(ValueError, match="merged"):
+        sw.update_panels(events, spec, out, 7)
+    sw.update_panels(events.limit(10), spec, out, 8)
+    assert sw.read_panels(spark, spec, out)["totals"].first()["n"] == events.count() + 10
+    with pytest.raises(ValueError, match="other panels"):
+        sw.update_panels(events, {"by_type": spec["by_type"]}, out, 9)
+
+
+def test_panels_do_not_read_loads_again(spark, events):
+    spec, out = spec_of(), f"{fresh(spark)}/panels"
+    sw.update_panels(events.filter("event_id < 500"), spec, out, 0)
+    sw.update_panels(events.filter("event_id >= 500"), spec, out, 1)
+    for table in sw.read_panels(spark, spec, out).values():
+        assert all("/states/" in file for file in table.inputFiles())
+        assert "events.parquet" not in plan_of(table)
+
+
+def test_panels_of_nothing(spark, events):
+    spec, out = spec_of(), f"{fresh(spark)}/panels"
+    with pytest.raises(ValueError, match="no load"):
+        sw.read_panels(spark, spec, out)
+    sw.update_panels(events.limit(0), spec, out, 0)
+    tables = sw.read_panels(spark, spec, out)
+    assert tables["by_type"].collect() == [] and tables["totals"].first()["n"] == 0
+    assert tables["totals"].first()["median"] is None and tables["totals"].first()["users"] == 0
+
+
+def test_a_panel_update_that_dies_changes_nothing(spark, events, monkeypatch):
+    spec, out = spec_of(), f"{fresh(spark)}/panels"
+    sw.update_panels(events, spec, out, 0)
+    before = rows_of(sw.read_panels(spark, spec, out))
+    with monkeypatch.context() as patch:
+        cut_at(patch, [(versions, "commit", False)], 0)
+        with pytest.raises(Cut):
+            sw.update_panels(events.limit(10), spec, out, 0)
+    assert rows_of(sw.read_panels(spark, spec, out)) == before
+
+
+def test_snapshot_that_dies_changes_nothing(spark, orders, monkeypatch):
+    path = f"{fresh(spark)}/copies"
+    sw.store_snapshot(orders, ["o_orderkey"], path, buckets=8)
+    for nth in range(4):
+        with monkeypatch.context() as patch:
+            cut_at(patch, STEPS[:4], nth)
+            with pytest.raises(Cut):
+                sw.store_snapshot(orders.filter("o_orderkey > 50"), ["o_orderkey"], path, buckets=8)
+    assert same_rows(sw.read_snapshot(spark, path, 1), orders)
+    number = sw.store_snapshot(orders.filter("o_orderkey > 50"), ["o_orderkey"], path, buckets=8)
+    assert snapshots.read_snapshot(spark, path, number).count() == orders.filter("o_orderkey > 50").count()
