@@ -144,6 +144,39 @@ def event_envelopes(events: DataFrame) -> DataFrame:
     )
 
 
+@_staged
+def land_drifting_events(events: DataFrame, landing: str) -> None:
+    """JSON files of the events in three folders; those of the later ones have more fields.
+
+    ``zz`` is a whole number in the second folder and, but for every fifth event, a text in the third,
+    where ``more`` is an object.
+    """
+    event_id = F.col("event_id")
+    nested = F.struct(event_id.alias("p"), F.array(F.lit(1), F.lit(2)).alias("q"))
+    extra = {
+        0: [],
+        1: [event_id.alias("zz")],
+        2: [F.when(event_id % 5 != 0, F.concat(F.lit("z"), event_id)).alias("zz"), nested.alias("more")],
+    }
+    for turn, columns in extra.items():
+        some = events.filter(event_id % 3 == turn).select("*", *columns)
+        some.write.options(**TIME_FORMAT).json(f"{landing}/wave={turn}")
+
+
+def offset_runs(events: DataFrame) -> list[DataFrame]:
+    """Envelopes of the events in three runs: the second replays some, the third comes after a gap."""
+    event_id = F.col("event_id")
+    envelopes = event_envelopes(events).select(
+        "*", (F.col("offset") % 4).cast("int").alias("p"), F.floor(F.col("offset") / 4).alias("o")
+    )
+    envelopes = envelopes.withColumns({"partition": F.col("p"), "offset": F.col("o")}).drop("p", "o")
+    share = events.agg((F.max(event_id) + 1).alias("n")).first()["n"] // 10
+    of = F.col("key").cast("string").cast("bigint")
+    bounds = [(0, 4 * share), (3 * share, 6 * share), (7 * share, 11 * share)]
+    runs = [envelopes.filter((of >= low) & (of < high)) for low, high in bounds]
+    return [runs[0], runs[1].unionByName(runs[1].filter(of % 100 < 4)), runs[2]]
+
+
 @_staged
 def repeat_waves(events: DataFrame) -> list[DataFrame]:
     """The events in time order, in four waves that repeat the last tenth of the one before."""

@@ -202,6 +202,85 @@ ORACLES: dict[str, str] = {
             FROM orders GROUP BY 1 ORDER BY revenue DESC, o_custkey LIMIT 10
         )
     """,
+    "rest_of_fields": """
+        SELECT event_id, value, CAST(event_id % 3 AS VARCHAR) AS wave,
+               CASE event_id % 3 WHEN 1 THEN CAST(event_id AS VARCHAR)
+                                 WHEN 2 THEN CASE WHEN event_id % 5 <> 0 THEN 'z' || event_id END END AS zz,
+               CASE WHEN event_id % 3 = 2 THEN event_id END AS p
+        FROM events
+    """,
+    "field_drift": """
+        SELECT '1' AS wave, 'zz' AS field, 'BIGINT' AS type, count(*) AS n FROM events WHERE event_id % 3 = 1
+        UNION ALL
+        SELECT '2', 'zz', 'STRING', count(*) FROM events WHERE event_id % 3 = 2 AND event_id % 5 <> 0
+        UNION ALL
+        SELECT '2', 'more', 'OBJECT<p: BIGINT, q: ARRAY<BIGINT>>', count(*) FROM events WHERE event_id % 3 = 2
+        UNION ALL SELECT 'all', 'zz', 'variant', CAST(0 AS BIGINT)
+        UNION ALL SELECT 'all', 'more', 'struct<p:bigint,q:array<bigint>>', CAST(0 AS BIGINT)
+    """,
+    "offset_continuity": """
+        WITH s AS (SELECT (max(event_id) + 1) // 10 AS n, max(event_id) AS top FROM events),
+        e AS (SELECT event_id, CAST(event_id % 4 AS INTEGER) AS p, event_id // 4 AS o, n, top FROM events, s),
+        r AS (
+            SELECT 1 AS run, p, o FROM e WHERE event_id < 4 * n
+            UNION ALL SELECT 2, p, o FROM e WHERE event_id >= 3 * n AND event_id < 6 * n
+            UNION ALL SELECT 3, p, o FROM e WHERE event_id >= 7 * n
+        )
+        SELECT 1 AS run, p AS partition_id, min(o) AS first, max(o) AS last, 'new' AS kind FROM r WHERE run = 1 GROUP BY p
+        UNION ALL
+        SELECT 2, p, min(o), max(o), 'replay' FROM r
+        WHERE run = 2 AND (p, o) IN (SELECT (p, o) FROM r WHERE run = 1) GROUP BY p
+        UNION ALL
+        SELECT 2, p, min(o), max(o), 'new' FROM r
+        WHERE run = 2 AND (p, o) NOT IN (SELECT (p, o) FROM r WHERE run = 1) GROUP BY p
+        UNION ALL
+        SELECT 3, p, min(o), max(o), 'new' FROM r WHERE run = 3 GROUP BY p
+        UNION ALL
+        SELECT 3, p, max(o) FILTER (WHERE run = 2) + 1, min(o) FILTER (WHERE run = 3) - 1, 'gap' FROM r GROUP BY p
+        UNION ALL
+        SELECT 0, p, CAST(count(DISTINCT o) AS BIGINT), CAST(count(DISTINCT o) AS BIGINT), 'events' FROM r GROUP BY p
+    """,
+    "filled_series": """
+        WITH o AS (SELECT * FROM orders WHERE o_custkey % 10 = 3),
+        b AS (SELECT date_trunc('month', min(o_orderdate)) AS first, date_trunc('month', max(o_orderdate)) AS last FROM o),
+        m AS (SELECT CAST(unnest(generate_series(first, last, INTERVAL 1 MONTH)) AS DATE) AS month FROM b),
+        s AS (SELECT DISTINCT o_orderstatus FROM o),
+        f AS (
+            SELECT m.month, s.o_orderstatus, count(o.o_orderkey) AS n,
+                   sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS revenue
+            FROM m CROSS JOIN s LEFT JOIN o
+              ON date_trunc('month', o.o_orderdate) = m.month AND o.o_orderstatus = s.o_orderstatus
+            GROUP BY 1, 2
+        )
+        SELECT row_number() OVER w - 1 AS nr, month, o_orderstatus, n,
+               CAST(revenue AS DOUBLE) AS revenue,
+               CAST(sum(n) OVER w AS BIGINT) AS n_so_far, CAST(sum(revenue) OVER w AS DOUBLE) AS revenue_so_far,
+               CAST(sum(n) OVER (PARTITION BY o_orderstatus ORDER BY month ROWS 2 PRECEDING) AS BIGINT) AS n_quarter,
+               CAST(max(revenue) OVER (PARTITION BY o_orderstatus ORDER BY month ROWS 2 PRECEDING) AS DOUBLE) AS best
+        FROM f WINDOW w AS (PARTITION BY o_orderstatus ORDER BY month)
+    """,
+    "append_new": """
+        SELECT * REPLACE (CASE WHEN o_orderkey % 3 = 0 AND o_orderkey % 7 <> 0 THEN 'L2'
+                               WHEN o_orderkey % 3 = 0 THEN 'L3' ELSE o_orderstatus END AS o_orderstatus)
+        FROM orders
+    """,
+    "row_rules": """
+        WITH d AS (
+            SELECT event_id, user_id, value FROM events
+            UNION ALL SELECT event_id + 1000000, user_id, value FROM events WHERE event_id % 50 = 0
+            UNION ALL SELECT 3000000 + event_id, user_id, 1e9 FROM events WHERE event_id % 500 = 1
+        ),
+        f AS (SELECT user_id, value, min(event_id) AS first FROM d GROUP BY 1, 2)
+        SELECT event_id,
+               concat_ws(',', CASE WHEN first <> event_id THEN 'twice:' || first END,
+                              CASE WHEN user_id % 9 = 4 THEN 'user:' || user_id END,
+                              CASE WHEN value = 1e9 THEN 'odd' END) AS reasons
+        FROM d JOIN f USING (user_id, value)
+    """,
+    "clustered_read": """
+        SELECT l_orderkey, l_partkey, l_quantity, l_shipdate FROM lineitem
+        WHERE l_partkey BETWEEN 50 AND 90 AND l_shipdate BETWEEN TIMESTAMP '1995-01-01' AND TIMESTAMP '1996-03-31'
+    """,
     "upsert_deletes": f"""
         SELECT event_id, ts, user_id, event_type, value, props FROM (
             SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ts DESC) AS r FROM (

@@ -148,6 +148,57 @@ def payload_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _drifting(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, T.StructType]:
+    """Landed events of which some have fields outside the schema, and that schema."""
+    events = fx.table(spark, sf_dir, "events")
+    work = workspace(spark)
+    fx.land_drifting_events(events, f"{work}/landing")
+    stream = sw.file_stream(
+        spark, f"{work}/landing/wave=*", "json", events.schema, rest_col="rest", **fx.TIME_FORMAT
+    )
+    sw.ingest_incremental(sw.with_lineage(stream), f"{work}/layer", f"{work}/checkpoint")
+    layer = sw.read_layer(spark, f"{work}/layer")
+    return layer.withColumn("wave", F.regexp_extract("source_file", "wave=([0-9])", 1)), events.schema
+
+
+def rest_of_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields outside the schema come through as they landed."""
+    landed, _ = _drifting(spark, sf_dir)
+    return landed.select(
+        "event_id",
+        "value",
+        "wave",
+        F.col("rest")["zz"].cast("string").alias("zz"),
+        F.variant_get(F.col("rest")["more"], "$.p", "bigint").alias("p"),
+    )
+
+
+def field_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which fields came outside the schema in which files, of what type, and the schema with them."""
+    landed, schema = _drifting(spark, sf_dir)
+    report = sw.drift_report(landed, "rest", "wave").withColumnRenamed("file", "wave")
+    new = sw.widened(landed, "rest", schema).fields[len(schema) :]
+    wide = [("all", field.name, field.dataType.simpleString(), 0) for field in new]
+    return report.unionByName(spark.createDataFrame(wide, report.schema))
+
+
+def offset_continuity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs over an archive that holds a replay and a gap; the replay is dropped."""
+    work = workspace(spark)
+    reports = []
+    for run, envelopes in enumerate(fx.offset_runs(fx.table(spark, sf_dir, "events")), start=1):
+        archive = fx.stage_parquet(envelopes, f"{work}/archive{run}")
+        taken = sw.take_offsets(spark.read.parquet(archive), f"{work}/offsets", block=512)
+        taken.events.write.mode("append").parquet(f"{work}/bronze")
+        reports.append(taken.report.select(F.lit(run).alias("run"), "*"))
+        sw.commit_offsets(spark, taken)
+    counted = spark.read.parquet(f"{work}/bronze").groupBy("topic", "partition")
+    events = counted.agg(F.count(F.lit(1)).alias("first"), F.count_distinct("offset").alias("last"))
+    reports.append(events.select(F.lit(0).alias("run"), "*", F.lit("events").alias("kind")))
+    found = reduce(DataFrame.unionByName, reports)
+    return found.drop("topic").withColumnRenamed("partition", "partition_id")
+
+
 def lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = fx.table(spark, sf_dir, "events")
     work = workspace(spark)
@@ -392,6 +443,53 @@ def new_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sw.new_keys(orders, loaded, ["o_orderkey"])
 
 
+def append_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads of orders, the later ones mostly known already; each key keeps its first row."""
+    orders = fx.table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    path = f"{workspace(spark)}/table"
+    loads = [(key % 3 != 0, None), (key % 7 != 0, "L2"), (F.lit(True), "L3"), (key % 5 == 0, "L4")]
+    for rows, status in loads:
+        some = orders.filter(rows)
+        some = some if status is None else some.withColumn("o_orderstatus", F.lit(status))
+        sw.append_new(spark, path, some, ["o_orderkey"], expected_keys=200_000, buckets=8)
+    return sw.read_layer(spark, path)
+
+
+def row_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that come twice under other ids, of users that are not known, or with odd values."""
+    events = fx.table(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    event_id = F.col("event_id")
+    again = events.filter(event_id % 50 == 0).withColumn("event_id", event_id + 1_000_000)
+    odd = events.filter(event_id % 500 == 1).withColumn("event_id", event_id + 3_000_000)
+    odd = odd.withColumn("value", F.lit(1e9))
+    users = events.select("user_id").filter(F.col("user_id") % 9 != 4)
+    path = f"{workspace(spark)}/events"
+    rows = spark.read.parquet(fx.stage_parquet(events.unionByName(again).unionByName(odd), path))
+    rules = {
+        "twice": sw.Unique(["user_id", "value"], "event_id"),
+        "user": sw.Refers(["user_id"], users),
+        "odd": sw.Usual("value", 1000.0),
+    }
+    tagged = sw.tag_row_rules(rows, rules)
+    # The bounds of the sketch are its own.
+    reasons = F.transform("reasons", lambda r: F.regexp_replace(r, "^odd:.*", "odd"))
+    return tagged.select("event_id", F.array_join(reasons, ",").alias("reasons"))
+
+
+def clustered_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines clustered by part and date, read by ranges of both; most files are not opened."""
+    lines = fx.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_shipdate")
+    path = f"{workspace(spark)}/lines"
+    sw.write_clustered(lines, path, ["l_partkey", "l_shipdate"], files=32)
+    dates = datetime.datetime(1995, 1, 1), datetime.datetime(1996, 3, 31)
+    rows = sw.read_clustered(spark, path, {"l_partkey": (50, 90), "l_shipdate": dates})
+    read, there = len(rows.inputFiles()), len(sw.read_clustered(spark, path).inputFiles())
+    if 3 * read > there:
+        raise AssertionError(f"{read} of {there} files are read")
+    return rows
+
+
 def _event_changes(events: DataFrame) -> DataFrame:
     added = events.filter(F.col("event_id") % 50 == 0).withColumn(
         "event_id", F.col("event_id") + 1_000_000
@@ -442,6 +540,24 @@ def time_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def filled_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months of a tenth of the customers, empty ones included, with running and trailing figures."""
+    orders = fx.table(spark, sf_dir, "orders").filter(F.col("o_custkey") % 10 == 3)
+    price = F.col("o_totalprice").cast("decimal(18,2)")
+    dims = ["o_orderstatus"]
+    figures = {"n": sw.row_count(), "revenue": F.sum(price)}
+    series = sw.filled_series(orders, "o_orderdate", "month", figures, dims, fill={"n": 0})
+    path = f"{workspace(spark)}/series"
+    series.write.parquet(path)
+    series = spark.read.parquet(path)
+    so_far = sw.running(series, {"n_so_far": "n", "revenue_so_far": "revenue"}, dims, block=16)
+    recent = {"n_quarter": F.sum("n"), "best": F.max("revenue")}
+    done = sw.trailing(so_far, 3, recent, dims, block=16)
+    money = ("revenue", "revenue_so_far", "best")
+    done = done.withColumns({name: F.col(name).cast("double") for name in money})
+    return done.withColumn("nr", F.col("nr").cast("bigint"))
+
+
 def headline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sw.headline(
         fx.table(spark, sf_dir, "orders"),
@@ -554,6 +670,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         create_layers,
         dashboard_dataset,
         dashboard_updates,
+        rest_of_fields,
+        field_drift,
+        offset_continuity,
+        filled_series,
         key_history,
         snapshot_changes,
         snapshot_read,
@@ -566,6 +686,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         dedup_stream,
         read_since,
         new_keys,
+        append_new,
+        row_rules,
+        clustered_read,
         upsert,
         upsert_unique_target,
         upsert_deletes,

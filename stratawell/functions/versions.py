@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from typing import Any
 
@@ -81,13 +81,20 @@ def read_parts(
     spark: SparkSession,
     path: str,
     column: str,
-    parts: dict[str, str],
+    parts: Mapping[str, str | list[str]],
     schema: T.StructType | None = None,
     only: Iterable[str] | None = None,
 ) -> DataFrame:
-    """The rows of all partitions, or of some of them; no others are listed."""
+    """The rows of all partitions, or of some of them; no others are listed.
+
+    A partition is in one folder, or in several.
+    """
     chosen = parts if only is None else {part: parts[part] for part in only if part in parts}
-    folders = [f"{path}/{run}/{column}={part}" for part, run in sorted(chosen.items())]
+    folders = [
+        f"{path}/{run}/{column}={part}"
+        for part, runs in sorted(chosen.items())
+        for run in ([runs] if isinstance(runs, str) else runs)
+    ]
     if schema is None:
         return spark.read.parquet(*folders)
     return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratawell.sources.drift import rest_of
+
 
 def decode_json(
     df: DataFrame,
@@ -13,6 +15,7 @@ def decode_json(
     col: str = "value",
     corrupt_col: str = "_corrupt",
     raw_col: str | None = None,
+    rest_col: str | None = None,
     **options,
 ) -> DataFrame:
     """Replace a JSON payload by the columns of ``schema``.
@@ -21,14 +24,16 @@ def decode_json(
     other is kept in ``corrupt_col``; look there and nowhere else, because a
     broken payload may still fill some columns.  Bytes that are not UTF-8 appear
     in that text as replacement characters.  A NULL payload gives NULL columns
-    and no corrupt text.  Fields outside ``schema`` are dropped; with
-    ``raw_col`` the whole payload stays there as it came.
+    and no corrupt text.  Fields outside ``schema`` are dropped, unless ``rest_col``
+    names a column for them: a map from names to VARIANT, NULL where there are none
+    (see ``sources.drift``).  With ``raw_col`` the whole payload stays there as it came.
 
-    The payload is parsed once per row.  A name that the payload's columns share
+    The payload is parsed twice per row, for its fields and for their names, and
+    again for the rest.  A name that the payload's columns share
     with each other or with columns that stay is refused.
     """
     kept = [c for c in df.columns if c != col]
-    names = [*kept, *schema.names, corrupt_col, *([raw_col] if raw_col else [])]
+    names = [*kept, *schema.names, corrupt_col, *[c for c in (raw_col, rest_col) if c]]
     known: set[str] = set()
     for name in names:
         if name.lower() in known:
@@ -77,4 +82,5 @@ def decode_json(
         *[F.col(f"found.payload.`{f.name}`").alias(f.name) for f in schema.fields],
         F.when(broken, F.col("text")).alias(corrupt_col),
         *([F.col("source").alias(raw_col)] if raw_col else []),
+        *([F.when(~broken, rest_of("text", schema, options)).alias(rest_col)] if rest_col else []),
     )

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratawell.functions.storage import unused_name
 from stratawell.operators.reporting import time_bucket
 
 
@@ -91,11 +92,11 @@ def dashboard_dataset(df: DataFrame, spec: Mapping[str, Panel], out: str) -> dic
             raise ValueError(f"panel {name} measures nothing")
         own = []
         for dim, column in panel.grouped_by().items():
-            dims[name, dim] = inner = f"_dim{len(dims)}"
+            dims[name, dim] = inner = unused_name(df.columns, f"_dim{len(dims)}")
             columns.append(column.alias(inner))
             own.append(inner)
         sets.append(own)
-    numbered = {name: f"_panel{i}" for i, name in enumerate(spec)}
+    numbered = {name: unused_name(df.columns, f"_panel{i}") for i, name in enumerate(spec)}
     # Which set a group belongs to: a constant of its own for each panel joins the group's columns.
     prepared = df.select("*", *columns, *[F.lit(i).alias(p) for i, p in enumerate(numbered.values())])
     for panel_no, (name, panel) in enumerate(spec.items()):

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from stratawell.functions import storage, versions
 from stratawell.operators.bronze import PART
+from stratawell.operators.decode import decode_json
 
 
 # Formats whose readers can keep the text of a record they cannot parse.
@@ -80,6 +81,7 @@ def file_stream(
     max_files: int | None = None,
     max_bytes: int | None = None,
     corrupt_col: str | None = None,
+    rest_col: str | None = None,
     **options,
 ) -> DataFrame:
     """Read files landing in a directory as a stream.
@@ -87,12 +89,27 @@ def file_stream(
     ``max_files`` or ``max_bytes`` (not both) bounds one micro-batch; give one
     of them whenever a backlog may be large, and size it by the bytes wanted per
     output file.  A file is taken once, by name: rewriting it in place is not
-    noticed.  Columns outside ``schema`` are dropped.
+    noticed.
+
+    Columns outside ``schema`` are dropped, unless ``rest_col`` names a column for
+    them, a map from names to VARIANT.  That is for JSON files with a record on each
+    line; it takes a ``corrupt_col``, by default ``_corrupt``, so nothing is lost:
+    a record is parsed, with what is outside the schema, or kept as its text.
     """
     if max_files is not None and max_bytes is not None:
         raise ValueError("give max_files or max_bytes, not both")
     if corrupt_col is not None and fmt not in TEXT_FORMATS:
         raise ValueError(f"{fmt} files have no corrupt records to keep")
+    if rest_col is not None and fmt != "json":
+        raise ValueError(f"{fmt} files have no fields outside their schema to keep")
+    if rest_col is not None:
+        reader = spark.readStream.format("text")
+        if max_files is not None:
+            reader = reader.option("maxFilesPerTrigger", max_files)
+        if max_bytes is not None:
+            reader = reader.option("maxBytesPerTrigger", max_bytes)
+        lines = reader.load(directory).filter(F.trim("value") != "")
+        return decode_json(lines, schema, "value", corrupt_col or "_corrupt", rest_col=rest_col, **options)
     reader = (
         spark.readStream.format(fmt)
         .schema(_with_corrupt(schema, corrupt_col))

@@ -15,6 +15,10 @@ from stratawell.functions import storage
 from stratawell.operators.bronze import with_parts
 
 _OWNER = "layer_sink"
+_KEPT = "spark.sql.streaming.numRecentProgressUpdates"
+# Batches whose progress is kept, and how often it is looked at: no run has so many in between.
+_KEPT_BATCHES = 1000
+_LOOK_SECONDS = 2
 _CLAIM = "_layer_owner"
 
 
@@ -90,19 +94,32 @@ def ingest_incremental(
 ) -> Taken:
     """Take the input not taken before, then stop.  Raises if the run failed.
 
-    Returns what the run took, as counted by the last batches that Spark keeps
-    the progress of (``spark.sql.streaming.numRecentProgressUpdates``).
+    Returns what the run took.  Spark keeps the progress of the last batches only, so it is gathered
+    while the run goes on, more often than batches could fall out.
     """
+    spark = stream.sparkSession
     counted = stream.observe("taken", F.count(F.lit(1)).alias("rows"))
-    query = stream_sink(counted, out, checkpoint, partition_by)
+    seen: dict[tuple[int, str], tuple[int | None, int]] = {}
+
+    def gather() -> None:
+        for p in query.recentProgress:
+            progress = json.loads(p.json) if hasattr(p, "json") else p
+            taken = progress.get("observedMetrics", {}).get("taken")
+            late = sum(op.get("numRowsDroppedByWatermark", 0) for op in progress["stateOperators"])
+            place = progress["batchId"], progress["timestamp"]
+            seen[place] = taken["rows"] if taken else None, late
+
+    before = spark.conf.get(_KEPT)
+    spark.conf.set(_KEPT, str(max(int(before), _KEPT_BATCHES)))  # read anew after each batch
     try:
-        query.awaitTermination()
+        query = stream_sink(counted, out, checkpoint, partition_by)
+        try:
+            while not query.awaitTermination(_LOOK_SECONDS):
+                gather()
+            gather()
+        finally:
+            query.stop()
     finally:
-        query.stop()
-    progress = [json.loads(p.json) if hasattr(p, "json") else p for p in query.recentProgress]
-    done = [p for p in progress if p.get("observedMetrics", {}).get("taken")]
-    return Taken(
-        batches=len(done),
-        rows=sum(p["observedMetrics"]["taken"]["rows"] for p in done),
-        late=sum(op.get("numRowsDroppedByWatermark", 0) for p in progress for op in p["stateOperators"]),
-    )
+        spark.conf.set(_KEPT, before)
+    rows = [n for n, _ in seen.values() if n is not None]
+    return Taken(batches=len(rows), rows=sum(rows), late=sum(late for _, late in seen.values()))
