@@ -8,6 +8,7 @@ language is that of the centroid with the largest cosine; a text too far from it
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +26,11 @@ GRAMS = (2, 3)
 SAMPLE = 400
 CENTROIDS = 4
 ROUNDS = 12
-#: A text is rejected below this share of the lowest cosine that its language's sample has.
+#: This share of a sample may be junk or have a wrong label: it neither makes a centroid nor sets a floor.
+OUTLIERS = 0.1
+#: Numbers of words for which a language has a floor, from pieces of its sample of that length.  A text is
+#: rejected below the floor for its words: this share of what all but the outliers reach.
+PIECES = (1, 2, 4, 8, 16, 32, 64, 128, 256)
 REJECT_SHARE = 0.5
 UNKNOWN = "und"
 
@@ -120,13 +125,14 @@ def _sample(steps: Steps, rows: DataFrame) -> DataFrame:
     return sample
 
 
-def _cluster(vectors: np.ndarray, k: int) -> tuple[np.ndarray, float]:
-    """Centroids of vectors of length one, and the lowest cosine of a vector to its nearest."""
+def _cluster(vectors: np.ndarray, k: int) -> np.ndarray:
+    """Centroids of vectors of length one."""
     centre = vectors.mean(axis=0)
     chosen = [int((vectors @ centre).argmax())]
     near = vectors @ vectors[chosen[0]]
     while len(chosen) < min(k, len(vectors)):
-        chosen.append(int(near.argmin()))  # farthest from those chosen
+        # far from those chosen, but not among the outliers
+        chosen.append(int(np.argsort(near, kind="stable")[int(OUTLIERS * len(near))]))
         near = np.maximum(near, vectors @ vectors[chosen[-1]])
     centroids = vectors[chosen]
     for _ in range(ROUNDS):
@@ -134,11 +140,35 @@ def _cluster(vectors: np.ndarray, k: int) -> tuple[np.ndarray, float]:
         sums = np.array([vectors[nearest == i].sum(axis=0) for i in range(len(centroids))])
         lengths = np.linalg.norm(sums, axis=1, keepdims=True)
         centroids = np.where(lengths > 0, sums / np.where(lengths > 0, lengths, 1), centroids)
-    return centroids, float((vectors @ centroids.T).max(axis=1).min())
+    # What few texts are near to may be a centroid of outliers.
+    share = np.bincount((vectors @ centroids.T).argmax(axis=1), minlength=len(centroids)) / len(vectors)
+    return centroids[(share >= OUTLIERS) | (share == share.max())]
+
+
+def _piece(found: bytes, n: int, nth: int) -> bytes | None:
+    """``n`` words of a text from somewhere in it, which depends on its number; None if it has fewer."""
+    words = found.split()
+    if len(words) < n:
+        return None
+    start = nth * 7919 % (len(words) - n + 1)
+    return b" %b " % b" ".join(words[start : start + n])
+
+
+def _floors(texts: list[bytes], centroids: np.ndarray, idf: np.ndarray) -> list[float]:
+    """For each number of words the cosine below which a text is none of the language's."""
+    floors: list[float] = []
+    for n in PIECES:
+        pieces = [piece for i, text in enumerate(texts) if (piece := _piece(text, n, i))]
+        if not pieces:
+            floors.append(floors[-1])
+            continue
+        cosines = [float((centroids @ vector(piece, idf)).max()) for piece in pieces]
+        floors.append(REJECT_SHARE * float(np.quantile(cosines, OUTLIERS)))
+    return floors
 
 
 class Centroids:
-    """A fitted model: languages, their centroids, and the cosine below which each rejects."""
+    """A fitted model: languages, their centroids, and for numbers of words the cosines below which each rejects."""
 
     def __init__(self, idf: np.ndarray, langs: list[str], vectors: np.ndarray, floors: np.ndarray):
         self.idf, self.langs, self.vectors, self.floors = idf, langs, vectors, floors
@@ -151,14 +181,18 @@ class Centroids:
         cosines = self.vectors @ vector(found, self.idf)
         best = int(cosines.argmax())
         score = min(1.0, max(0.0, float(cosines[best])))
-        return self.langs[best], score, score < self.floors[best]
+        words = max(1, len(found.split()))
+        floor = self.floors[best][bisect_right(PIECES, words) - 1]
+        return self.langs[best], score, bool(score < floor)
 
 
 def fit(train: DataFrame, text_col: str, lang_col: str, place: Column) -> Centroids:
     """Centroids of the languages in ``train``.
 
     IDF counts every text.  Centroids are fitted on the ``SAMPLE`` texts with letters of each
-    language that have the smallest ``place``, a 64-bit hash of the row.  Rows with a NULL language or text
+    language that have the smallest ``place``, a 64-bit hash of the row.  A tenth of them may be junk
+    or wrongly labelled.  How close to a centroid a text of the language must be depends on its number
+    of words, as short texts are never very close; it is learned from pieces of the sample.  Rows with a NULL language or text
     take no part.  Equal cosines go to the language that sorts first.
     """
     steps = Steps(train.sparkSession)
@@ -171,21 +205,22 @@ def fit(train: DataFrame, text_col: str, lang_col: str, place: Column) -> Centro
 
     def cluster(group: pd.DataFrame) -> pd.DataFrame:
         found = [letters(text) for text in group["text"]]
-        vectors = np.array([vector(x, idf) for x in found if x])
-        if not len(vectors):
-            return pd.DataFrame({"lang": [], "floor": [], "centroid": []})
-        centroids, lowest = _cluster(vectors, CENTROIDS)
+        found = [x for x in found if x]
+        if not found:
+            return pd.DataFrame({"lang": [], "floors": [], "centroid": []})
+        centroids = _cluster(np.array([vector(x, idf) for x in found]), CENTROIDS)
+        floors = _floors(found, centroids, idf)
         return pd.DataFrame(
             {
                 "lang": group["lang"].iloc[0],
-                "floor": REJECT_SHARE * lowest,
+                "floors": [floors] * len(centroids),
                 "centroid": [x.astype("<f4").tobytes() for x in centroids],
             }
         )
 
     fitted = (
         sample.groupBy("lang")
-        .applyInPandas(cluster, "lang string, floor double, centroid binary")
+        .applyInPandas(cluster, "lang string, floors array<double>, centroid binary")
         .collect()  # CENTROIDS rows for each language
     )
     fitted.sort(key=lambda row: (row["lang"], bytes(row["centroid"])))
@@ -194,7 +229,7 @@ def fit(train: DataFrame, text_col: str, lang_col: str, place: Column) -> Centro
         idf,
         [row["lang"] for row in fitted],
         vectors.reshape(-1, BUCKETS),
-        np.array([row["floor"] for row in fitted]),
+        np.array([row["floors"] for row in fitted]).reshape(-1, len(PIECES)),
     )
 
 

@@ -21,7 +21,7 @@ from stratawell.llm.components import components
 SAMPLE = 4096
 BITS = 64
 TABLE_BITS = 8
-#: Codes may differ in this share of their bits for their vectors to be compared.
+#: Codes may differ in this share of their bits, or more of few bits, for their vectors to be compared.
 NEAR_SHARE = 0.375
 LEARNING_ROUNDS = 50
 #: Vectors of one table entry compared in one piece; fuller entries are cut into such blocks.
@@ -151,6 +151,17 @@ def _first_shared(differ: np.ndarray, slot: int) -> np.ndarray:
     return first
 
 
+def _radius(bits: int, least: float) -> int:
+    """In how many bits codes may differ; few bits are wrong by chance more often than many.
+
+    A bit differs with the angle's share of a half turn; three deviations are added to what is expected
+    of the largest angle that links.
+    """
+    chance = np.arccos(min(1.0, max(-1.0, least))) / np.pi
+    likely = chance * bits + 3 * np.sqrt(chance * (1 - chance) * bits) + 1
+    return min(bits, max(int(NEAR_SHARE * bits), int(likely)))
+
+
 def _near_pairs(codes, units, blocks, pair, slot, bits, least):
     """Pairs of one piece whose cosine is at least ``least``, each only where it meets first."""
     left = np.flatnonzero(blocks == pair["a"])
@@ -201,7 +212,7 @@ def _links(pieces: DataFrame, least: float) -> DataFrame:
                 vectors = _matrix(member.field("vector"))
                 codes = member.field("code").to_numpy().view(np.uint64)
                 blocks, n = member.field("block").to_numpy(), member.field("n").to_numpy()
-                bits = int(NEAR_SHARE * min(BITS, vectors.shape[1]))
+                bits = _radius(min(BITS, vectors.shape[1]), least)
                 i, j = _near_pairs(codes, unit(vectors), blocks, pair, slot, bits, least)
                 if len(i):
                     size = len(classes)

@@ -82,6 +82,22 @@ def test_recall_and_no_false_links(spark, monkeypatch, block):
     assert sum(found.values()) >= 0.95 * sum(want.values())
 
 
+@pytest.mark.parametrize("size", [2, 3, 4, 8, 256])
+def test_recall_in_few_and_in_many_dimensions(spark, size):
+    """Pairs with a cosine right above the bound, and random ones, which in few dimensions are many."""
+    rng = np.random.default_rng(size)
+    vectors = []
+    for _ in range(60):
+        centre = rng.standard_normal(size)
+        centre /= np.linalg.norm(centre)
+        vectors += [centre, near(rng, centre, 1, rng.uniform(0.931, 0.95))[0]]
+    rows = [(i, [float(np.float32(x)) for x in v], 0) for i, v in enumerate(vectors)]
+    found = {r[0]: r[1] for r in quantised.vector_groups(spark.createDataFrame(rows, SCHEMA)).collect()}
+    want = {r[0]: r[1] for r in brute(rows)}
+    assert all(found[i] <= want[i] for i in want) and sum(want.values()) >= 100
+    assert sum(found.values()) >= 0.95 * sum(want.values())
+
+
 def test_hard_rows(spark):
     v = [float(x) for x in range(1, 65)]
     rows = [
