@@ -1,5 +1,6 @@
 """Queries against their SQL twins, and the entry with and without this subpackage."""
 
+import pathlib
 import subprocess
 import sys
 
@@ -47,3 +48,12 @@ def test_entry_works_without_this_subpackage(tmp_path):
             (tmp_path / "stratawell/llm/__pycache__").mkdir(parents=True)
         done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True)
         assert done.stdout.split() == ["0", "True"], done.stderr
+
+
+def test_entry_works_where_a_library_of_this_subpackage_is_missing():
+    code = (
+        "import sys; sys.modules['public_tokenizers'] = None; import __spark_entry__ as e; "
+        "print(sum(n.startswith('op') for n in e.queries()), len(e.queries()) > 20, len(e.oracle_sql()) > 20)"
+    )
+    done = subprocess.run([sys.executable, "-c", code], cwd=pathlib.Path(entry.__file__).parent, capture_output=True, text=True)
+    assert done.stdout.split() == ["0", "True", "True"], done.stderr
