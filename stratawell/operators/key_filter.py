@@ -111,8 +111,9 @@ def append_new(
         storage.delete(spark, f"{path}/work/{run}")
         return 0
     added = versions.read_parts(spark, path, BUCKET, dict.fromkeys(found, run), incoming.schema)
-    _bits_of(added.filter(whole), keys, blocks).write.parquet(f"{path}/filter/{run}")
-    filters = [*state.get("filter", []), run]
+    increment = versions.new_run()
+    _bits_of(added.filter(whole), keys, blocks).write.parquet(f"{path}/filter/{increment}")
+    filters = [*state.get("filter", []), increment]
     if len(filters) > _INCREMENTS:
         merged = versions.new_run()
         _stored_filter(spark, path, filters).write.parquet(f"{path}/filter/{merged}")

@@ -1,0 +1,170 @@
+"""The stored key filter, rules over several rows, clustered layers."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+import stratawell as sw
+from stratawell.functions import storage, versions
+from stratawell.operators import key_filter
+from stratawell.plans import clustered
+from tests.helpers import fresh, same_rows
+
+ROWS = "k int, s string, v int"
+
+
+def numbered(spark, keys, start=0):
+    rows = [(k, None if k is None else f"s{k}", start + i) for i, k in enumerate(keys)]
+    return spark.createDataFrame(rows, ROWS)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_rows_appended_are_those_of_new_keys(spark, seed):
+    rng = random.Random(seed)
+    path, known = f"{fresh(spark)}/table", None
+    for load in range(4):
+        keys = [rng.choice([None, *range(60 * (load + 1))]) for _ in range(60)]
+        some = numbered(spark, keys, 1000 * load).repartition(3)
+        want = some if known is None else sw.new_keys(some, known, ["k", "s"])
+        want = spark.createDataFrame(want.collect(), ROWS)
+        # so few bits that many new keys look known
+        n = sw.append_new(spark, path, some, ["k", "s"], expected_keys=1, buckets=4)
+        assert n == want.count()
+        known = want if known is None else known.unionByName(want)
+        assert same_rows(sw.read_layer(spark, path), known)
+
+
+def test_a_filter_knows_its_keys_and_few_others(spark):
+    keys = spark.range(20_000).select(F.col("id").cast("int").alias("k"))
+    blocks = -(-20_000 * 10 // (1 << 15))
+    bits = key_filter._bits_of(keys, ["k"], blocks).withColumnRenamed("block", "b")
+    every = F.lit(True)
+    for at in key_filter._positions(["k"]):
+        every &= key_filter._is_set(F.col("bits"), at)
+    asked = spark.range(40_000).select(F.col("id").cast("int").alias("k"))
+    asked = asked.join(bits, key_filter._block(["k"], blocks) == F.col("b"), "left")
+    found = asked.select(F.col("k") < 20_000, F.coalesce(every, F.lit(False))).toDF("own", "maybe")
+    counts = {(r["own"], r["maybe"]): r["count"] for r in found.groupBy("own", "maybe").count().collect()}
+    assert (True, False) not in counts
+    assert counts[False, True] < 0.03 * 20_000
+
+
+def test_only_buckets_with_known_keys_are_read(spark, monkeypatch):
+    path = f"{fresh(spark)}/table"
+    sw.append_new(spark, path, numbered(spark, range(500)), ["k"], 10_000, 16)
+    asked = []
+    real = versions.read_parts
+
+    def noted(*args):
+        asked.append(args[5] if len(args) > 5 else None)
+        return real(*args)
+
+    monkeypatch.setattr(versions, "read_parts", noted)
+    assert sw.append_new(spark, path, numbered(spark, range(1000, 1300)), ["k"], 10_000, 16) == 300
+    assert sw.append_new(spark, path, numbered(spark, [5, 2000]), ["k"], 10_000, 16) == 1
+    assert sw.append_new(spark, path, numbered(spark, [5, 2000]), ["k"], 10_000, 16) == 0
+    buckets = [only for only in asked if only is not None]
+    assert len(buckets[0]) < 16 and len(buckets[1]) == 1 and len(buckets[2]) <= 2
+    with pytest.raises(ValueError, match="kept by the keys"):
+        sw.append_new(spark, path, numbered(spark, [1]), ["s"], 10_000, 16)
+
+
+def test_many_increments_and_a_run_that_dies(spark, monkeypatch):
+    monkeypatch.setattr(key_filter, "_INCREMENTS", 2)
+    path = f"{fresh(spark)}/table"
+    for load in range(4):
+        sw.append_new(spark, path, numbered(spark, range(load * 10, load * 10 + 12)), ["k"], 1000, 2)
+    assert len(versions.version(spark, path).state["filter"]) <= 2
+    assert len([n for n in storage.entries(spark, f"{path}/filter") if n.startswith("run=")]) <= 4
+    before = sorted(sw.read_layer(spark, path).collect())
+    assert len(before) == 42
+
+    def dies(*args):
+        raise RuntimeError
+
+    with monkeypatch.context() as patch:
+        patch.setattr(versions, "commit", dies)
+        with pytest.raises(RuntimeError):
+            sw.append_new(spark, path, numbered(spark, [1, 77]), ["k"], 1000, 2)
+    assert sorted(sw.read_layer(spark, path).collect()) == before
+    assert sw.append_new(spark, path, numbered(spark, [1, 77]), ["k"], 1000, 2) == 1
+
+
+# rules
+
+
+def test_rules_name_what_breaks_them(spark):
+    df = spark.createDataFrame(
+        [(1, "a", 10, 1.0), (2, "a", 10, 2.0), (3, None, 10, 3.0), (4, None, 11, 4.0), (5, "b", None, 1e6),
+         (6, "a", 99, float("nan")), (7, "c", 10, None), (8, "c", 10, 2.5)],
+        "id int, a string, ref int, v double",
+    )
+    layer = spark.createDataFrame([(100, "c", 10, 0.0), (101, "z", 11, 0.0)], df.schema)
+    rules = {
+        "unique": sw.Unique(["a"], "id", layer=layer),
+        "ref": sw.Refers(["ref"], layer),
+        "usual": sw.Usual("v", 3.0),
+    }
+    tagged = sw.tag_row_rules(df, rules)
+    assert tagged.columns == [*df.columns, "reasons"]
+    got = {r["id"]: r["reasons"] for r in tagged.collect()}
+    assert got[1] == got[3] == got[4] == [] and got[2] == ["unique:1"]
+    assert got[7] == got[8] == ["unique:100"]
+    assert got[6][:2] == ["unique:1", "ref:99"] and got[6][2].startswith("usual")
+    assert len(got[5]) == 1 and got[5][0].startswith("usual:")
+
+
+def test_rules_with_reasons_repeats_order_and_nothing(spark):
+    df = spark.createDataFrame([(1, "a", 5), (1, "a", 5), (2, "a", 4)], "id int, a string, t int")
+    before = sw.tag_valid(df, {"t": F.col("t") > 4})
+    tagged = sw.tag_row_rules(before, {"u": sw.Unique(["a"], "id", order=["t"])})
+    assert sorted((r["id"], r["reasons"]) for r in tagged.collect()) == [(1, ["u:2"]), (1, ["u:2"]), (2, ["t"])]
+    rules = {"u": sw.Unique(["a"], "id"), "r": sw.Refers(["a"], df, ["a"]), "q": sw.Usual("t")}
+    assert sw.tag_row_rules(df.limit(0), rules).collect() == []
+    none = df.withColumn("t", F.lit(None).cast("int"))
+    assert all(not r["reasons"] for r in sw.tag_row_rules(none, {"q": sw.Usual("t")}).collect())
+    clashing = df.select("*", *[F.lit(1).alias(n) for n in ("_own", "_first", "_a", "_there", "_broken0")])
+    assert sw.tag_row_rules(clashing, rules).count() == 3
+
+
+# clustered layers
+
+
+def test_files_read_fall_with_two_ranges(spark):
+    lines = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+    path = f"{fresh(spark)}/lines"
+    sw.write_clustered(lines, path, ["l_partkey", "l_quantity", "l_returnflag"], files=64)
+    everything = sw.read_clustered(spark, path)
+    assert same_rows(everything, lines) and len(everything.inputFiles()) > 40
+    for between, most in (
+        ({"l_partkey": (100, 200), "l_quantity": (1, 5)}, 0.25),
+        ({"l_partkey": (1900, None)}, 0.4),
+        ({"l_quantity": (None, 3), "l_returnflag": ("R", "R")}, 0.4),
+        ({"l_partkey": (-5, -1)}, 0),
+    ):
+        want = lines
+        for name, (low, high) in between.items():
+            want = want if low is None else want.filter(F.col(name) >= low)
+            want = want if high is None else want.filter(F.col(name) <= high)
+        got = sw.read_clustered(spark, path, between)
+        assert same_rows(got, want)
+        assert len(got.inputFiles()) <= most * len(everything.inputFiles()), between
+
+
+def test_clustered_layers_of_odd_rows(spark):
+    rows = [(i % 3 or None, "é" if i % 2 else None, i) for i in range(200)]
+    df = spark.createDataFrame(rows + [(7, "x", 0)] * 300, "a int, s string, _place int")
+    path = f"{fresh(spark)}/layer"
+    sw.write_clustered(df, path, ["a", "s"], files=8)
+    assert same_rows(sw.read_clustered(spark, path), df)
+    hot = sw.read_clustered(spark, path, {"a": (7, 7)})
+    assert hot.count() == 300 and len(hot.inputFiles()) > 1  # one value, several files
+    assert sw.read_clustered(spark, path, {"_place": (0, 0)}).count() == 301
+    sw.write_clustered(df.limit(0), path, ["a", "s"], files=8)
+    assert sw.read_clustered(spark, path).collect() == []
+    assert sw.read_clustered(spark, path, {"a": (1, 2)}).collect() == []
+    with pytest.raises(ValueError, match="no clustered layer"):
+        clustered.read_clustered(spark, f"{path}/nowhere")
+    with pytest.raises(ValueError, match="seven"):
+        clustered.write_clustered(df, path, [], 3)
