@@ -111,11 +111,8 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
         root = spark.conf.get("spark.sql.warehouse.dir")
-        master = spark.sparkContext.master
-        if qualify(spark, root).startswith("file:") and not master.startswith("local"):
-            raise ValueError(
-                f"set spark.checkpoint.dir: {root} is a folder of the driver alone, not of {master}"
-            )
+        if root.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set spark.checkpoint.dir: {root} is a folder of the driver alone")
     return root.rstrip("/")
 
 

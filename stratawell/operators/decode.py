@@ -28,8 +28,8 @@ def decode_json(
     names a column for them: a map from names to VARIANT, NULL where there are none
     (see ``sources.drift``).  With ``raw_col`` the whole payload stays there as it came.
 
-    The payload is parsed twice per row, for its fields and for their names, and
-    again for the rest.  A name that the payload's columns share
+    The payload is parsed once per row, and once more for the rest; the names around
+    it are looked through.  A name that the payload's columns share
     with each other or with columns that stay is refused.
     """
     kept = [c for c in df.columns if c != col]
@@ -67,7 +67,9 @@ def decode_json(
         found.alias("found"),
     )
     # A payload might close the object's first field and open others, so its names are looked at.
-    names = F.map_keys(F.from_json("sealed", "map<string,string>", {"mode": "PERMISSIVE", **options}))
+    names = F.json_object_keys("sealed")
+    if any(option.lower().startswith("allow") for option in options):
+        names = F.map_keys(F.from_json("sealed", "map<string,string>", {"mode": "PERMISSIVE", **options}))
     alone = names == F.array(F.lit("payload"), F.lit("seal"))
     sound = (
         F.col("valid")

@@ -46,6 +46,7 @@ def csv_source(
     schema: T.StructType,
     header: bool = True,
     corrupt_col: str | None = None,
+    whole: bool = False,
     **options,
 ) -> DataFrame:
     """Read delimited files into a typed table.
@@ -54,8 +55,9 @@ def csv_source(
     another order fail instead of being read by position.  With ``corrupt_col``
     the text of a record that differs from the schema (a value of the wrong
     type, too few or too many fields) is kept there beside whatever could be
-    parsed; without it, such a record fails the query, whatever columns it selects,
-    unless ``mode`` is given.  Empty text and NULL both read as NULL.  Files stay splittable
+    parsed; without it, such a record fails the query unless ``mode`` is given.
+    Only the columns that a query selects are looked at, unless ``whole`` is true:
+    then every column is read, and a bad value in any of them counts.  Empty text and NULL both read as NULL.  Files stay splittable
     unless ``multiLine`` is set.
     """
     reader = (
@@ -68,9 +70,7 @@ def csv_source(
     if corrupt_col is not None:
         reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_col)
     rows = _keep_whole_record(reader.csv(path), schema, corrupt_col)
-    if corrupt_col is None and str(options.get("mode", "FAILFAST")).upper() == "FAILFAST":
-        rows = rows.filter(_every_column_read(schema))
-    return rows
+    return rows.filter(_every_column_read(schema)) if whole else rows
 
 
 def file_stream(

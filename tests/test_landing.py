@@ -73,6 +73,12 @@ def test_a_payload_cannot_leave_its_object(spark):
     got = {r["i"]: r for r in sw.decode_json(df, SCHEMA).collect()}
     assert [i for i, r in got.items() if r["_corrupt"] is None] == [0, 6, 7]
     assert got[0]["a"] == 1 and got[6]["a"] == 3
+    loose = spark.createDataFrame([("{'a':1}",), ("{'a':1},'x':2",)], "value string")
+    assert [r["_corrupt"] is None for r in sw.decode_json(loose, SCHEMA).collect()] == [True, False]
+    bare = spark.createDataFrame([("{a:1}",), ("{a:1},x:2",)], "value string")
+    assert [r["_corrupt"] is None for r in sw.decode_json(bare, SCHEMA).collect()] == [False, False]
+    read = sw.decode_json(bare, SCHEMA, allowUnquotedFieldNames="true").collect()
+    assert [r["_corrupt"] is None for r in read] == [True, False]
 
 
 def test_a_bad_record_fails_whatever_is_selected(spark):
@@ -81,7 +87,9 @@ def test_a_bad_record_fails_whatever_is_selected(spark):
     schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType())])
     for wrong in (lambda df: df.select("a").collect(), lambda df: df.count(), lambda df: df.collect()):
         with pytest.raises(Exception, match="(?i)malformed|x"):
-            wrong(sw.csv_source(spark, path, schema))
+            wrong(sw.csv_source(spark, path, schema, whole=True))
+    kept = sw.csv_source(spark, path, schema, whole=True, mode="DROPMALFORMED")
+    assert kept.count() == 1 and kept.select("a").count() == 1
     kept = sw.csv_source(spark, path, schema, mode="DROPMALFORMED")
     assert kept.collect() == [(1, 2)]
 
