@@ -45,6 +45,7 @@ from stratawell.sources.drift import drift_report, widened
 from stratawell.sources.events import ENVELOPE, event_replay, event_stream
 from stratawell.sources.files import csv_source, file_stream, read_layer
 from stratawell.streaming.dedup import dedup_stream, rows_without_time
+from stratawell.streaming.late import ingest_deduplicated, stored_watermark
 from stratawell.streaming.sink import Taken, ingest_incremental, stream_sink
 
 __all__ = [
@@ -84,6 +85,7 @@ __all__ = [
     "filled_series",
     "headline",
     "high_water_mark",
+    "ingest_deduplicated",
     "ingest_incremental",
     "measures",
     "merge_loads",
@@ -104,6 +106,7 @@ __all__ = [
     "snapshot_changes",
     "split_valid",
     "store_snapshot",
+    "stored_watermark",
     "stream_sink",
     "tag_row_rules",
     "tag_valid",

@@ -281,6 +281,12 @@ ORACLES: dict[str, str] = {
         SELECT l_orderkey, l_partkey, l_quantity, l_shipdate FROM lineitem
         WHERE l_partkey BETWEEN 50 AND 90 AND l_shipdate BETWEEN TIMESTAMP '1995-01-01' AND TIMESTAMP '1996-03-31'
     """,
+    "late_rows": """
+        SELECT 'passed' AS outcome, event_id, event_type FROM events
+        UNION ALL SELECT 'late', event_id + 10000000, event_type FROM events
+                  WHERE event_id % 10 = 3 AND event_id < (SELECT max(event_id) // 4 FROM events)
+        UNION ALL SELECT 'untimed', event_id + 20000000, event_type FROM events WHERE event_id % 50 = 7
+    """,
     "upsert_deletes": f"""
         SELECT event_id, ts, user_id, event_type, value, props FROM (
             SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ts DESC) AS r FROM (

@@ -433,6 +433,29 @@ def dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sw.read_layer(spark, f"{work}/layer").select("event_id", "event_type")
 
 
+def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with repeats, and at the end old and untimed ones: these are kept, repeats are not."""
+    events = fx.table(spark, sf_dir, "events")
+    event_id = F.col("event_id")
+    quarter = events.agg(F.max(event_id)).first()[0] // 4
+    old = events.filter((event_id % 10 == 3) & (event_id < quarter))
+    untimed = events.filter(event_id % 50 == 7).withColumn("ts", F.lit(None).cast("timestamp_ntz"))
+    last = old.withColumn("event_id", event_id + 10_000_000).unionByName(
+        untimed.withColumn("event_id", event_id + 20_000_000)
+    )
+    work = workspace(spark)
+    for wave in [*fx.repeat_waves(events), last]:
+        fx.stage_parquet(wave, f"{work}/landing")
+        with _state_partitions(spark):
+            stream = sw.file_stream(
+                spark, f"{work}/landing", "parquet", events.schema, max_bytes=MAX_BYTES
+            )
+            sw.ingest_deduplicated(
+                stream, ["event_id"], "ts", REPEAT_DELAY, f"{work}/layer", f"{work}/checkpoint"
+            )
+    return sw.read_layer(spark, f"{work}/layer").select("outcome", "event_id", "event_type")
+
+
 def read_since(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sw.read_since(fx.table(spark, sf_dir, "events"), "ts", MARK)
 
@@ -684,6 +707,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         validity_split,
         dedup_batch,
         dedup_stream,
+        late_rows,
         read_since,
         new_keys,
         append_new,

@@ -90,11 +90,15 @@ def stream_sink(
 
 
 def ingest_incremental(
-    stream: DataFrame, out: str, checkpoint: str, partition_by: Sequence[str] = ()
+    stream: DataFrame,
+    out: str,
+    checkpoint: str,
+    partition_by: Sequence[str] = (),
+    one_batch: bool = False,
 ) -> Taken:
     """Take the input not taken before, then stop.  Raises if the run failed.
 
-    Returns what the run took.  Spark keeps the progress of the last batches only, so it is gathered
+    With ``one_batch`` all there is makes one batch, whatever limits the source has.  Returns what the run took.  Spark keeps the progress of the last batches only, so it is gathered
     while the run goes on, more often than batches could fall out.
     """
     spark = stream.sparkSession
@@ -112,7 +116,8 @@ def ingest_incremental(
     before = spark.conf.get(_KEPT)
     spark.conf.set(_KEPT, str(max(int(before), _KEPT_BATCHES)))  # read anew after each batch
     try:
-        query = stream_sink(counted, out, checkpoint, partition_by)
+        trigger = {"once": True} if one_batch else None
+        query = stream_sink(counted, out, checkpoint, partition_by, trigger)
         try:
             while not query.awaitTermination(_LOOK_SECONDS):
                 gather()

@@ -1,7 +1,8 @@
 import datetime
-from concurrent.futures import ThreadPoolExecutor
 import glob
 import os
+import random
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -272,3 +273,40 @@ def test_of_two_checkpoints_one_gets_the_output(spark, events):
     with pytest.raises(ValueError, match="already"):
         sw.ingest_incremental(stream, f"{work}/layer", f"{work}/own{failed[0]}")
     assert same_rows(sw.read_layer(spark, f"{work}/layer"), events)
+
+
+def test_passed_repeats_and_late_rows_are_the_input(spark):
+    """Over runs whose rows are repeated, late by more and less than the delay, and without a time."""
+    rng = random.Random(5)
+    work, rows, kept = fresh(spark), [], {}
+    schema = "k int, ts timestamp_ntz, n int"
+    start = datetime.datetime(2024, 1, 1)
+    for run in range(5):
+        some = []
+        for _ in range(40):
+            hours = 24 * run + rng.randrange(-60, 24)
+            time = None if rng.random() < 0.1 else start + datetime.timedelta(hours=max(0, hours))
+            some.append((rng.randrange(60), time, len(rows) + len(some)))
+        rows += some
+        spark.createDataFrame(some, schema).repartition(2).write.mode("append").parquet(f"{work}/landing")
+        stream = sw.file_stream(spark, f"{work}/landing", "parquet", spark.createDataFrame([], schema).schema, max_files=1)
+        before = sw.stored_watermark(spark, f"{work}/checkpoint")
+        taken = sw.ingest_deduplicated(stream, ["k"], "ts", "1 day", f"{work}/layer", f"{work}/checkpoint", salts=1)
+        layer = sw.read_layer(spark, f"{work}/layer").collect()
+        new = {r["n"]: r["outcome"] for r in layer if r["n"] not in kept}
+        assert taken.late == 0 and taken.rows == len(new) and len(layer) == len(kept) + len(new)
+        for k, time, n in some:
+            stamp = None if time is None else time.replace(tzinfo=datetime.timezone.utc).timestamp() * 1000
+            if time is None:
+                assert new[n] == "untimed"
+            elif before is not None and stamp <= before:
+                assert new[n] == "late"
+            else:  # passed, or a repeat of a row that passed
+                passed = [r["k"] for r in layer if r["outcome"] == "passed"]
+                assert new.get(n, "passed") == "passed" and k in passed
+        kept |= new
+    outcomes = set(kept.values())
+    assert outcomes == {"passed", "late", "untimed"} and len(kept) < len(rows)
+    with pytest.raises(ValueError, match="outcome"):
+        named = stream.withColumn("outcome", F.lit(1))
+        sw.ingest_deduplicated(named, ["k"], "ts", "1 day", f"{work}/l", f"{work}/c")
