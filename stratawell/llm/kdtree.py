@@ -100,9 +100,13 @@ def _flat(column: pa.ChunkedArray, n: int) -> np.ndarray:
 
 
 def _exact_type(vectors: np.ndarray, queries: np.ndarray) -> type:
-    """Doubles where no sum can leave the whole numbers they hold, as they multiply faster."""
-    most = [float(np.abs(x).max(initial=0)) for x in (vectors, queries)]
-    return np.float64 if most[0] * most[1] * vectors.shape[1] < 2**53 else np.int64
+    """Doubles where no sum can leave the whole numbers they hold, as they multiply faster.
+
+    Where sums may not fit 64 bits, Python's own numbers.
+    """
+    most = [float(np.abs(x.astype(np.float64)).max(initial=0)) for x in (vectors, queries)]
+    largest = most[0] * most[1] * vectors.shape[1]
+    return np.float64 if largest < 2**53 else np.int64 if largest < 2**62 else object
 
 
 _FOUND = "query_key bigint, query_id bigint, vec_id bigint, vec_key bigint, score bigint"
@@ -126,6 +130,8 @@ def _search(k: int, leaf: int):
             for query, key, one, floor in asked:
                 for score, vec, vec_key in tree.search(query, key, k, floor):
                     rows.append((key, one, vec, vec_key, int(score)))
+        if any(abs(row[4]) >= 1 << 63 for row in rows):
+            raise ValueError("a product that is among the largest does not fit a bigint")
         columns = list(zip(*rows)) if rows else [()] * 5
         names = ["query_key", "query_id", "vec_id", "vec_key", "score"]
         return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(names, columns)})
@@ -156,7 +162,8 @@ def largest_products(
     vectors are as long.  Rows whose vector is NULL, or holds NULL or non-finite components, and
     rows with a NULL id take no part.  Repeated rows are rows of their own: each is a candidate,
     and each query among them gets its own results.  Fewer candidates than k give fewer rows.
-    Products are exact within 64 bits.  Other columns are ignored.
+    Products are exact; one that is among the largest and does not fit a bigint fails the query, as do
+    components beyond one.  Other columns are ignored.
     """
     steps = Steps(vectors.sparkSession)
     rows = vectors.select(
@@ -167,7 +174,10 @@ def largest_products(
     rows = steps.save(
         rows.withColumn("key", F.monotonically_increasing_id()).withColumn("size", F.size("vector"))
     )
-    counts = rows.agg(F.count(F.lit(1)), F.count_if("asks")).first()
+    beyond = F.exists("vector", lambda v: (v >= F.lit((1 << 63) - 1)) | (v <= F.lit(-(1 << 63))))
+    counts = rows.agg(F.count(F.lit(1)), F.count_if("asks"), F.count_if(beyond)).first()
+    if counts[2]:
+        raise ValueError(f"{counts[2]} vectors have components that do not fit a bigint")
     shards = max(1, -(-counts[0] // SHARD))
     blocks = max(1, -(-counts[1] // QUERIES))
     sharded = rows.select(

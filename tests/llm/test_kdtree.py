@@ -59,6 +59,21 @@ def test_hard_rows(spark):
     assert sorted(map(tuple, got.collect())) == brute(rows)
 
 
+def test_products_beyond_64_bits(spark):
+    """Sums that leave 64 bits on the way are exact; results that do, and such components, are refused."""
+    def top(rows):
+        df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+        return sorted(map(tuple, kdtree.largest_products(df, F.col("vec_id") % 100 == 0).collect()))
+
+    a, b = [3e9, 3e9, 1.0], [3e9, -3e9, 2.0]
+    rows = [(0, a), (1, b), (2, [-3e9, 3e9, 3.0]), (3, [1.0, 1.0, 1.0])]
+    assert top(rows) == brute(rows)
+    with pytest.raises(Exception, match="does not fit a bigint"):
+        top([(0, [1e10, 1e10]), (1, [1e10, 1e10])])
+    with pytest.raises(ValueError, match="do not fit a bigint"):
+        top([(0, [1e300]), (1, [1.0])])
+
+
 def test_no_rows(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert kdtree.largest_products(empty, F.col("vec_id") % 100 == 0).collect() == []
