@@ -17,7 +17,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the documents teach; what is too far from all goes.
 
     The centroids are fitted on the documents of ``docs`` that op5 learns from.  NULL texts and
-    texts without letters go.
+    texts without letters go.  How close a text must be depends on its number of words, so short
+    texts of a known language stay.
     """
     held_out = F.coalesce(id_bucket("doc_id", 4) == 2, F.lit(False))
     model = langid.fit(docs.filter(~held_out), "text", "lang", F.xxhash64("doc_id"))

@@ -20,6 +20,7 @@ from stratawell.operators.incremental import (
     high_water_mark,
     new_keys,
     read_since,
+    redeal_partitions,
     upsert,
     upsert_partitions,
 )
@@ -98,6 +99,7 @@ __all__ = [
     "read_silver",
     "read_since",
     "read_snapshot",
+    "redeal_partitions",
     "row_count",
     "rows_without_time",
     "running",

@@ -239,7 +239,7 @@ def upsert_partitions(
     """Upsert into a stored table, writing only the partitions that hold changed keys.
 
     The table is partitioned by a hash of the keys; ``buckets`` is fixed by the
-    first call.  Returns the number of partitions written.  ``deleted`` is as in
+    first call, until :func:`redeal_partitions` changes it.  Returns the number of partitions written.  ``deleted`` is as in
     :func:`upsert`, and not stored.
 
     New files are written beside the old ones, large partitions by several tasks,
@@ -264,3 +264,18 @@ def upsert_partitions(
     versions.commit(spark, path, at, {"column": BUCKET, "buckets": buckets, "parts": parts})
     versions.sweep(spark, path, [path])
     return len(touched)
+
+
+def redeal_partitions(spark: SparkSession, path: str, keys: Sequence[str], buckets: int) -> None:
+    """Deal a stored table, or a history, to another number of partitions, as it has grown or shrunk.
+
+    The whole table is read and written once; it is seen with the old partitions or with the new ones.
+    Later calls that write to it take the new number.
+    """
+    at = versions.version(spark, path)
+    if not at.state:
+        raise ValueError(f"there is no table in {path}")
+    rows = versions.read_parts(spark, path, BUCKET, at.state["parts"])
+    parts = versions.store_parts(path, in_buckets(rows, keys, buckets), BUCKET, [], {})
+    versions.commit(spark, path, at, at.state | {"buckets": buckets, "parts": parts})
+    versions.sweep(spark, path, [path])

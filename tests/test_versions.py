@@ -178,6 +178,18 @@ def test_a_large_bucket_is_written_by_several_tasks(spark, events):
     assert len(sw.read_layer(spark, path).inputFiles()) > 1
 
 
+def test_a_table_is_dealt_to_more_partitions(spark, events):
+    path, newest = f"{fresh(spark)}/table", [F.col("ts").desc()]
+    sw.upsert_partitions(spark, path, events, ["event_id"], newest, 2)
+    sw.redeal_partitions(spark, path, ["event_id"], 5)
+    assert same_rows(sw.read_layer(spark, path), events)
+    changes = fx.revised_events(events)
+    with pytest.raises(ValueError, match="buckets"):
+        sw.upsert_partitions(spark, path, changes, ["event_id"], newest, 2)
+    assert sw.upsert_partitions(spark, path, changes, ["event_id"], newest, 5) == 5
+    assert same_rows(sw.read_layer(spark, path), sw.upsert(events, changes, ["event_id"], newest))
+
+
 # silver
 
 
