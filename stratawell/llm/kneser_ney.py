@@ -1,24 +1,28 @@
-"""Interpolated modified Kneser-Ney language model of word pairs.
+"""Interpolated modified Kneser-Ney language model of words, of any order from 2.
 
 Counts are made in Spark and written as sorted arrays below the shared folder: the hashes of all
-words, whose place is the word's number, and the pairs of numbers, each with its count, dealt over
-shards.  Workers map these files into memory and look n-grams up by binary search, so what a
-worker holds does not grow with the model.
-
-A task counts what it holds before anything is shuffled.  Pairs go to the shard of their first
-word, so its statistics are whole there; a first word that is frequent is dealt over all shards.
+words, whose place is the word's number, and for every length from 2 to the order the contexts and
+n-grams, dealt over shards.  Workers map these files into memory and look n-grams up by binary
+search, so what a worker holds does not grow with the model.
+
+The longest n-grams have their counts, shorter ones the number of different words in front of them.
+A task counts what it holds before anything is shuffled, and what is shuffled are packed columns of
+n-grams, a row for each shard.  N-grams go to the shard of their context, so its statistics are
+whole there; a context whose words are frequent is dealt over several shards, the more the more
+frequent its rarest word is, and its statistics are the sum of theirs.
 """
 
 from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,14 +31,17 @@ from stratawell.llm.common import Steps, partitions
 
 #: Tokens that a task counts at a time.
 BUFFER = 1 << 21
-#: Words and pairs of a shard, about.
+#: Words and n-grams of a shard, about.
 WORDS_OF_SHARD = 1 << 19
 TOKENS_OF_SHARD = 1 << 21
-#: A first word that occurs more often is dealt over all shards.
-FREQUENT = 2000
+#: Words of the longest n-grams.
+ORDER = 3
+MOST_ORDER = 8
 _END = np.uint64(xxhash.xxh64_intdigest(b""))  # no word is empty
-_LOW = np.uint64((1 << 32) - 1)
-_STATS = np.dtype([("total", "<i8"), ("n1", "<i4"), ("n2", "<i4"), ("n3", "<i4"), ("before", "<i8")])
+#: Columns of files: contexts with a single n-gram that occurs once, and its last word; other contexts
+#: with their statistics; the n-grams of these, as place of the context and last word, with their counts.
+_ONCE, _CONTEXTS, _GRAMS = ("<u8", "<u4"), ("<u8", "<u4", "<u4", "<u4", "<u4"), ("<u8", "<u4")
+_32 = np.uint64(32)
 
 
 def local_path(folder: str) -> str:
@@ -63,6 +70,8 @@ def _mapped(path: str, *kinds: np.dtype | str) -> tuple[np.ndarray, ...]:
     kinds = [np.dtype(kind) for kind in kinds]
     if not os.path.exists(path):
         raise FileNotFoundError(f"{path} of the model is not there, or its folder is not mounted here")
+    if not os.path.getsize(path):
+        return tuple(np.empty(0, dtype=kind) for kind in kinds)
     whole = np.memmap(path, dtype=np.uint8, mode="r")
     n, at, columns = len(whole) // sum(kind.itemsize for kind in kinds), 0, []
     for kind in kinds:
@@ -134,6 +143,15 @@ class Words:
             numbers[part] = np.where(at >= 0, at + self.starts[one], -1)
         return numbers, counts
 
+    def counts(self, numbers: np.ndarray) -> np.ndarray:
+        """Counts of some sorted numbers of words."""
+        counts = np.zeros(len(numbers), dtype=np.int64)
+        shard = np.searchsorted(self.starts, numbers, side="right") - 1
+        for one in np.unique(shard):
+            part = slice(*np.searchsorted(shard, [one, one + 1]))
+            counts[part] = _mapped(f"{self.folder}/{one}", "<u8", "<i8")[1][numbers[part] - self.starts[one]]
+        return counts
+
 
 def _count_words(steps: Steps, texts: DataFrame, folder: str) -> tuple[Words, int]:
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,6 +218,174 @@ class Discounts:
         return self.one * n1 + self.two * n2 + self.more * n3
 
 
+def _keys(context: list[np.ndarray]) -> np.ndarray:
+    """Contexts as 64 bits: themselves up to two words, a hash beyond."""
+    keys = context[0].astype(np.uint64)
+    for at, column in enumerate(context[1:], 1):
+        keys = (keys << _32 if at == 1 else _mixed(keys + np.uint64(at)) * np.uint64(0x9E3779B97F4A7C15)) ^ (
+            column.astype(np.uint64)
+        )
+    return keys
+
+
+@dataclass(frozen=True)
+class Deal:
+    """Which shard an n-gram goes to, told by its words and how often the rarest of its context occurs."""
+
+    shards: int
+    limit: int
+
+    def parts(self, rarest: np.ndarray) -> np.ndarray:
+        """Over how many shards a context is dealt."""
+        return np.minimum(rarest // self.limit + 1, self.shards)
+
+    def shard(self, keys: np.ndarray, part: np.ndarray) -> np.ndarray:
+        return ((_mixed(keys + np.uint64(1)) >> _32).astype(np.int64) + part) % self.shards
+
+    def of(self, keys: np.ndarray, last: np.ndarray, rarest: np.ndarray) -> np.ndarray:
+        spread = (_mixed(last.astype(np.uint64) + np.uint64(1)) >> _32).astype(np.int64)
+        return self.shard(keys, spread % self.parts(rarest))
+
+
+def _distinct(columns: list[np.ndarray], weights: np.ndarray | None) -> tuple[list[np.ndarray], np.ndarray]:
+    """Different rows of some columns of 32-bit numbers, and the sum of the weights of each."""
+    place = columns[-1].astype(np.uint64)
+    for column in columns[-2::-1]:
+        _, first, place = np.unique(
+            (column.astype(np.uint64) << _32) | place.astype(np.uint64), return_index=True, return_inverse=True
+        )
+    sums = np.bincount(place, weights).astype(np.int64)
+    return [column[first] for column in columns], sums
+
+
+#: Rows between tasks: packed n-grams for a shard, or, without a block, a figure: how often a word
+#: number is a second word, and under _sizes and _file those of a length and what files there are.
+_ROWS = "shard int, mark bigint, n bigint, block binary"
+
+
+def _sizes(length: int, count: int) -> int:
+    """The mark of how many n-grams of this length have a count of 1 to 4."""
+    return -16 * length - count
+
+
+def _file(length: int, shard: int) -> int:
+    return -1000 - (shard * 16 + length)
+
+
+def _rows(shard, mark, n, block) -> pa.RecordBatch:
+    kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary())
+    columns = [pa.array(x, kind) for x, kind in zip((shard, mark, n, block), kinds)]
+    return pa.RecordBatch.from_arrays(columns, names=["shard", "mark", "n", "block"])
+
+
+def _figures(marks: Iterable[int], n: Iterable[int]) -> pa.RecordBatch:
+    marks = np.asarray(marks, dtype=np.int64)
+    return _rows((marks & 0x7FFFFFFF).astype(np.int32), marks, np.asarray(n, dtype=np.int64), [None] * len(marks))
+
+
+def _packed(columns: list[np.ndarray], n: np.ndarray, shard: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A row for each shard: its n-grams, column by column, and their counts."""
+    order = np.argsort(shard, kind="stable")
+    shard = shard[order]
+    columns = [x[order].astype("<u4") for x in (*columns, n)]
+    at = _runs(shard)
+    for begin in range(0, len(at), 256):
+        some, end = at[begin : begin + 256], np.append(at[begin + 1 :], len(shard))
+        parts = [[x[i:j].tobytes() for x in columns] for i, j in zip(some, end)]
+        blocks = [pa.compress(b"".join(x), codec="zstd", asbytes=True) for x in parts]
+        yield _rows(shard[some].astype(np.int32), np.zeros(len(some), np.int64), end[: len(some)] - some, blocks)
+
+
+def _runs(sorted_values: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.concatenate(([True], sorted_values[1:] != sorted_values[:-1])))
+
+
+def _write_shard(folder: str, shard: int, grams: list[np.ndarray], n: np.ndarray) -> None:
+    """Files of one shard, from its different n-grams and their counts."""
+    if n.max() >= 1 << 32:
+        raise ValueError("an n-gram that occurs more often than 32 bits count")
+    contexts, place = np.unique(_keys(grams[:-1]), return_inverse=True)
+    total, single = np.bincount(place, n), np.bincount(place, n == 1)
+    if total.max() >= 1 << 32:
+        raise ValueError("a context that occurs more often than 32 bits count")
+    once = total == 1
+    lone = once[place]
+    last = np.zeros(len(contexts), dtype="<u4")
+    last[place[lone]] = grams[-1][lone]
+    _write(f"{folder}/once/{shard}", contexts[once], last[once])
+    stats = [total, single, np.bincount(place, n == 2), np.bincount(place, n > 2)]
+    _write(f"{folder}/contexts/{shard}", contexts[~once], *[x[~once].astype("<u4") for x in stats])
+    number = np.cumsum(~once) - 1
+    keys = (number[place[~lone]].astype(np.uint64) << _32) | grams[-1][~lone].astype(np.uint64)
+    order = np.argsort(keys)
+    _write(f"{folder}/grams/{shard}", keys[order], n[~lone][order].astype("<u4"))
+
+
+def _count_grams(texts: DataFrame, words: Words, tokens: int, folder: str, deal: Deal, order: int) -> DataFrame:
+    """Writes the n-grams of all texts; gives figures."""
+    start = words.starts[-1]  # the number of what is before the first word
+
+    def counted(numbers: np.ndarray) -> np.ndarray:
+        known, place = np.unique(numbers, return_inverse=True)
+        real = known < start
+        return np.concatenate((words.counts(known[real]), np.full(np.count_nonzero(~real), tokens)))[place]
+
+    def dealt(grams: list[np.ndarray], n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        rarest = np.minimum.reduce([counted(column) for column in grams[:-1]])
+        return _packed(grams, n, deal.of(_keys(grams[:-1]), grams[-1], rarest))
+
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for buffer in _buffers(batches):
+            hashes, place = np.unique(np.concatenate(buffer), return_inverse=True)
+            numbers = words.numbers(hashes)[0][place]
+            yield from dealt(*_distinct(_columns(numbers, buffer, start, order), None))
+
+    def write(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: dict[int, list[tuple[int, bytes]]] = {}
+            for batch in batches:
+                blocks = batch.column(3)
+                figures = blocks.is_null()
+                if figures.true_count:
+                    yield batch.filter(figures)
+                for row in batch.filter(pc.invert(figures)).to_pylist():
+                    held.setdefault(row["shard"], []).append((row["n"], row["block"]))
+            for shard in list(held):
+                parts = []
+                for n, block in held.pop(shard):
+                    raw = pa.decompress(block, n * 4 * (length + 1), codec="zstd")
+                    parts.append(np.frombuffer(raw, dtype="<u4").reshape(length + 1, n))
+                *columns, n = np.concatenate(parts, axis=1)
+                del parts
+                grams, n = _distinct(columns, n)
+                _write_shard(f"{folder}/{length}", shard, grams, n)
+                kinds = np.bincount(np.minimum(n, 5), minlength=6)[1:5]
+                yield _figures([_sizes(length, i) for i in (1, 2, 3, 4)] + [_file(length, shard)], [*kinds, 1])
+                if length > 2:
+                    yield from dealt(*_distinct(grams[1:], None))
+                else:
+                    yield _figures(*np.unique(grams[1].astype(np.int64), return_counts=True))
+
+        return shards
+
+    rows = texts.mapInArrow(local, _ROWS)
+    for length in range(order, 1, -1):
+        rows = rows.repartition(deal.shards, "shard").mapInArrow(write(length), _ROWS)
+    return rows.select("mark", "n")
+
+
+def _columns(numbers: np.ndarray, texts: list[np.ndarray], start: int, order: int) -> list[np.ndarray]:
+    """The n-gram that ends at each token, of all texts in a row: word by word."""
+    sizes = np.array([len(text) for text in texts])
+    at = np.arange(len(numbers)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    columns = [numbers]
+    for back in range(1, order):
+        before = np.full(len(numbers), start, dtype=np.int64)
+        before[back:] = numbers[:-back]
+        columns.append(np.where(at >= back, before, start))
+    return columns[::-1]
+
+
 @dataclass(frozen=True)
 class Model:
     """Files and totals of a fitted model."""
@@ -207,48 +393,78 @@ class Model:
     folder: str
     words: Words
     tokens: int
-    pair_shards: int
+    order: int
+    deal: Deal
     chunk: int
-    pairs: Discounts
+    #: By length, from 2.
+    discounts: dict[int, Discounts]
     before: Discounts
     pair_kinds: int
     freed_before: float
-    frequent: int
-    #: Shards of pairs that have a file; in the others there are none.
-    pair_files: frozenset[int]
+    #: Lengths and shards that have files; in the others there is nothing.
+    files: frozenset[tuple[int, int]]
 
     @property
     def distinct(self) -> int:
         return self.words.starts[-1]
 
-    def stats(self, numbers: np.ndarray) -> np.ndarray:
-        """Statistics of words by number; of none for -1."""
-        found = np.zeros(len(numbers), dtype=_STATS)
-        chunk = np.where(numbers < 0, -1, numbers // self.chunk)
+    def words_before(self, numbers: np.ndarray) -> np.ndarray:
+        """How many different words are in front of words by number; 0 for -1 and what is before the first."""
+        found = np.zeros(len(numbers), dtype=np.int64)
+        real = (numbers >= 0) & (numbers < self.distinct)
+        chunk = np.where(real, numbers // self.chunk, -1)
         if not self.pair_kinds:
             return found  # of no texts there are no files
         for one in np.unique(chunk[chunk >= 0]):
             at = np.flatnonzero(chunk == one)
-            (known,) = _mapped(f"{self.folder}/stats/{one}", _STATS)
+            (known,) = _mapped(f"{self.folder}/before/{one}", "<i8")
             found[at] = known[numbers[at] - one * self.chunk]
         return found
 
-    def pair_counts(self, first: np.ndarray, second: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-        """How often each pair of numbers occurs."""
-        keys = (first.astype(np.uint64) << np.uint64(32)) | second.astype(np.uint64)
-        shard = _pair_shard(keys, frequent, self.pair_shards)
+    def _by_shard(self, length: int, shard: np.ndarray, keys: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """Of each shard that has files, the places of its keys in order, and its files."""
         order = np.lexsort((keys, shard))
-        keys, shard = keys[order], shard[order]
-        counts = np.zeros(len(keys), dtype=np.int64)
+        sorted_shard = shard[order]
         for one in np.unique(shard):
-            if one not in self.pair_files:
-                continue
-            part = slice(*np.searchsorted(shard, [one, one + 1]))
-            known, n = _mapped(f"{self.folder}/pairs/{one}", "<u8", "<u4")
-            counts[part] = _found(known, n, keys[part])[1]
-        back = np.empty_like(counts)
-        back[order] = counts
-        return back
+            if (length, int(one)) in self.files:
+                at = order[slice(*np.searchsorted(sorted_shard, [one, one + 1]))]
+                folder = f"{self.folder}/{length}"
+                yield (
+                    at,
+                    _mapped(f"{folder}/once/{one}", *_ONCE),
+                    _mapped(f"{folder}/contexts/{one}", *_CONTEXTS),
+                    _mapped(f"{folder}/grams/{one}", *_GRAMS),
+                )
+
+    def context_stats(self, length: int, context: list[np.ndarray], rarest: np.ndarray) -> np.ndarray:
+        """Rows of total, and n-grams with counts of 1, 2 and more, of the contexts of n-grams."""
+        parts = self.deal.parts(rarest)
+        own = np.repeat(np.arange(len(rarest)), parts)
+        part = np.arange(len(own)) - np.repeat(np.cumsum(parts) - parts, parts)
+        keys = _keys(context)[own]
+        found = np.zeros((4, len(rarest)), dtype=np.int64)
+        for at, once, contexts, _ in self._by_shard(length, self.deal.shard(keys, part), keys):
+            place = _found(contexts[0], contexts[1], keys[at])[0]
+            for row, values in zip(found, contexts[1:]):
+                np.add.at(row, own[at[place >= 0]], values[place[place >= 0]])
+            lone = _found(once[0], once[1], keys[at])[0] >= 0
+            for row in found[:2]:
+                np.add.at(row, own[at[lone]], 1)
+        return found
+
+    def counts(self, length: int, grams: list[np.ndarray], rarest: np.ndarray) -> np.ndarray:
+        """How often each n-gram occurs, or, below the order, how many words are in front of it."""
+        keys, last = _keys(grams[:-1]), grams[-1]
+        found = np.zeros(len(last), dtype=np.int64)
+        for at, once, contexts, known in self._by_shard(length, self.deal.of(keys, last, rarest), keys):
+            place, word = _found(once[0], once[1], keys[at])
+            found[at] = (place >= 0) & (word == last[at])
+            place = _found(contexts[0], contexts[1], keys[at])[0]
+            at, place = at[place >= 0], place[place >= 0]
+            sought = (place.astype(np.uint64) << _32) | last[at].astype(np.uint64)
+            order = np.argsort(sought)
+            found[at[order]] = _found(known[0], known[1], sought[order])[1]
+        return found
 
     def delete(self, steps: Steps) -> None:
         """Remove the files."""
@@ -258,110 +474,41 @@ class Model:
         at.getFileSystem(conf).delete(at, True)
 
 
-def _pair_shard(keys: np.ndarray, frequent: np.ndarray, shards: int) -> np.ndarray:
-    by = np.where(frequent, keys, keys >> np.uint64(32))
-    return (_mixed(by + np.uint64(1)) % np.uint64(shards)).astype(np.int64)
-
-
-def _runs(sorted_values: np.ndarray) -> np.ndarray:
-    return np.flatnonzero(np.concatenate(([True], sorted_values[1:] != sorted_values[:-1])))
-
-
-_STAT_ROWS = "number bigint, total bigint, n1 bigint, n2 bigint, n3 bigint, before bigint"
-
-
-#: Shard i is told to have a file under the number _FILES - i.
-_FILES = -10
-
-
-def _pair_stats(shard: int, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-    """Partial statistics of first and second words, and, under -1 to -4, of counts of 1 to 4."""
-    first, second = (keys >> np.uint64(32)).astype(np.int64), (keys & _LOW).astype(np.int64)
-    at = _runs(first)
-    by_first = [np.add.reduceat(x.astype(np.int64), at) for x in (counts, counts == 1, counts == 2, counts > 2)]
-    second, before = np.unique(second, return_counts=True)
-    kinds = np.bincount(np.minimum(counts, 5), minlength=6)[1:5]
-    size, none = len(at), np.zeros(len(second) + 5, dtype=np.int64)
-    columns = [np.concatenate((first[at], second, -1 - np.arange(4), [_FILES - shard]))]
-    columns += [np.concatenate((x, none)) for x in by_first]
-    columns.append(np.concatenate((np.zeros(size, dtype=np.int64), before, kinds, [1])))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(x) for x in columns], names=["number", "total", "n1", "n2", "n3", "before"]
-    )
-
-
-def _count_pairs(texts: DataFrame, words: Words, folder: str, shards: int, limit: int) -> DataFrame:
-    """Writes the pairs of all texts; gives partial statistics."""
-    start = words.starts[-1]  # the number of what is before the first word
-
-    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for buffer in _buffers(batches):
-            hashes, place = np.unique(np.concatenate(buffer), return_inverse=True)
-            numbers, counts = words.numbers(hashes)
-            second = numbers[place]
-            first = np.concatenate(([start], second[:-1]))
-            first[np.cumsum([0, *map(len, buffer[:-1])])] = start
-            keys = (first.astype(np.uint64) << np.uint64(32)) | second.astype(np.uint64)
-            keys, n = np.unique(keys, return_counts=True)
-            often = np.concatenate((numbers[counts > limit], [start]))
-            frequent = np.isin((keys >> np.uint64(32)).astype(np.int64), often)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(_pair_shard(keys, frequent, shards).astype(np.int32)),
-                    pa.array(keys.view(np.int64)),
-                    pa.array(n.astype(np.int32)),
-                ],
-                names=["shard", "pair", "n"],
-            )
-
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole = [[column.to_numpy() for column in batch.columns] for batch in batches]
-        if not whole:
-            return
-        shard, keys, n = (np.concatenate(x) for x in zip(*whole))
-        del whole
-        for one in np.unique(shard):
-            mine = shard == one
-            own = keys[mine].view(np.uint64)
-            order = np.argsort(own)
-            own = own[order]
-            at = _runs(own)
-            counts = np.add.reduceat(n[mine][order].astype(np.int64), at)
-            _write(f"{folder}/{one}", own[at], counts.astype("<u4"))
-            yield _pair_stats(int(one), own[at], counts)
-
-    dealt = texts.mapInArrow(local, "shard int, pair bigint, n int").repartition(shards, "shard")
-    return dealt.mapInArrow(write, _STAT_ROWS)
-
-
-def fit(texts: DataFrame, text_col: str = "text", frequent: int = FREQUENT) -> Model:
+def fit(
+    texts: DataFrame, text_col: str = "text", order: int = ORDER, frequent: int | None = None
+) -> Model:
     """A model of the given texts; a NULL text is an empty one, which is an end alone.
 
-    A pair of words is known by two 32-bit numbers, so there may be 2**32 - 2 different words.
-    Pair counts are exact up to 2**32.  ``frequent`` is how often a word may occur for its pairs to
-    go to one shard; it has no influence on the scores.
+    ``order`` is the number of words of the longest n-grams, from 2 to 8.  What is before the first
+    word of a text is one word, as often as the order needs.  Contexts of three and more words are
+    known by a 64-bit hash.  There may be 2**32 - 2 different words and 2**32 - 1 of an n-gram; more
+    are refused.  ``frequent`` is how often the rarest word of a context may occur for it to go to one
+    shard, by default an eighth of a shard; it has no influence on the scores.  Bytes that are not
+    UTF-8 become replacement characters.
     """
+    if not 2 <= order <= MOST_ORDER:
+        raise ValueError(f"an order from 2 to {MOST_ORDER}")
     spark = texts.sparkSession
     steps = Steps(spark)
     folder = local_path(steps.folder)
-    texts = texts.select(F.col(text_col).alias("text"))
+    texts = texts.select(F.make_valid_utf8(F.col(text_col)).alias("text"))
     words, tokens = _count_words(steps, texts, f"{folder}/words")
     distinct = words.starts[-1]
     if distinct + 1 >= 1 << 32:
         raise ValueError("more different words than 32-bit numbers")
     shards = max(partitions(spark), -(-tokens // TOKENS_OF_SHARD))
-    partial = steps.save(_count_pairs(texts, words, f"{folder}/pairs", shards, frequent))
-    sums = [F.sum(name).alias(name) for name in ("total", "n1", "n2", "n3", "before")]
-    stats = steps.save(partial.groupBy("number").agg(*sums))
+    deal = Deal(shards, max(1, tokens // shards // 8 if frequent is None else frequent))
+    partial = steps.save(_count_grams(texts, words, tokens, folder, deal, order))
+    stats = steps.save(partial.groupBy("mark").agg(F.sum("n").alias("n")))
     steps.drop(partial)
-    # One row for each shard, and four.
-    kinds = {r["number"]: r["before"] for r in stats.filter("number < 0").collect()}
-    files = frozenset(_FILES - number for number in kinds if number <= _FILES)
-    real = stats.filter("number >= 0")
+    # One row for each file, and four for each length.
+    figures = {r["mark"]: r["n"] for r in stats.filter("mark < 0").collect()}
+    files = frozenset(((-1000 - mark) % 16, (-1000 - mark) // 16) for mark in figures if mark <= -1000)
+    real = stats.filter("mark >= 0")
     m = real.agg(
-        F.coalesce(F.sum("before"), F.lit(0)).alias("all"),
-        *[F.count_if(F.col("before") == i).alias(f"m{i}") for i in (1, 2, 3, 4)],
-        F.count_if(F.col("before") > 2).alias("more"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("all"),
+        *[F.count_if(F.col("n") == i).alias(f"m{i}") for i in (1, 2, 3, 4)],
+        F.count_if(F.col("n") > 2).alias("more"),
     ).first()
     chunks = max(partitions(spark), -(-distinct // WORDS_OF_SHARD))
     chunk = -(-(distinct + 1) // chunks)
@@ -369,16 +516,15 @@ def fit(texts: DataFrame, text_col: str = "text", frequent: int = FREQUENT) -> M
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
         if whole is not None:
-            number = whole.column("number").to_numpy()
+            number, n = whole.column("mark").to_numpy(), whole.column("n").to_numpy()
             for one in np.unique(number // chunk):
                 at = np.flatnonzero(number // chunk == one)
-                values = np.zeros(chunk, dtype=_STATS)
-                for name in _STATS.names:
-                    values[name][number[at] - one * chunk] = whole.column(name).to_numpy()[at]
-                _write(f"{folder}/stats/{one}", values)
+                values = np.zeros(chunk, dtype="<i8")
+                values[number[at] - one * chunk] = n[at]
+                _write(f"{folder}/before/{one}", values)
             yield pa.RecordBatch.from_arrays([pa.array([len(number)])], names=["n"])
 
-    dealt = real.repartition(chunks, F.floor(F.col("number") / chunk))
+    dealt = real.repartition(chunks, F.floor(F.col("mark") / chunk))
     dealt.mapInArrow(write, "n bigint").agg(F.sum("n")).collect()
     steps.drop(stats)
     before = Discounts.of(m["m1"], m["m2"], m["m3"], m["m4"])
@@ -386,50 +532,56 @@ def fit(texts: DataFrame, text_col: str = "text", frequent: int = FREQUENT) -> M
         folder,
         words,
         tokens,
-        shards,
+        order,
+        deal,
         chunk,
-        Discounts.of(*(kinds.get(-1 - i, 0) for i in range(4))),
+        {n: Discounts.of(*(figures.get(_sizes(n, i), 0) for i in (1, 2, 3, 4))) for n in range(2, order + 1)},
         before,
         int(m["all"]),
         float(before.freed(m["m1"], m["m2"], m["more"])),
-        frequent,
         files,
     )
 
 
-def _scores(model: Model, texts: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+def _scores(model: Model, texts: list[np.ndarray]) -> list[np.ndarray]:
     """Tokens, known tokens, base and model log10 of each text."""
     sizes = np.array([len(t) for t in texts])
-    begin = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+    begin = np.cumsum(sizes) - sizes
     hashes, place = np.unique(np.concatenate(texts), return_inverse=True)
     numbers, counts = model.words.numbers(hashes)
     # one more word, last: what is before the first
-    numbers, counts = np.append(numbers, model.distinct), np.append(counts, 0)
     start = len(hashes)
-    stats = model.stats(numbers)
+    numbers, often = np.append(numbers, model.distinct), np.append(counts, model.tokens)
     new = 1.0 / (model.distinct + 1)
     if model.pair_kinds:
+        before = model.words_before(numbers)
         shared = model.freed_before / model.pair_kinds * new
-        single = np.maximum(stats["before"] - model.before.taken(stats["before"]), 0) / model.pair_kinds + shared
+        probable = np.maximum(before - model.before.taken(before), 0) / model.pair_kinds + shared
     else:
-        single = np.full(len(numbers), new)
-    total = stats["total"].astype(float)
-    left_over = np.where(
-        total > 0,
-        model.pairs.freed(stats["n1"], stats["n2"], stats["n3"]) / np.where(total > 0, total, 1),
-        1.0,
-    )
-    first = np.concatenate(([start], place[:-1]))
-    first[begin] = start
-    pairs, pair_place = np.unique(first * (start + 1) + place, return_inverse=True)
-    first, second = pairs // (start + 1), pairs % (start + 1)
-    known = np.flatnonzero((numbers[first] >= 0) & (numbers[second] >= 0))
-    frequent = (counts[first] > model.frequent) | (first == start)
-    seen = np.zeros(len(pairs), dtype=np.int64)
-    seen[known] = model.pair_counts(numbers[first[known]], numbers[second[known]], frequent[known])
-    own = np.where(seen > 0, (seen - model.pairs.taken(seen)) / np.maximum(total[first], 1), 0.0)
-    score = np.log10(own + left_over[first] * single[second])[pair_place]
+        probable = np.full(len(numbers), new)
+    columns = _columns(place, texts, start, model.order)
+    # by token: the number of the n-gram that ends there, and of the context before it
+    gram, context = place, np.zeros(len(place), dtype=np.int64)
+    for length in range(2, model.order + 1):
+        first = columns[-length]
+        _, at, wider = np.unique(first << 32 | gram, return_index=True, return_inverse=True)
+        _, at_context, context = np.unique(first << 32 | context, return_index=True, return_inverse=True)
+        words = [numbers[c[at_context]] for c in columns[-length:-1]]
+        rarest = np.minimum.reduce([often[c[at_context]] for c in columns[-length:-1]])
+        known = np.flatnonzero(np.minimum.reduce(words) >= 0)
+        stats = np.zeros((4, len(at_context)), dtype=np.int64)
+        stats[:, known] = model.context_stats(length, [c[known] for c in words], rarest[known])
+        total, discounts = np.maximum(stats[0], 1), model.discounts[length]
+        left_over = np.where(stats[0] > 0, discounts.freed(*stats[1:]) / total, 1.0)
+        of = context[at]
+        words = [numbers[c[at]] for c in columns[-length:]]
+        known = np.flatnonzero((np.minimum.reduce(words) >= 0) & (stats[0][of] > 0))
+        seen = np.zeros(len(at), dtype=np.int64)
+        seen[known] = model.counts(length, [c[known] for c in words], rarest[of[known]])
+        probable = np.maximum(seen - discounts.taken(seen), 0) / total[of] + left_over[of] * probable[gram[at]]
+        gram = wider
     base = np.log10((counts + 1) / (model.tokens + model.distinct + 1))[place]
+    score = np.log10(probable)[gram]
     sums = [np.add.reduceat(x, begin) for x in ((counts[place] > 0).astype(np.int64), base, score)]
     return [sizes, *sums]
 
@@ -438,7 +590,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """(id_col, n_tokens, n_known, train_tokens, base_score, score, perplexity) of each row.
 
     ``base_score`` is by add-one counts, ``score`` by the model, both log10 of the whole text.  A
-    NULL or empty text is the end alone.  A row with a NULL or repeated id is like any other.
+    NULL or empty text is the end alone, and bytes that are not UTF-8 become replacement characters.
+    A row with a NULL or repeated id is like any other.
     """
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -460,7 +613,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = "n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-    found = docs.select(id_col, text_col).mapInArrow(
+    found = docs.select(id_col, F.make_valid_utf8(F.col(text_col))).mapInArrow(
         batches, f"id {kind}, {schema}, perplexity double"
     )
     return found.withColumnRenamed("id", id_col)

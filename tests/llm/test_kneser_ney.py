@@ -26,39 +26,44 @@ def discounts(counts):
     return [0, *(min(max(d, 0), m) for d, m in zip(found, (0.999, 1.999, 2.999)))]
 
 
-def brute(train, texts):
+def brute(train, texts, order=3):
     """(n_tokens, n_known, train_tokens, base, score) of each text."""
-    single, pairs = Counter(), Counter()
+    single = Counter()
+    counts = {length: Counter() for length in range(1, order + 1)}
     for text in train:
         found = tokens(text)
         single.update(found)
-        pairs.update(zip([START, *found], found))
+        padded = [START] * (order - 1) + found
+        counts[order].update(tuple(padded[i : i + order]) for i in range(len(found)))
+    for length in range(order - 1, 0, -1):
+        counts[length] = Counter(gram[1:] for gram in counts[length + 1])
     n, v = sum(single.values()), len(single)
-    before, after = Counter(b for _, b in pairs), defaultdict(list)
-    for (a, _), c in pairs.items():
-        after[a].append(c)
-    d, e = discounts(pairs.values()), discounts(before.values())
-    kinds = len(pairs)
-
-    def p1(w):
-        if not kinds:
-            return 1 / (v + 1)
-        c = before[w]
-        freed = sum(e[min(x, 3)] for x in before.values())
-        return max(c - e[min(c, 3)], 0) / kinds + freed / kinds / (v + 1)
-
-    known = {w: p1(w) for w in [*before, "\n"]}
+    taken = {length: discounts(counts[length].values()) for length in counts}
+    after = {length: defaultdict(list) for length in counts}
+    for length, grams in counts.items():
+        for gram, c in grams.items():
+            after[length][gram[:-1]].append(c)
+    known = {}
+
+    def p(gram):
+        if gram not in known:
+            length = len(gram)
+            low = p(gram[1:]) if length > 1 else 1 / (v + 1)
+            follow = after[length].get(gram[:-1], [])
+            if follow:
+                d, c = taken[length], counts[length][gram]
+                freed = sum(d[min(x, 3)] for x in follow)
+                low = max(c - d[min(c, 3)], 0) / sum(follow) + freed / sum(follow) * low
+            known[gram] = low
+        return known[gram]
+
     out = []
     for text in texts:
         found, base, score = tokens(text), 0.0, 0.0
-        for a, b in zip([START, *found], found):
-            base += math.log10((single[b] + 1) / (n + v + 1))
-            low = known.get(b, known["\n"])
-            total = sum(after[a]) if a in after else 0
-            if total:
-                c = pairs[a, b]
-                low = max(c - d[min(c, 3)], 0) / total + sum(d[min(x, 3)] for x in after[a]) / total * low
-            score += math.log10(low)
+        padded = [START] * (order - 1) + found
+        for i, w in enumerate(found):
+            base += math.log10((single[w] + 1) / (n + v + 1))
+            score += math.log10(p(tuple(padded[i : i + order])))
         out.append((len(found), sum(w in single for w in found), n, base, score))
     return out
 
@@ -83,13 +88,13 @@ def test_query_against_brute_force(spark):
     )
 
 
-@pytest.mark.parametrize("frequent", [0, 3, 10**9])
-def test_hard_rows(spark, frequent):
+@pytest.mark.parametrize(("order", "frequent"), [(2, 1), (3, 1), (3, 3), (3, None), (3, 10**9), (5, 2)])
+def test_hard_rows(spark, order, frequent):
     texts = [r[1] for r in hard_rows()]
     docs = hard_docs(spark)
-    model = kneser_ney.fit(docs, frequent=frequent)
+    model = kneser_ney.fit(docs, order=order, frequent=frequent)
     got = kneser_ney.score(docs, model).collect()
-    want = brute(texts, texts)
+    want = brute(texts, texts, order)
     by = lambda r: (str(r[0]), r[1], r[2])
     pairs = zip(sorted(map(tuple, got), key=by), sorted(((r[0], *w) for r, w in zip(hard_rows(), want)), key=by))
     for g, w in pairs:
@@ -104,10 +109,11 @@ def test_no_rows(spark):
     assert tuple(row)[:4] == (1, 3, 0, 0) and row["score"] == 0 == row["base_score"]
 
 
-def test_probabilities_sum_to_one(spark):
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_probabilities_sum_to_one(spark, order):
     docs = spark.createDataFrame([(0, "a b a c"), (1, "b a"), (2, "a b a b")], "doc_id int, text string")
-    model = kneser_ney.fit(docs)
-    for context in ("", "a", "b", "c", "zzz"):
+    model = kneser_ney.fit(docs, order=order)
+    for context in ("", "a", "b", "c", "zzz", "a b", "b a b", "zzz a"):
         texts = [(i, f"{context} {w}".strip()) for i, w in enumerate(["a", "b", "c", "new"])]
         rows = spark.createDataFrame([*texts, (9, context)], "doc_id int, text string")
         import numpy as np
@@ -138,3 +144,24 @@ def test_files_that_cannot_be_seen_are_an_error(spark):
     words = dataclasses.replace(model.words, folder=f"{model.words.folder}-elsewhere")
     with pytest.raises(Exception, match="not mounted"):
         kneser_ney.score(docs, dataclasses.replace(model, words=words)).collect()
+
+
+def test_longer_ngrams_tell_more(spark):
+    """The third word tells the fourth, so an order of four is surest; what no order allows is refused."""
+    lines = ["a x y b", "c x y d", "a x z d", "c x z b"] * 5
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id int, text string")
+    total = {}
+    for order in (2, 3, 4):
+        rows = kneser_ney.score(docs, kneser_ney.fit(docs, order=order)).collect()
+        total[order] = sum(r["score"] for r in rows)
+    assert total[2] < total[4] and total[3] < total[4]
+    for order in (1, 9):
+        with pytest.raises(ValueError):
+            kneser_ney.fit(docs, order=order)
+
+
+def test_bytes_that_are_not_text(spark):
+    rows = spark.createDataFrame([(1, bytearray(b"a \xff b")), (2, bytearray(b"a \xef\xbf\xbd b"))], "doc_id int, text binary")
+    docs = rows.selectExpr("doc_id", "cast(text as string) text")
+    got = [tuple(r)[1:] for r in kneser_ney.score(docs, kneser_ney.fit(docs)).orderBy("doc_id").collect()]
+    assert got[0] == got[1]
