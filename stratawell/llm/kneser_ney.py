@@ -283,6 +283,22 @@ def _figures(marks: Iterable[int], n: Iterable[int]) -> pa.RecordBatch:
     return _rows((marks & 0x7FFFFFFF).astype(np.int32), marks, np.asarray(n, dtype=np.int64), [None] * len(marks))
 
 
+def _pack(columns: list[np.ndarray]) -> bytes:
+    """Columns of 32-bit numbers, the first in order, byte by byte of their steps, in which they compress."""
+    rows = np.stack(columns)
+    rows[0, 1:] -= rows[0, :-1].copy()
+    planes = rows.view(np.uint8).reshape(*rows.shape, 4).transpose(0, 2, 1)
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpack(block: bytes, columns: int, n: int) -> np.ndarray:
+    raw = pa.decompress(block, n * 4 * columns, codec="zstd")
+    planes = np.frombuffer(raw, dtype=np.uint8).reshape(columns, 4, n)
+    rows = np.ascontiguousarray(planes.transpose(0, 2, 1)).view("<u4").reshape(columns, n)
+    rows[0] = np.cumsum(rows[0], dtype=np.uint32)
+    return rows
+
+
 def _packed(columns: list[np.ndarray], n: np.ndarray, shard: np.ndarray) -> Iterator[pa.RecordBatch]:
     """A row for each shard: its n-grams, column by column, and their counts."""
     order = np.argsort(shard, kind="stable")
@@ -291,8 +307,7 @@ def _packed(columns: list[np.ndarray], n: np.ndarray, shard: np.ndarray) -> Iter
     at = _runs(shard)
     for begin in range(0, len(at), 256):
         some, end = at[begin : begin + 256], np.append(at[begin + 1 :], len(shard))
-        parts = [[x[i:j].tobytes() for x in columns] for i, j in zip(some, end)]
-        blocks = [pa.compress(b"".join(x), codec="zstd", asbytes=True) for x in parts]
+        blocks = [_pack([x[i:j] for x in columns]) for i, j in zip(some, end)]
         yield _rows(shard[some].astype(np.int32), np.zeros(len(some), np.int64), end[: len(some)] - some, blocks)
 
 
@@ -321,7 +336,9 @@ def _write_shard(folder: str, shard: int, grams: list[np.ndarray], n: np.ndarray
     _write(f"{folder}/grams/{shard}", keys[order], n[~lone][order].astype("<u4"))
 
 
-def _count_grams(texts: DataFrame, words: Words, tokens: int, folder: str, deal: Deal, order: int) -> DataFrame:
+def _count_grams(
+    steps: Steps, texts: DataFrame, words: Words, tokens: int, folder: str, deal: Deal, order: int
+) -> DataFrame:
     """Writes the n-grams of all texts; gives figures."""
     start = words.starts[-1]  # the number of what is before the first word
 
@@ -351,10 +368,7 @@ def _count_grams(texts: DataFrame, words: Words, tokens: int, folder: str, deal:
                 for row in batch.filter(pc.invert(figures)).to_pylist():
                     held.setdefault(row["shard"], []).append((row["n"], row["block"]))
             for shard in list(held):
-                parts = []
-                for n, block in held.pop(shard):
-                    raw = pa.decompress(block, n * 4 * (length + 1), codec="zstd")
-                    parts.append(np.frombuffer(raw, dtype="<u4").reshape(length + 1, n))
+                parts = [_unpack(block, length + 1, n) for n, block in held.pop(shard)]
                 *columns, n = np.concatenate(parts, axis=1)
                 del parts
                 grams, n = _distinct(columns, n)
@@ -368,10 +382,13 @@ def _count_grams(texts: DataFrame, words: Words, tokens: int, folder: str, deal:
 
         return shards
 
-    rows = texts.mapInArrow(local, _ROWS)
+    rows, saved = texts.mapInArrow(local, _ROWS), []
     for length in range(order, 1, -1):
-        rows = rows.repartition(deal.shards, "shard").mapInArrow(write(length), _ROWS)
-    return rows.select("mark", "n")
+        # saved, so that the shuffle files of a length are gone before the next
+        rows = steps.save(rows.repartition(deal.shards, "shard").mapInArrow(write(length), _ROWS))
+        steps.drop(*saved)
+        saved = [rows]
+    return rows
 
 
 def _columns(numbers: np.ndarray, texts: list[np.ndarray], start: int, order: int) -> list[np.ndarray]:
@@ -498,7 +515,7 @@ def fit(
         raise ValueError("more different words than 32-bit numbers")
     shards = max(partitions(spark), -(-tokens // TOKENS_OF_SHARD))
     deal = Deal(shards, max(1, tokens // shards // 8 if frequent is None else frequent))
-    partial = steps.save(_count_grams(texts, words, tokens, folder, deal, order))
+    partial = _count_grams(steps, texts, words, tokens, folder, deal, order)
     stats = steps.save(partial.groupBy("mark").agg(F.sum("n").alias("n")))
     steps.drop(partial)
     # One row for each file, and four for each length.
