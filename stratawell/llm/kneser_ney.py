@@ -39,8 +39,12 @@ ORDER = 3
 MOST_ORDER = 8
 _END = np.uint64(xxhash.xxh64_intdigest(b""))  # no word is empty
 #: Columns of files: contexts with a single n-gram that occurs once, and its last word; other contexts
-#: with their statistics; the n-grams of these, as place of the context and last word, with their counts.
-_ONCE, _CONTEXTS, _GRAMS = ("<u8", "<u4"), ("<u8", "<u4", "<u4", "<u4", "<u4"), ("<u8", "<u4")
+#: with their statistics; the n-grams of these, as place of the context and last word: those that occur
+#: once, and the others with their counts.
+_ONCE, _CONTEXTS = ("<u8", "<u4"), ("<u8", "<u4", "<u4", "<u4", "<u4")
+_SINGLE, _MORE = ("<u8",), ("<u8", "<u4")
+#: Tokens that a task scores at a time, or one text.
+SCORED = 1 << 20
 _32 = np.uint64(32)
 
 
@@ -242,9 +246,11 @@ class Deal:
     def shard(self, keys: np.ndarray, part: np.ndarray) -> np.ndarray:
         return ((_mixed(keys + np.uint64(1)) >> _32).astype(np.int64) + part) % self.shards
 
+    def spread(self, last: np.ndarray) -> np.ndarray:
+        return (_mixed(last.astype(np.uint64) + np.uint64(1)) >> _32).astype(np.int64)
+
     def of(self, keys: np.ndarray, last: np.ndarray, rarest: np.ndarray) -> np.ndarray:
-        spread = (_mixed(last.astype(np.uint64) + np.uint64(1)) >> _32).astype(np.int64)
-        return self.shard(keys, spread % self.parts(rarest))
+        return self.shard(keys, self.spread(last) % self.parts(rarest))
 
 
 def _distinct(columns: list[np.ndarray], weights: np.ndarray | None) -> tuple[list[np.ndarray], np.ndarray]:
@@ -333,7 +339,9 @@ def _write_shard(folder: str, shard: int, grams: list[np.ndarray], n: np.ndarray
     number = np.cumsum(~once) - 1
     keys = (number[place[~lone]].astype(np.uint64) << _32) | grams[-1][~lone].astype(np.uint64)
     order = np.argsort(keys)
-    _write(f"{folder}/grams/{shard}", keys[order], n[~lone][order].astype("<u4"))
+    keys, n = keys[order], n[~lone][order]
+    _write(f"{folder}/single/{shard}", keys[n == 1])
+    _write(f"{folder}/more/{shard}", keys[n > 1], n[n > 1].astype("<u4"))
 
 
 def _count_grams(
@@ -438,50 +446,51 @@ class Model:
             found[at] = known[numbers[at] - one * self.chunk]
         return found
 
-    def _by_shard(self, length: int, shard: np.ndarray, keys: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-        """Of each shard that has files, the places of its keys in order, and its files."""
-        order = np.lexsort((keys, shard))
-        sorted_shard = shard[order]
-        for one in np.unique(shard):
-            if (length, int(one)) in self.files:
-                at = order[slice(*np.searchsorted(sorted_shard, [one, one + 1]))]
-                folder = f"{self.folder}/{length}"
-                yield (
-                    at,
-                    _mapped(f"{folder}/once/{one}", *_ONCE),
-                    _mapped(f"{folder}/contexts/{one}", *_CONTEXTS),
-                    _mapped(f"{folder}/grams/{one}", *_GRAMS),
-                )
-
-    def context_stats(self, length: int, context: list[np.ndarray], rarest: np.ndarray) -> np.ndarray:
-        """Rows of total, and n-grams with counts of 1, 2 and more, of the contexts of n-grams."""
-        parts = self.deal.parts(rarest)
+    def look_up(
+        self, length: int, context: list[np.ndarray], rarest: np.ndarray, of: np.ndarray, last: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Statistics of contexts, and counts of n-grams made of one of these (``of``) and a last word.
+
+        Statistics are rows of the total and of n-grams with counts of 1, 2 and more.  Below the
+        order, counts are those of different words in front.
+        """
+        parts, keys = self.deal.parts(rarest), _keys(context)
+        # an entry for each context and shard that it is dealt to
+        begin = np.cumsum(parts) - parts
         own = np.repeat(np.arange(len(rarest)), parts)
-        part = np.arange(len(own)) - np.repeat(np.cumsum(parts) - parts, parts)
-        keys = _keys(context)[own]
-        found = np.zeros((4, len(rarest)), dtype=np.int64)
-        for at, once, contexts, _ in self._by_shard(length, self.deal.shard(keys, part), keys):
-            place = _found(contexts[0], contexts[1], keys[at])[0]
-            for row, values in zip(found, contexts[1:]):
-                np.add.at(row, own[at[place >= 0]], values[place[place >= 0]])
-            lone = _found(once[0], once[1], keys[at])[0] >= 0
-            for row in found[:2]:
-                np.add.at(row, own[at[lone]], 1)
-        return found
-
-    def counts(self, length: int, grams: list[np.ndarray], rarest: np.ndarray) -> np.ndarray:
-        """How often each n-gram occurs, or, below the order, how many words are in front of it."""
-        keys, last = _keys(grams[:-1]), grams[-1]
-        found = np.zeros(len(last), dtype=np.int64)
-        for at, once, contexts, known in self._by_shard(length, self.deal.of(keys, last, rarest), keys):
-            place, word = _found(once[0], once[1], keys[at])
-            found[at] = (place >= 0) & (word == last[at])
-            place = _found(contexts[0], contexts[1], keys[at])[0]
-            at, place = at[place >= 0], place[place >= 0]
-            sought = (place.astype(np.uint64) << _32) | last[at].astype(np.uint64)
-            order = np.argsort(sought)
-            found[at[order]] = _found(known[0], known[1], sought[order])[1]
-        return found
+        shard = self.deal.shard(keys[own], np.arange(len(own)) - begin[own])
+        entry = begin[of] + self.deal.spread(last) % parts[of]
+        order = np.lexsort((keys[own], shard))
+        place, lone = np.full(len(own), -1), np.full(len(own), -1)
+        stats, counts = np.zeros((4, len(own)), dtype=np.int64), np.zeros(len(of), dtype=np.int64)
+        ends = np.searchsorted(shard[order], np.arange(self.deal.shards + 1))
+        gram_order = np.argsort(shard[entry], kind="stable")
+        gram_ends = np.searchsorted(shard[entry][gram_order], np.arange(self.deal.shards + 1))
+        for one in np.unique(shard):
+            if (length, int(one)) not in self.files:
+                continue
+            folder = f"{self.folder}/{length}"
+            at = order[ends[one] : ends[one + 1]]
+            contexts = _mapped(f"{folder}/contexts/{one}", *_CONTEXTS)
+            place[at] = _found(contexts[0], contexts[1], keys[own[at]])[0]
+            for row, values in zip(stats, contexts[1:]):
+                row[at[place[at] >= 0]] = values[place[at[place[at] >= 0]]]
+            at = at[place[at] < 0]
+            hit, word = _found(*_mapped(f"{folder}/once/{one}", *_ONCE), keys[own[at]])
+            at, word = at[hit >= 0], word[hit >= 0]
+            lone[at], stats[0, at], stats[1, at] = word, 1, 1
+            at = gram_order[gram_ends[one] : gram_ends[one + 1]]
+            counts[at] = lone[entry[at]] == last[at]
+            at = at[place[entry[at]] >= 0]
+            sought = (place[entry[at]].astype(np.uint64) << _32) | last[at].astype(np.uint64)
+            by = np.argsort(sought)
+            at, sought = at[by], sought[by]
+            (single,) = _mapped(f"{folder}/single/{one}", *_SINGLE)
+            counts[at] = _found(single, single, sought)[0] >= 0
+            rest = counts[at] == 0
+            at, sought = at[rest], sought[rest]
+            counts[at] = _found(*_mapped(f"{folder}/more/{one}", *_MORE), sought)[1]
+        return np.array([np.add.reduceat(row, begin) for row in stats]) if len(begin) else stats, counts
 
     def delete(self, steps: Steps) -> None:
         """Remove the files."""
@@ -585,16 +594,16 @@ def _scores(model: Model, texts: list[np.ndarray]) -> list[np.ndarray]:
         _, at_context, context = np.unique(first << 32 | context, return_index=True, return_inverse=True)
         words = [numbers[c[at_context]] for c in columns[-length:-1]]
         rarest = np.minimum.reduce([often[c[at_context]] for c in columns[-length:-1]])
-        known = np.flatnonzero(np.minimum.reduce(words) >= 0)
-        stats = np.zeros((4, len(at_context)), dtype=np.int64)
-        stats[:, known] = model.context_stats(length, [c[known] for c in words], rarest[known])
+        # contexts of known words, and their n-grams with a known word
+        real = np.minimum.reduce(words) >= 0
+        of, last = context[at], numbers[place[at]]
+        known = np.flatnonzero(real[of] & (last >= 0))
+        stats, seen = np.zeros((4, len(real)), dtype=np.int64), np.zeros(len(at), dtype=np.int64)
+        stats[:, real], seen[known] = model.look_up(
+            length, [c[real] for c in words], rarest[real], (np.cumsum(real) - 1)[of[known]], last[known]
+        )
         total, discounts = np.maximum(stats[0], 1), model.discounts[length]
         left_over = np.where(stats[0] > 0, discounts.freed(*stats[1:]) / total, 1.0)
-        of = context[at]
-        words = [numbers[c[at]] for c in columns[-length:]]
-        known = np.flatnonzero((np.minimum.reduce(words) >= 0) & (stats[0][of] > 0))
-        seen = np.zeros(len(at), dtype=np.int64)
-        seen[known] = model.counts(length, [c[known] for c in words], rarest[of[known]])
         probable = np.maximum(seen - discounts.taken(seen), 0) / total[of] + left_over[of] * probable[gram[at]]
         gram = wider
     base = np.log10((counts + 1) / (model.tokens + model.distinct + 1))[place]
@@ -611,22 +620,32 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     A row with a NULL or repeated id is like any other.
     """
 
+    names = ["id", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"]
+
+    def scored(held: list[tuple[pa.Array, list[np.ndarray]]]) -> pa.RecordBatch:
+        n, known, base, own = _scores(model, [text for _, texts in held for text in texts])
+        columns = [
+            pa.concat_arrays([ids for ids, _ in held]),
+            pa.array(n.astype(np.int64)),
+            pa.array(known.astype(np.int64)),
+            pa.array(np.full(len(n), model.tokens, dtype=np.int64)),
+            pa.array(base),
+            pa.array(own),
+            pa.array(10 ** (-own / n)),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=names)
+
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in rows:
             if batch.num_rows:
-                n, known, base, own = _scores(model, [token_hashes(t.as_py()) for t in batch.column(1)])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0),
-                        pa.array(n.astype(np.int64)),
-                        pa.array(known.astype(np.int64)),
-                        pa.array(np.full(len(n), model.tokens, dtype=np.int64)),
-                        pa.array(base),
-                        pa.array(own),
-                        pa.array(10 ** (-own / n)),
-                    ],
-                    names=["id", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"],
-                )
+                held.append((batch.column(0), [token_hashes(t.as_py()) for t in batch.column(1)]))
+                size += sum(map(len, held[-1][1]))
+                if size >= SCORED:
+                    yield scored(held)
+                    held, size = [], 0
+        if held:
+            yield scored(held)
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = "n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
