@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 _OFFSET = r"^(.*[0-9][T ][0-9:.]+)\s*(?:Z|z|([+-])([0-9]{1,2}):?([0-9]{2})?)$"
 _NAMED_ZONE = r"[0-9]\s*[A-Za-z][A-Za-z/_]*([+-][0-9:]+)?\s*(\[.*)?$"
+#: Neither of these matches it, and most texts are told by it alone: it never goes back.
+_PLAIN = r"^[0-9]+-[0-9]+-[0-9]+[T ][0-9:.]+$"
 
 
 def wall_time(text: Column, zone: str) -> Column:
@@ -27,8 +29,9 @@ def wall_time(text: Column, zone: str) -> Column:
     east = F.when(part[2] == "-", -minutes).otherwise(minutes)
     utc = part[1].try_cast("timestamp_ntz") - F.make_dt_interval(mins=east)
     there = F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
-    plain = F.when(~text.rlike(_NAMED_ZONE), text.try_cast("timestamp_ntz"))
-    return F.when(part[1] != "", there).otherwise(plain)
+    read = text.try_cast("timestamp_ntz")
+    plain = F.when(~text.rlike(_NAMED_ZONE), read)
+    return F.when(text.rlike(_PLAIN), read).when(part[1] != "", there).otherwise(plain)
 
 
 @dataclass(frozen=True)
@@ -61,10 +64,13 @@ class Field:
                 return wall_time(value, self.zone).alias(self.name)
         return value.try_cast(self.type).alias(self.name)
 
-    def failed(self, raw_type: T.DataType) -> Column:
-        """Whether there is a value, not blank, that does not fit the type."""
+    def there(self, raw_type: T.DataType) -> Column:
+        """Whether there is a value that is not blank."""
         value = self.raw()
-        there = value.isNotNull()
         if isinstance(raw_type, T.StringType):
-            there = F.coalesce(F.trim(value) != "", F.lit(False))
-        return there & self.typed(raw_type).isNull()
+            return F.coalesce(F.trim(value) != "", F.lit(False))
+        return value.isNotNull()
+
+    def failed(self, raw_type: T.DataType) -> Column:
+        """Whether there is a value, not blank, that does not fit the type."""
+        return self.there(raw_type) & self.typed(raw_type).isNull()

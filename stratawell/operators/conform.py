@@ -17,12 +17,20 @@ def conform(df: DataFrame, mapping: Sequence[Field]) -> DataFrame:
     return df.select(*[f.typed(raw_types[f.name].dataType) for f in mapping])
 
 
+def names_where(flags: Sequence[tuple[str, Column]]) -> Column:
+    """The names whose flag, which is never NULL, is true.
+
+    By functions that Spark compiles: one with a lambda, such as ``array_compact``, has all columns of
+    its projection interpreted.
+    """
+    if not flags:
+        return F.array()
+    return F.concat(*[F.array_repeat(F.lit(name), flag.cast("int")) for name, flag in flags])
+
+
 def broken_rules(rules: Mapping[str, Column]) -> Column:
     """Names of the rules a row breaks; a rule that is NULL counts as broken."""
-    broken = [
-        F.when(~F.coalesce(rule, F.lit(False)), F.lit(name)) for name, rule in rules.items()
-    ]
-    return F.array_compact(F.array(*broken))
+    return names_where([(name, ~F.coalesce(rule, F.lit(False))) for name, rule in rules.items()])
 
 
 def tag_valid(df: DataFrame, rules: Mapping[str, Column], col: str = "reasons") -> DataFrame:

@@ -3,6 +3,7 @@
 import datetime
 import itertools
 import random
+import re
 from types import SimpleNamespace
 
 import pytest
@@ -10,8 +11,8 @@ from pyspark.sql import functions as F
 
 import stratawell as sw
 from stratawell.checks import fixtures as fx
-from stratawell.functions import storage, versions
-from stratawell.plans import history, panels, snapshots
+from stratawell.functions import cleaning, storage, versions
+from stratawell.plans import history, panels, silver, snapshots
 from tests.helpers import fresh, plan_of, same_rows
 
 DATA = "/root/testdata/sf0.001"
@@ -553,3 +554,59 @@ def test_snapshot_that_dies_changes_nothing(spark, orders, monkeypatch):
     assert same_rows(sw.read_snapshot(spark, path, 1), orders)
     number = sw.store_snapshot(orders.filter("o_orderkey > 50"), ["o_orderkey"], path, buckets=8)
     assert snapshots.read_snapshot(spark, path, number).count() == orders.filter("o_orderkey > 50").count()
+
+
+def test_a_record_is_judged_by_compiled_code_and_its_fields_are_parsed_once(spark):
+    rows = spark.range(5).select(F.col("id").cast("string").alias("event_id"), F.lit("1").alias("value"))
+    rows = rows.withColumn("at", F.concat(F.lit("2024-01-01 00:00:0"), "event_id"))
+    rows.write.parquet(out := f"{fresh(spark)}/raw")
+    mapping = [sw.Field("event_id", "bigint"), sw.Field("value", "double"), sw.Field("at", "timestamp_ntz")]
+    of = sw.SilverRules(mapping, {"at": F.col("at").isNotNull()}, ["event_id"], ["value"])
+    plan = plan_of(silver._tagged(spark.read.parquet(out), of))
+    assert "lambda" not in plan
+    assert plan.count("convert_timezone") == 1
+
+
+def test_rows_of_other_loads_are_stored_judged_before_they_are_read_on(spark, monkeypatch):
+    work = fresh(spark)
+    rows = spark.range(20).select("id", F.col("id").cast("string").alias("value"))
+    rules = sw.SilverRules(
+        [sw.Field("id", "bigint"), sw.Field("value", "double")],
+        {"value": F.col("value").isNotNull()},
+        ["id"],
+        [F.col("value").desc()],
+    )
+    bad = rows.withColumn("value", F.when(F.col("id") == 3, "x").otherwise(F.col("value")))
+    for load, some in ((0, bad), (1, rows.filter("id < 9").withColumn("value", F.lit("100")))):
+        sw.bronze_append(some, f"{work}/bronze", load)
+    sw.silver_update(sw.read_layer(spark, f"{work}/bronze"), rules, f"{work}/silver", "load_no", buckets=2)
+    sw.bronze_append(rows.filter("id < 2"), f"{work}/bronze", 1)
+    seen, commit = [], versions.commit
+
+    def spied(*args):
+        (run,) = storage.entries(spark, f"{work}/silver/again")
+        seen.extend(storage.entries(spark, f"{work}/silver/again/{run}"))
+        return commit(*args)
+
+    monkeypatch.setattr(versions, "commit", spied)
+    bronze = sw.read_layer(spark, f"{work}/bronze")
+    sw.silver_update(bronze, rules, f"{work}/silver", "load_no", buckets=2)
+    assert {name for name in seen if "=" in name} == {
+        "outcome__part=accepted",
+        "outcome__part=quarantined",
+    }
+    assert storage.entries(spark, f"{work}/silver/again") == []
+    kept = sw.read_silver(bronze, rules, f"{work}/silver")
+    assert {(r.id, r.value) for r in kept.accepted.collect()} == {(i, float(i)) for i in range(20) if i != 3}
+    assert kept.quarantined.count() == 1
+
+
+@pytest.mark.parametrize("text", ["2024-01-01 00:00:11.5", "2024-01-01T00:00", "2024-1-1 1:2:3\n", "24-1-1T9"])
+def test_a_plain_time_has_no_offset_and_no_zone(text):
+    assert re.search(cleaning._PLAIN, text)
+    assert not re.search(cleaning._OFFSET, text) and not re.search(cleaning._NAMED_ZONE, text)
+
+
+@pytest.mark.parametrize("text", ["2024-01-01 00:00:11+05:00", "2024-01-01T00:00Z", "2024-01-01 1:2 UTC", "2024-01-01"])
+def test_other_times_are_read_with_care(text):
+    assert not re.search(cleaning._PLAIN, text)
