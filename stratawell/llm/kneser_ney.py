@@ -257,9 +257,13 @@ def _distinct(columns: list[np.ndarray], weights: np.ndarray | None) -> tuple[li
     """Different rows of some columns of 32-bit numbers, and the sum of the weights of each."""
     place = columns[-1].astype(np.uint64)
     for column in columns[-2::-1]:
-        _, first, place = np.unique(
-            (column.astype(np.uint64) << _32) | place.astype(np.uint64), return_index=True, return_inverse=True
-        )
+        # in place, and let go before the next: a task holds few arrays of this length at a time
+        rows = column.astype(np.uint64)
+        rows <<= _32
+        rows |= place.view(np.uint64)
+        del place
+        _, first, place = np.unique(rows, return_index=True, return_inverse=True)
+        del rows
     sums = np.bincount(place, weights).astype(np.int64)
     return [column[first] for column in columns], sums
 
@@ -361,9 +365,7 @@ def _count_grams(
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for buffer in _buffers(batches):
-            hashes, place = np.unique(np.concatenate(buffer), return_inverse=True)
-            numbers = words.numbers(hashes)[0][place]
-            yield from dealt(*_distinct(_columns(numbers, buffer, start, order), None))
+            yield from dealt(*_distinct(_grams(words, buffer, order), None))
 
     def write(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
         def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -402,15 +404,25 @@ def _count_grams(
 def _columns(numbers: np.ndarray, texts: list[np.ndarray], start: int, order: int) -> list[np.ndarray]:
     """The n-gram that ends at each token, of all texts in a row: word by word."""
     sizes = np.array([len(text) for text in texts])
-    at = np.arange(len(numbers)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    at = np.arange(len(numbers))
+    at -= np.repeat(np.cumsum(sizes) - sizes, sizes)
     columns = [numbers]
     for back in range(1, order):
-        before = np.full(len(numbers), start, dtype=np.int64)
+        before = np.full(len(numbers), start, dtype=numbers.dtype)
         before[back:] = numbers[:-back]
-        columns.append(np.where(at >= back, before, start))
+        before[at < back] = start
+        columns.append(before)
     return columns[::-1]
 
 
+def _grams(words: Words, buffer: list[np.ndarray], order: int) -> list[np.ndarray]:
+    """The n-grams of some training texts as columns of 32-bit numbers."""
+    hashes, place = np.unique(np.concatenate(buffer), return_inverse=True)
+    numbers = words.numbers(hashes)[0].astype("<u4")[place]
+    del hashes, place
+    return _columns(numbers, buffer, words.starts[-1], order)
+
+
 @dataclass(frozen=True)
 class Model:
     """Files and totals of a fitted model."""

@@ -1,7 +1,10 @@
 import math
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
+import numpy as np
 import pytest
 
 from stratawell.llm import kneser_ney, queries
@@ -165,3 +168,18 @@ def test_bytes_that_are_not_text(spark):
     docs = rows.selectExpr("doc_id", "cast(text as string) text")
     got = [tuple(r)[1:] for r in kneser_ney.score(docs, kneser_ney.fit(docs)).orderBy("doc_id").collect()]
     assert got[0] == got[1]
+
+
+def test_counting_n_grams_holds_few_arrays_at_a_time():
+    n = 1 << 18
+    hashes = kneser_ney._mixed(np.arange(n, dtype=np.uint64) % np.uint64(5000) + np.uint64(1))
+    known = np.unique(hashes)
+    words = SimpleNamespace(starts=(0, len(known)), numbers=lambda sought: (np.searchsorted(known, sought), None))
+    tracemalloc.start()
+    try:
+        grams, counts = kneser_ney._distinct(kneser_ney._grams(words, [hashes[:7], hashes[7:]], 3), None)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert counts.sum() == n and {column.dtype for column in grams} == {np.dtype("<u4")}
+    assert peak < 85 * n  # 90 with columns of 64 bits and arrays kept beside their copies
