@@ -38,11 +38,15 @@ TOKENS_OF_SHARD = 1 << 21
 ORDER = 3
 MOST_ORDER = 8
 _END = np.uint64(xxhash.xxh64_intdigest(b""))  # no word is empty
-#: Columns of files: contexts with a single n-gram that occurs once, and its last word; other contexts
-#: with their statistics; the n-grams of these, as place of the context and last word: those that occur
-#: once, and the others with their counts.
-_ONCE, _CONTEXTS = ("<u8", "<u4"), ("<u8", "<u4", "<u4", "<u4", "<u4")
-_SINGLE, _MORE = ("<u8",), ("<u8", "<u4")
+#: Columns of a shard's file, the widest first, so that all are aligned: contexts with a single n-gram
+#: that occurs once; other contexts; the n-grams of these, as place of the context and last word, those
+#: that occur once and the others.  The last word after the first contexts.  Places of the contexts that
+#: occur too often for a byte, with their statistics, and of such n-grams, with their counts.  In a byte
+#: each, the statistics of all contexts but the first, and the counts of n-grams that occur more than once.
+_SHARD = ("<u8",) * 4 + ("<u4",) * 8 + ("u1",) * 5
+_WORDS = ("<u8", "<i8")
+#: What a byte says where the figure is kept apart.
+_WIDE = 255
 #: Tokens that a task scores at a time, or one text.
 SCORED = 1 << 20
 _32 = np.uint64(32)
@@ -59,11 +63,11 @@ def local_path(folder: str) -> str:
 
 
 def _write(path: str, *columns: np.ndarray) -> None:
-    """One after another; the file appears whole, and the same if a task runs again."""
+    """Their lengths, then one after another; the file appears whole, and the same if a task runs again."""
     os.makedirs(os.path.dirname(path), exist_ok=True)
     part = f"{path}.{uuid.uuid4().hex}"
     with open(part, "wb") as out:
-        for column in columns:
+        for column in (np.array([len(column) for column in columns], dtype="<u8"), *columns):
             out.write(np.ascontiguousarray(column).tobytes())
     os.replace(part, path)
 
@@ -71,14 +75,11 @@ def _write(path: str, *columns: np.ndarray) -> None:
 @lru_cache(maxsize=700)
 def _mapped(path: str, *kinds: np.dtype | str) -> tuple[np.ndarray, ...]:
     """Columns of these types in a file, mapped into memory."""
-    kinds = [np.dtype(kind) for kind in kinds]
     if not os.path.exists(path):
         raise FileNotFoundError(f"{path} of the model is not there, or its folder is not mounted here")
-    if not os.path.getsize(path):
-        return tuple(np.empty(0, dtype=kind) for kind in kinds)
-    whole = np.memmap(path, dtype=np.uint8, mode="r")
-    n, at, columns = len(whole) // sum(kind.itemsize for kind in kinds), 0, []
-    for kind in kinds:
+    whole = np.memmap(path, dtype=np.uint8, mode="r").view(np.ndarray)
+    at, columns = 8 * len(kinds), []
+    for kind, n in zip(map(np.dtype, kinds), whole[:at].view("<u8").tolist()):
         columns.append(whole[at : at + n * kind.itemsize].view(kind))
         at += n * kind.itemsize
     return tuple(columns)
@@ -142,7 +143,7 @@ class Words:
             if self.starts[one] == self.starts[one + 1]:
                 continue  # no word fell in this shard, so it has no file
             part = slice(*np.searchsorted(shard, [one, one + 1]))
-            known, n = _mapped(f"{self.folder}/{one}", "<u8", "<i8")
+            known, n = _mapped(f"{self.folder}/{one}", *_WORDS)
             at, counts[part] = _found(known, n, hashes[part])
             numbers[part] = np.where(at >= 0, at + self.starts[one], -1)
         return numbers, counts
@@ -153,7 +154,7 @@ class Words:
         shard = np.searchsorted(self.starts, numbers, side="right") - 1
         for one in np.unique(shard):
             part = slice(*np.searchsorted(shard, [one, one + 1]))
-            counts[part] = _mapped(f"{self.folder}/{one}", "<u8", "<i8")[1][numbers[part] - self.starts[one]]
+            counts[part] = _mapped(f"{self.folder}/{one}", *_WORDS)[1][numbers[part] - self.starts[one]]
         return counts
 
 
@@ -191,10 +192,11 @@ def _count_words(steps: Steps, texts: DataFrame, folder: str) -> tuple[Words, in
 
     shard = (F.call_function("shiftrightunsigned", F.col("hash"), F.lit(40)) * shards) / (1 << 24)
     dealt = counts.repartition(shards, F.floor(shard))
-    sizes = dealt.mapInArrow(write, "shard bigint, n bigint").collect()  # one row for each shard
-    of = {row["shard"]: row["n"] for row in sizes}
+    # saved, so that the shuffle files are gone before the next step; one row for each shard
+    sizes = steps.save(dealt.mapInArrow(write, "shard bigint, n bigint"))
+    of = {row["shard"]: row["n"] for row in sizes.collect()}
     starts = np.concatenate(([0], np.cumsum([of.get(i, 0) for i in range(shards)])))
-    steps.drop(counts)
+    steps.drop(counts, sizes)
     return Words(folder, shards, tuple(int(x) for x in starts)), int(tokens)
 
 
@@ -253,6 +255,19 @@ class Deal:
         return self.shard(keys, self.spread(last) % self.parts(rarest))
 
 
+def _ranked(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each different value, in their order, and which of them each value is."""
+    order = np.argsort(values)  # not stable, which np.unique would make it to give first places
+    ordered = values[order]
+    new = np.concatenate(([True], ordered[1:] != ordered[:-1]))
+    del ordered
+    number = np.cumsum(new)
+    number -= 1
+    rank = np.empty(len(values), dtype=np.int64)
+    rank[order] = number
+    return order[new], rank
+
+
 def _distinct(columns: list[np.ndarray], weights: np.ndarray | None) -> tuple[list[np.ndarray], np.ndarray]:
     """Different rows of some columns of 32-bit numbers, and the sum of the weights of each."""
     place = columns[-1].astype(np.uint64)
@@ -262,10 +277,10 @@ def _distinct(columns: list[np.ndarray], weights: np.ndarray | None) -> tuple[li
         rows <<= _32
         rows |= place.view(np.uint64)
         del place
-        _, first, place = np.unique(rows, return_index=True, return_inverse=True)
+        at, place = _ranked(rows)
         del rows
     sums = np.bincount(place, weights).astype(np.int64)
-    return [column[first] for column in columns], sums
+    return [column[at] for column in columns], sums
 
 
 #: Rows between tasks: packed n-grams for a shard, or, without a block, a figure: how often a word
@@ -325,8 +340,14 @@ def _runs(sorted_values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate(([True], sorted_values[1:] != sorted_values[:-1])))
 
 
-def _write_shard(folder: str, shard: int, grams: list[np.ndarray], n: np.ndarray) -> None:
-    """Files of one shard, from its different n-grams and their counts."""
+def _narrow(*rows: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Rows of figures, the largest first, in a byte each; and places and figures of those kept apart."""
+    wide = np.flatnonzero(rows[0] >= _WIDE)
+    return [np.minimum(x, _WIDE).astype("u1") for x in rows], [x.astype("<u4") for x in (wide, *(x[wide] for x in rows))]
+
+
+def _write_shard(path: str, grams: list[np.ndarray], n: np.ndarray) -> None:
+    """The file of one shard, from its different n-grams and their counts."""
     if n.max() >= 1 << 32:
         raise ValueError("an n-gram that occurs more often than 32 bits count")
     contexts, place = np.unique(_keys(grams[:-1]), return_inverse=True)
@@ -337,15 +358,15 @@ def _write_shard(folder: str, shard: int, grams: list[np.ndarray], n: np.ndarray
     lone = once[place]
     last = np.zeros(len(contexts), dtype="<u4")
     last[place[lone]] = grams[-1][lone]
-    _write(f"{folder}/once/{shard}", contexts[once], last[once])
     stats = [total, single, np.bincount(place, n == 2), np.bincount(place, n > 2)]
-    _write(f"{folder}/contexts/{shard}", contexts[~once], *[x[~once].astype("<u4") for x in stats])
+    stats, wide = _narrow(*[x[~once] for x in stats])
     number = np.cumsum(~once) - 1
     keys = (number[place[~lone]].astype(np.uint64) << _32) | grams[-1][~lone].astype(np.uint64)
     order = np.argsort(keys)
     keys, n = keys[order], n[~lone][order]
-    _write(f"{folder}/single/{shard}", keys[n == 1])
-    _write(f"{folder}/more/{shard}", keys[n > 1], n[n > 1].astype("<u4"))
+    more, most = _narrow(n[n > 1])
+    sorted_keys = (contexts[once], contexts[~once], keys[n == 1], keys[n > 1])
+    _write(path, *sorted_keys, last[once], *wide, *most, *stats, *more)
 
 
 def _count_grams(
@@ -382,7 +403,7 @@ def _count_grams(
                 *columns, n = np.concatenate(parts, axis=1)
                 del parts
                 grams, n = _distinct(columns, n)
-                _write_shard(f"{folder}/{length}", shard, grams, n)
+                _write_shard(f"{folder}/{length}/{shard}", grams, n)
                 kinds = np.bincount(np.minimum(n, 5), minlength=6)[1:5]
                 yield _figures([_sizes(length, i) for i in (1, 2, 3, 4)] + [_file(length, shard)], [*kinds, 1])
                 if length > 2:
@@ -454,7 +475,7 @@ class Model:
             return found  # of no texts there are no files
         for one in np.unique(chunk[chunk >= 0]):
             at = np.flatnonzero(chunk == one)
-            (known,) = _mapped(f"{self.folder}/before/{one}", "<i8")
+            (known,) = _mapped(f"{self.folder}/before/{one}", "<u4")
             found[at] = known[numbers[at] - one * self.chunk]
         return found
 
@@ -467,42 +488,64 @@ class Model:
         order, counts are those of different words in front.
         """
         parts, keys = self.deal.parts(rarest), _keys(context)
-        # an entry for each context and shard that it is dealt to
+        # an entry for each context and shard that it is dealt to, in the order of shards and keys
         begin = np.cumsum(parts) - parts
         own = np.repeat(np.arange(len(rarest)), parts)
-        shard = self.deal.shard(keys[own], np.arange(len(own)) - begin[own])
-        entry = begin[of] + self.deal.spread(last) % parts[of]
-        order = np.lexsort((keys[own], shard))
-        place, lone = np.full(len(own), -1), np.full(len(own), -1)
-        stats, counts = np.zeros((4, len(own)), dtype=np.int64), np.zeros(len(of), dtype=np.int64)
-        ends = np.searchsorted(shard[order], np.arange(self.deal.shards + 1))
-        gram_order = np.argsort(shard[entry], kind="stable")
-        gram_ends = np.searchsorted(shard[entry][gram_order], np.arange(self.deal.shards + 1))
-        for one in np.unique(shard):
-            if (length, int(one)) not in self.files:
+        keys = keys[own]
+        shard = self.deal.shard(keys, np.arange(len(own)) - begin[own])
+        order = np.argsort(keys)
+        small = np.min_scalar_type(self.deal.shards)  # 16 bits are put in order without comparisons
+        order = order[np.argsort(shard[order].astype(small), kind="stable")]
+        keys, shard = keys[order], shard[order]
+        number = np.empty(len(own), dtype=np.int64)
+        number[order] = np.arange(len(own))
+        del own, order
+        # n-grams in the order of entries and last words, which is that of their keys in a file
+        entry = number[begin[of] + self.deal.spread(last) % parts[of]]
+        del parts
+        grams = (entry.astype(np.uint64) << _32) | last.astype(np.uint64)
+        by = np.argsort(grams)
+        entry, last = entry[by], grams[by] & np.uint64(0xFFFFFFFF)
+        del grams
+        place, lone = np.full(len(keys), -1), np.full(len(keys), -1)
+        stats, found = np.zeros((4, len(keys)), dtype=np.int64), np.zeros(len(of), dtype=np.int64)
+        starts = _runs(shard) if len(shard) else []
+        ends = np.append(starts[1:], len(shard))
+        gram_starts, gram_ends = np.searchsorted(entry, starts), np.searchsorted(entry, ends)
+        for begins, end, first, after in zip(starts, ends, gram_starts, gram_ends):
+            one = int(shard[begins])
+            if (length, one) not in self.files:
                 continue
-            folder = f"{self.folder}/{length}"
-            at = order[ends[one] : ends[one + 1]]
-            contexts = _mapped(f"{folder}/contexts/{one}", *_CONTEXTS)
-            place[at] = _found(contexts[0], contexts[1], keys[own[at]])[0]
-            for row, values in zip(stats, contexts[1:]):
-                row[at[place[at] >= 0]] = values[place[at[place[at] >= 0]]]
-            at = at[place[at] < 0]
-            hit, word = _found(*_mapped(f"{folder}/once/{one}", *_ONCE), keys[own[at]])
-            at, word = at[hit >= 0], word[hit >= 0]
-            lone[at], stats[0, at], stats[1, at] = word, 1, 1
-            at = gram_order[gram_ends[one] : gram_ends[one + 1]]
-            counts[at] = lone[entry[at]] == last[at]
-            at = at[place[entry[at]] >= 0]
-            sought = (place[entry[at]].astype(np.uint64) << _32) | last[at].astype(np.uint64)
-            by = np.argsort(sought)
-            at, sought = at[by], sought[by]
-            (single,) = _mapped(f"{folder}/single/{one}", *_SINGLE)
-            counts[at] = _found(single, single, sought)[0] >= 0
-            rest = counts[at] == 0
-            at, sought = at[rest], sought[rest]
-            counts[at] = _found(*_mapped(f"{folder}/more/{one}", *_MORE), sought)[1]
-        return np.array([np.add.reduceat(row, begin) for row in stats]) if len(begin) else stats, counts
+            columns = _mapped(f"{self.folder}/{length}/{one}", *_SHARD)
+            once, contexts, single, more = columns[:4]
+            words, wide, most, narrow, few = columns[4], columns[5:10], columns[10:12], columns[12:16], columns[16]
+            at = _found(contexts, contexts, keys[begins:end])[0]
+            place[begins:end] = at
+            known, unknown = begins + np.flatnonzero(at >= 0), begins + np.flatnonzero(at < 0)
+            at = place[known]
+            for row, values in zip(stats, narrow):
+                row[known] = values[at]
+            known = known[stats[0, known] == _WIDE]
+            apart = np.searchsorted(wide[0], place[known])
+            for row, values in zip(stats, wide[1:]):
+                row[known] = values[apart]
+            hit, word = _found(once, words, keys[unknown])
+            known, word = unknown[hit >= 0], word[hit >= 0]
+            lone[known], stats[0, known], stats[1, known] = word, 1, 1
+            own, ending, counts = entry[first:after], last[first:after], found[first:after]
+            counts[:] = lone[own] == ending.view(np.int64)
+            own = place[own]
+            at = np.flatnonzero(own >= 0)
+            sought = (own[at].astype(np.uint64) << _32) | ending[at]
+            hit = _found(single, single, sought)[0] >= 0
+            counts[at[hit]] = 1
+            at, sought = at[~hit], sought[~hit]
+            hit, counts[at] = _found(more, few, sought)
+            apart = counts[at] == _WIDE
+            counts[at[apart]] = most[1][np.searchsorted(most[0], hit[apart])]
+        counts = np.empty_like(found)
+        counts[by] = found
+        return np.array([np.add.reduceat(row[number], begin) for row in stats]) if len(begin) else stats, counts
 
     def delete(self, steps: Steps) -> None:
         """Remove the files."""
@@ -557,14 +600,13 @@ def fit(
             number, n = whole.column("mark").to_numpy(), whole.column("n").to_numpy()
             for one in np.unique(number // chunk):
                 at = np.flatnonzero(number // chunk == one)
-                values = np.zeros(chunk, dtype="<i8")
+                values = np.zeros(chunk, dtype="<u4")  # at most as many as there are words, and the start
                 values[number[at] - one * chunk] = n[at]
                 _write(f"{folder}/before/{one}", values)
             yield pa.RecordBatch.from_arrays([pa.array([len(number)])], names=["n"])
 
     dealt = real.repartition(chunks, F.floor(F.col("mark") / chunk))
-    dealt.mapInArrow(write, "n bigint").agg(F.sum("n")).collect()
-    steps.drop(stats)
+    steps.drop(steps.save(dealt.mapInArrow(write, "n bigint")), stats)
     before = Discounts.of(m["m1"], m["m2"], m["m3"], m["m4"])
     return Model(
         folder,
@@ -589,6 +631,7 @@ def _scores(model: Model, texts: list[np.ndarray]) -> list[np.ndarray]:
     numbers, counts = model.words.numbers(hashes)
     # one more word, last: what is before the first
     start = len(hashes)
+    del hashes
     numbers, often = np.append(numbers, model.distinct), np.append(counts, model.tokens)
     new = 1.0 / (model.distinct + 1)
     if model.pair_kinds:
@@ -597,26 +640,33 @@ def _scores(model: Model, texts: list[np.ndarray]) -> list[np.ndarray]:
         probable = np.maximum(before - model.before.taken(before), 0) / model.pair_kinds + shared
     else:
         probable = np.full(len(numbers), new)
-    columns = _columns(place, texts, start, model.order)
-    # by token: the number of the n-gram that ends there, and of the context before it
-    gram, context = place, np.zeros(len(place), dtype=np.int64)
+    # by token, the number of the n-gram that ends there; by number, its words, and last those of
+    # what is before the first, which are the contexts of n-grams that are longer by a word
+    gram, held = place, [np.arange(start + 1)]
     for length in range(2, model.order + 1):
-        first = columns[-length]
-        _, at, wider = np.unique(first << 32 | gram, return_index=True, return_inverse=True)
-        _, at_context, context = np.unique(first << 32 | context, return_index=True, return_inverse=True)
-        words = [numbers[c[at_context]] for c in columns[-length:-1]]
-        rarest = np.minimum.reduce([often[c[at_context]] for c in columns[-length:-1]])
-        # contexts of known words, and their n-grams with a known word
-        real = np.minimum.reduce(words) >= 0
+        context = np.empty_like(gram)
+        context[1:] = gram[:-1]
+        context[begin] = len(held[0]) - 1
+        at, wider = _ranked(context << 32 | place)
         of, last = context[at], numbers[place[at]]
+        del context
+        # contexts of known words, and their n-grams with a known word
+        real = np.minimum.reduce([numbers[x] for x in held]) >= 0
         known = np.flatnonzero(real[of] & (last >= 0))
-        stats, seen = np.zeros((4, len(real)), dtype=np.int64), np.zeros(len(at), dtype=np.int64)
-        stats[:, real], seen[known] = model.look_up(
-            length, [c[real] for c in words], rarest[real], (np.cumsum(real) - 1)[of[known]], last[known]
+        found = model.look_up(
+            length,
+            [numbers[x[real]] for x in held],
+            np.minimum.reduce([often[x[real]] for x in held]),
+            (np.cumsum(real) - 1)[of[known]],
+            last[known],
         )
+        stats, seen = np.zeros((4, len(real)), dtype=np.int64), np.zeros(len(at), dtype=np.int64)
+        stats[:, real], seen[known] = found
+        del found, last, known
         total, discounts = np.maximum(stats[0], 1), model.discounts[length]
         left_over = np.where(stats[0] > 0, discounts.freed(*stats[1:]) / total, 1.0)
         probable = np.maximum(seen - discounts.taken(seen), 0) / total[of] + left_over[of] * probable[gram[at]]
+        held = [np.append(x, start) for x in (*(x[of] for x in held), place[at])]
         gram = wider
     base = np.log10((counts + 1) / (model.tokens + model.distinct + 1))[place]
     score = np.log10(probable)[gram]

@@ -1,7 +1,10 @@
 import math
+import os
+import random
 import tracemalloc
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 from types import SimpleNamespace
 
 import numpy as np
@@ -183,3 +186,48 @@ def test_counting_n_grams_holds_few_arrays_at_a_time():
         tracemalloc.stop()
     assert counts.sum() == n and {column.dtype for column in grams} == {np.dtype("<u4")}
     assert peak < 85 * n  # 90 with columns of 64 bits and arrays kept beside their copies
+
+
+def test_counts_that_a_byte_does_not_hold(spark):
+    """Counts and contexts around 255, and a word with 300 others behind it."""
+    texts = [f"p{n} q{n} r{n} " * n for n in (1, 2, 253, 254, 255, 256, 257, 700)]
+    texts += [f"many {i}" for i in range(300)] + ["often again", "often again " * 400, "many many"]
+    rows = list(enumerate(texts))
+    asked = [*texts, "p255 q255 r254", "q256 r256 p256 r256", "many often", "again again often 7"]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    for frequent in (None, 10):
+        model = kneser_ney.fit(docs, frequent=frequent)
+        got = kneser_ney.score(spark.createDataFrame(list(enumerate(asked)), "doc_id int, text string"), model).collect()
+        for g, w in zip(sorted(got), brute(texts, asked)):
+            same(tuple(g)[1:6], w)
+
+
+def test_files_of_a_model_are_small(spark):
+    """Statistics and counts take a byte each, and no shuffle files of a step are left."""
+    pick = random.Random(3)
+    words = [f"w{i}" for i in range(4000)]
+    lines = [" ".join(pick.choices(words, k=6)) for _ in range(3000)]
+    docs = spark.createDataFrame(list(enumerate(lines * 3)), "doc_id int, text string").localCheckpoint()
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = manager.getAllFiles()
+        paths = (files.apply(i).getPath() for i in range(files.size()))
+        return {path for path in paths if os.path.basename(path).startswith("shuffle_")}
+
+    before = shuffled()
+    model = kneser_ney.fit(docs)
+    left = sum(os.path.getsize(path) for path in shuffled() - before if os.path.exists(path))
+    files = [x for x in Path(model.folder).rglob("*") if x.is_file() and "step" not in str(x.relative_to(model.folder))]
+    triples = Counter()
+    for line in lines * 3:
+        found = [START] * 2 + tokens(line)
+        triples.update(tuple(found[i : i + 3]) for i in range(len(found) - 2))
+    grams = {3: triples, 2: Counter(gram[1:] for gram in triples)}
+    most = 24 * (model.distinct + 100)  # words, and how many are in front
+    for length, counts in grams.items():
+        # 12 bytes for a context, 9 for an n-gram; the rest is apart
+        most += 12 * len({gram[:-1] for gram in counts}) + 9 * len(counts)
+        most += sum(136 for x in files if x.parent.name == str(length)) + 4000
+    assert sum(x.stat().st_size for x in files) < most
+    assert left < model.distinct  # a byte for each word; the counts of words alone take more
